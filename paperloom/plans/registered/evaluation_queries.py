@@ -256,8 +256,7 @@ def evaluate_graded(spark, folder):
     return rounded(metrics.metric_panel(run, qrels))
 
 
-LIMITED_RUN = f"""limited_run AS (SELECT * FROM run WHERE pmid <= (
-    SELECT max(k) FROM events_k WHERE event_type = 'signup' AND k < 90))"""
+LIMITED_RUN = "limited_run AS (SELECT * FROM run WHERE pmid <= (SELECT floor(avg(k)) FROM events_k))"
 
 
 @register(
@@ -265,8 +264,7 @@ LIMITED_RUN = f"""limited_run AS (SELECT * FROM run WHERE pmid <= (
     + panel_sql("binary_qrels")
 )
 def evaluate_binary(spark, folder):
-    signups = I.events(spark, folder).filter((F.col("event_type") == "signup") & (F.col("k") < 90))
-    limit = signups.agg(F.max("k").alias("max_pmid"))
+    limit = I.events(spark, folder).agg(F.floor(F.avg("k")).alias("max_pmid"))
     run, qrels = judgments.prepare_binary(I.run(spark, folder), _binary(I.qrels(spark, folder)), limit)
     return rounded(metrics.metric_panel(run, qrels))
 
