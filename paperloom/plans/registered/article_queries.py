@@ -1,2 +1,622 @@
+"""Registered queries over articles, change feeds, reference sets and tables."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from paperloom import embedding
+from paperloom.functions import dates, text as X
+from paperloom.functions.xml import with_article_columns
+from paperloom.operators import changelog, judgments, numbering, quality
+from paperloom.plans import reference_sets as R
+from paperloom.plans.registered import inputs as I
+from paperloom.schemas import QUESTION_FILE
+from paperloom.session import shared_dir
+from paperloom.sources import change_files, reference_files, tables
+
 QUERIES = {}
 SQL = {}
+
+
+def register(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+# --- texts ---------------------------------------------------------------
+
+EMBEDDING_TEXT = """CASE WHEN title IS NULL THEN '' ELSE title || chr(10) || chr(10) END
+    || CASE WHEN abstract IS NULL THEN '' ELSE abstract || chr(10) || chr(10) END
+    || CASE WHEN mesh_terms IS NULL THEN '' ELSE 'MeSH terms:' || chr(10) || mesh_terms || chr(10) || chr(10) END
+    || CASE WHEN keywords IS NULL THEN '' ELSE 'Keywords:' || chr(10) || keywords || chr(10) || chr(10) END
+    || CASE WHEN chemicals IS NULL THEN '' ELSE 'Chemicals:' || chr(10) || chemicals || chr(10) || chr(10) END"""
+ORDINAL = "CAST(date_diff('day', DATE '0001-01-01', {}) + 1 AS INTEGER)"
+
+
+@register(I.with_ctes(I.ARTICLES) + f"SELECT pmid, {EMBEDDING_TEXT} AS text FROM articles")
+def embedding_text(spark, folder):
+    return tables.texts_to_embed(I.articles(spark, folder)).select("pmid", "text")
+
+
+@register(
+    I.with_ctes(I.ARTICLES)
+    + f"""SELECT pmid, md5({EMBEDDING_TEXT}) AS text_md5, {ORDINAL.format('publication_date')} AS pub_date
+FROM articles"""
+)
+def scan_articles(spark, folder):
+    scanned = tables.texts_to_embed(I.articles(spark, folder))
+    return scanned.select(
+        "pmid", F.md5("text").alias("text_md5"), dates.date_ordinal(F.col("publication_date")).alias("pub_date")
+    )
+
+
+@register("SELECT count(*) AS n_rows FROM documents")
+def count_articles(spark, folder):
+    return tables.row_count(I.texts(spark, folder))
+
+
+@register(I.with_ctes(I.ARTICLES) + "SELECT max(pmid) AS max_pmid FROM articles WHERE file_number <= 9")
+def max_id_as_of(spark, folder):
+    return tables.max_id_as_of(I.articles(spark, folder), 9)
+
+
+@register(I.with_ctes(I.ARTICLES) + "SELECT pmid, title, authors, year FROM articles WHERE pmid = 22")
+def point_lookup(spark, folder):
+    return tables.point_lookup(I.articles(spark, folder), 22).select("pmid", "title", "authors", "year")
+
+
+@register(
+    I.with_ctes(I.ARTICLES)
+    + """SELECT pmid, publication_date FROM articles
+WHERE publication_date BETWEEN DATE '1995-03-01' AND DATE '1996-12-31'"""
+)
+def date_range_scan(spark, folder):
+    return tables.date_range(I.articles(spark, folder), "1995-03-01", "1996-12-31").select(
+        "pmid", "publication_date"
+    )
+
+
+LINES = "lines AS (SELECT doc_id AS pmid, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)"
+
+
+@register(
+    I.with_ctes(LINES)
+    + """SELECT d.doc_id AS pmid, string_agg(line, chr(10) || chr(10) ORDER BY i) AS joined
+FROM documents d LEFT JOIN lines l ON l.pmid = d.doc_id AND line <> '' GROUP BY 1"""
+)
+def concat_ordered(spark, folder):
+    lines = F.split("text", "\n")
+    return I.texts(spark, folder).select("pmid", X.join_nonempty(lines, "\n\n").alias("joined"))
+
+
+@register(I.with_ctes(LINES) + "SELECT pmid, count(*) FILTER (WHERE line <> '') AS n_lines, count(*) AS n_all FROM lines GROUP BY 1")
+def filter_nonempty_text(spark, folder):
+    lines = F.split("text", "\n")
+    return I.texts(spark, folder).select(
+        "pmid",
+        F.size(F.filter(lines, lambda s: s != "")).cast("bigint").alias("n_lines"),
+        F.size(lines).cast("bigint").alias("n_all"),
+    )
+
+
+@register(I.with_ctes(I.ARTICLES) + "SELECT pmid, coalesce(mesh_terms, '') AS mesh_terms FROM articles")
+def null_to_empty(spark, folder):
+    return I.articles(spark, folder).select("pmid", X.null_to_empty(F.col("mesh_terms")).alias("mesh_terms"))
+
+
+@register(
+    I.with_ctes(LINES)
+    + """SELECT CASE
+    WHEN contains(upper(line), 'INT') THEN 'INTEGER'
+    WHEN contains(upper(line), 'CHAR') OR contains(upper(line), 'TEXT') THEN 'TEXT'
+    WHEN contains(upper(line), 'BLOB') THEN 'BYTEA'
+    WHEN contains(upper(line), 'REAL') OR contains(upper(line), 'FLOA') OR contains(upper(line), 'DOUB')
+      THEN 'DOUBLE PRECISION'
+    ELSE 'TEXT' END AS target_type, count(*) AS n_lines
+FROM lines GROUP BY 1"""
+)
+def type_map(spark, folder):
+    lines = I.texts(spark, folder).select(F.explode(F.split("text", "\n")).alias("line"))
+    mapped = lines.select(X.target_sql_type(F.col("line")).alias("target_type"))
+    return mapped.groupBy("target_type").agg(F.count("*").alias("n_lines"))
+
+
+@register(
+    """SELECT page_id, replace(url, 'https://', '') AS stripped FROM pages"""
+)
+def strip_url_prefix(spark, folder):
+    return I.table(spark, folder, "pages").select(
+        "page_id", X.strip_url_prefix(F.col("url"), "https://").alias("stripped")
+    )
+
+
+# --- dates and names -----------------------------------------------------
+
+# Every order date, spelled as its priority says.
+PARTS = """parts AS (
+  SELECT o_orderkey AS pmid, CAST(o_orderdate AS DATE) AS d, left(o_orderpriority, 1) AS style, o_orderstatus AS status
+  FROM orders)"""
+
+
+def _date_parts(spark, folder):
+    d, style = F.col("o_orderdate"), F.substring("o_orderpriority", 1, 1)
+    orders = I.table(spark, folder, "orders")
+    month = (
+        F.when(style == "1", F.date_format(d, "MMM"))
+        .when(style == "2", F.upper(F.date_format(d, "MMM")))
+        .when(style == "3", F.date_format(d, "MM"))
+        .when(style == "4", F.concat(F.lit(" "), F.date_format(d, "M"), F.lit(" ")))
+    )
+    day = F.when(F.col("o_orderstatus") == "P", F.lit("31")).when(style != "4", F.date_format(d, "d"))
+    return orders.select(
+        F.col("o_orderkey").alias("pmid"),
+        F.concat(F.lit(" "), F.year(d).cast("string")).alias("year"),
+        month.alias("month"),
+        day.alias("day"),
+    )
+
+
+@register(
+    I.with_ctes(PARTS)
+    + """SELECT pmid, CAST(year(d) AS VARCHAR) AS year,
+  CASE style WHEN '1' THEN strftime(d, '%b') WHEN '2' THEN upper(strftime(d, '%b')) WHEN '3' THEN strftime(d, '%m')
+    WHEN '4' THEN CAST(month(d) AS VARCHAR) ELSE '01' END AS month,
+  CASE WHEN status = 'P' THEN '31' WHEN style = '4' THEN '01' ELSE CAST(day(d) AS VARCHAR) END AS day
+FROM parts"""
+)
+def date_components(spark, folder):
+    parts = _date_parts(spark, folder)
+    y, m, d = dates.date_components(F.col("year"), F.col("month"), F.col("day"))
+    return parts.select("pmid", y.alias("year"), m.alias("month"), d.alias("day"))
+
+
+PARSED = """TRY_CAST(year(d) || '-' || CASE WHEN style = '5' THEN '01' ELSE strftime(d, '%m') END || '-'
+    || CASE WHEN status = 'P' THEN '31' WHEN style = '4' THEN '01' ELSE strftime(d, '%d') END AS DATE)"""
+
+
+@register(I.with_ctes(PARTS) + f"SELECT pmid, {PARSED} AS parsed FROM parts")
+def parse_date(spark, folder):
+    y, m, d = dates.date_components(F.col("year"), F.col("month"), F.col("day"))
+    return _date_parts(spark, folder).select("pmid", dates.parse_date(y, m, d).alias("parsed"))
+
+
+def _free_text_dates(spark, folder):
+    d, style = F.col("o_orderdate"), F.substring("o_orderpriority", 1, 1)
+    year = F.year(d).cast("string")
+    form = (
+        F.when(style == "1", year)
+        .when(style == "2", F.concat(year, F.date_format(d, " MMM-"), year, F.lit(" Dec")))
+        .when(style == "3", F.concat(year, F.lit("-"), year, F.lit(" Winter")))
+        .when(style == "4", F.concat(F.lit("Spring "), year))
+        .otherwise(F.concat(F.date_format(d, "d MMM "), year))
+    )
+    text = F.when(F.col("o_orderstatus") == "P", F.lit("unknown")).otherwise(form)
+    return I.table(spark, folder, "orders").select(F.col("o_orderkey").alias("pmid"), text.alias("free_text"))
+
+
+FREE = """CASE WHEN status = 'P' THEN NULL WHEN style = '5' THEN make_date(day(d), 1, 1)
+    ELSE make_date(year(d), 1, 1) END"""
+
+
+@register(I.with_ctes(PARTS) + f"SELECT pmid, {FREE} AS parsed FROM parts")
+def parse_medline_date(spark, folder):
+    return _free_text_dates(spark, folder).select(
+        "pmid", dates.parse_free_text_date(F.col("free_text")).alias("parsed")
+    )
+
+
+@register(
+    I.with_ctes(PARTS)
+    + f"""SELECT pmid, CASE WHEN style IN ('1', '2') THEN {PARSED} ELSE {FREE} END AS publication_date
+FROM parts"""
+)
+def publication_date(spark, folder):
+    style = F.substring("o_orderpriority", 1, 1)
+    structured = I.table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("pmid"), style.isin("1", "2").alias("structured")
+    )
+    both = _date_parts(spark, folder).join(_free_text_dates(spark, folder), "pmid").join(structured, "pmid")
+    year = F.when(F.col("structured"), F.col("year"))
+    date = dates.publication_date(year, F.col("month"), F.col("day"), F.col("free_text"))
+    return both.select("pmid", date.alias("publication_date"))
+
+
+@register(f"SELECT o_orderkey AS pmid, {ORDINAL.format('CAST(o_orderdate AS DATE)')} AS ordinal, CAST(o_orderdate AS DATE) AS back FROM orders")
+def date_ordinal(spark, folder):
+    ordinal = dates.date_ordinal(F.col("o_orderdate").cast("date"))
+    found = I.table(spark, folder, "orders").select(F.col("o_orderkey").alias("pmid"), ordinal.alias("ordinal"))
+    return found.withColumn("back", dates.ordinal_to_date(F.col("ordinal")))
+
+
+def _file_name():
+    number = F.lpad(F.col("doc_id").cast("string"), 4, "0")
+    return F.when(F.col("lang") == "es", F.lit("notes.xml.gz")).otherwise(
+        F.concat(F.lit("med24n"), number, F.lit(".xml.gz"))
+    )
+
+
+@register("SELECT doc_id AS pmid, CASE WHEN lang <> 'es' THEN CAST(doc_id AS INTEGER) END AS file_number FROM documents")
+def file_number(spark, folder):
+    named = I.table(spark, folder, "documents").select(F.col("doc_id").alias("pmid"), _file_name().alias("name"))
+    return named.select("pmid", X.file_number(F.col("name")).alias("file_number"))
+
+
+# --- citation records ----------------------------------------------------
+
+
+def _escaped(column):
+    for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        column = F.replace(column, F.lit(char), F.lit(entity))
+    return column
+
+
+def _records(spark, folder):
+    """Every document as a citation record: markup in titles, labelled sections."""
+    lang, source = F.col("lang"), F.col("source")
+    record = F.concat(
+        F.lit("<PubmedArticle><MedlineCitation><PMID Version='1'>"),
+        F.col("doc_id").cast("string"),
+        F.lit("</PMID><Article><Journal><JournalIssue><Volume>"),
+        F.col("n_chars").cast("string"),
+        F.lit("</Volume><PubDate><Year>1999</Year><Month>Feb</Month><Day>"),
+        F.when(lang == "fr", "3").otherwise("28"),
+        F.lit("</Day></PubDate></JournalIssue><ISOAbbreviation>"),
+        source,
+        F.lit("</ISOAbbreviation></Journal><ArticleTitle>"),
+        F.when(lang == "de", F.lit("<i>x</i>")).otherwise(F.lit("")),
+        _escaped(I.title_of(F.col("text"))),
+        F.lit(" <sub>2</sub> tail</ArticleTitle><Abstract><AbstractText Label=\"TEXT\">"),
+        _escaped(F.col("text")),
+        F.lit("</AbstractText><AbstractText/></Abstract><AuthorList><Author><LastName>"),
+        source,
+        F.lit("</LastName>"),
+        F.when(lang != "es", F.lit("<Initials>AB</Initials>")).otherwise(F.lit("")),
+        F.lit("</Author><Author><CollectiveName>"),
+        lang,
+        F.lit("</CollectiveName></Author></AuthorList></Article></MedlineCitation>"),
+    )
+    return I.table(spark, folder, "documents").select("doc_id", "lang", _file_name().alias("file_name"), record.alias("record"))
+
+
+RECORD_FIELDS = """doc_id AS pmid,
+  CASE WHEN lang <> 'de' THEN split_part(text, chr(10), 1) || ' ' END AS title,
+  'TEXT' || chr(10) || text AS abstract,
+  CASE WHEN lang = 'fr' THEN DATE '1999-02-03' ELSE DATE '1999-02-28' END AS publication_date,
+  source || CASE WHEN lang <> 'es' THEN ', AB' ELSE '' END || chr(10) || lang AS authors,
+  source AS journal_name, CAST(n_chars AS VARCHAR) AS volume,
+  CASE WHEN lang <> 'es' THEN CAST(doc_id AS INTEGER) END AS file_number"""
+RECORD_COLUMNS = ["pmid", "title", "abstract", "publication_date", "authors", "journal_name", "volume", "file_number"]
+
+
+@register(f"SELECT {RECORD_FIELDS} FROM documents")
+def parse_citation_records(spark, folder):
+    records = _records(spark, folder).select("file_name", "record")
+    return with_article_columns(records).select(*RECORD_COLUMNS)
+
+
+@register(f"SELECT {RECORD_FIELDS} FROM documents WHERE lang <> 'fr'")
+def changes_from_citation_files(spark, folder):
+    """Chunks of change files, some ending in a delete block, to the living articles."""
+    deletes = F.concat(
+        F.lit("<DeleteCitation><PMID Version='1'>"), F.col("doc_id").cast("string"), F.lit("</PMID></DeleteCitation>")
+    )
+    chunk = F.concat(F.when(F.col("lang") == "fr", deletes).otherwise(F.lit("")), F.col("record"))
+    chunks = _records(spark, folder).select("file_name", F.col("doc_id").alias("pos"), chunk.alias("chunk"))
+    changes = change_files.fail_on_errors(change_files.parse_changes(chunks))
+    return changelog.live_rows(changes).select(*RECORD_COLUMNS)
+
+
+# --- change feed ---------------------------------------------------------
+
+LAST = """last_changes AS (
+  SELECT pmid, arg_max(file_name, k) AS file_name, arg_max(pos, k) AS pos, arg_max(is_delete, k) AS is_delete,
+    arg_max(value, k) AS value
+  FROM (SELECT *, file_name || is_delete || lpad(CAST(pos AS VARCHAR), 19, '0') AS k FROM changes) GROUP BY pmid)"""
+
+
+@register(
+    I.with_ctes(I.CHANGES, LAST) + "SELECT pmid, file_name, pos, value FROM last_changes WHERE is_delete = 0"
+)
+def changelog_compact(spark, folder):
+    return changelog.live_rows(I.changes(spark, folder))
+
+
+@register(I.with_ctes(I.CHANGES, LAST) + "SELECT pmid, file_name, is_delete, pos, value FROM last_changes")
+def upsert_last_wins(spark, folder):
+    """The second half of the feed applied to the state after the first."""
+    changes = I.changes(spark, folder)
+    early = F.col("file_name") < "20240116"
+    target = changelog.last_changes(changes.filter(early))
+    return changelog.upsert(target, changes.filter(~early))
+
+
+@register(
+    """SELECT doc_id AS pmid, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)"""
+)
+def delete_anti(spark, folder):
+    documents = I.table(spark, folder, "documents").select(F.col("doc_id").alias("pmid"), "lang")
+    toxic = I.table(spark, folder, "labels").filter(F.col("toxic") == 1)
+    return changelog.delete_by_ids(documents, toxic.select(F.col("doc_id").alias("pmid")))
+
+
+@register("SELECT user_id, arg_max(value, event_id) AS value FROM events GROUP BY user_id")
+def dict_last_wins(spark, folder):
+    return changelog.last_value_per_key(I.table(spark, folder, "events"), "user_id", "value", "event_id")
+
+
+@register("SELECT DISTINCT user_id AS pmid FROM events")
+def distinct_ids(spark, folder):
+    return I.changes(spark, folder).select("pmid").distinct()
+
+
+TEXT_HASHES = f"""hashes AS (SELECT pmid, keywords AS lang, {EMBEDDING_TEXT} AS text FROM articles),
+done AS (
+  SELECT pmid, CASE WHEN lang = 'fr' THEN md5('old ' || text) ELSE md5(text) END AS text_hash
+  FROM hashes WHERE pmid IN (SELECT doc_id FROM labels))"""
+
+
+@register(
+    I.with_ctes(I.ARTICLES, TEXT_HASHES)
+    + """SELECT pmid, md5(text) AS text_hash FROM hashes h
+WHERE NOT EXISTS (SELECT 1 FROM done d WHERE d.pmid = h.pmid AND d.text_hash = md5(h.text))"""
+)
+def pending_embeddings(spark, folder):
+    articles = I.articles(spark, folder)
+    texts = tables.texts_to_embed(articles).select("pmid", "text")
+    labels = I.table(spark, folder, "labels").select(F.col("doc_id").alias("pmid"))
+    # French articles changed after they were embedded.
+    lang = articles.select("pmid", F.col("keywords").alias("lang"))
+    old = F.when(F.col("lang") == "fr", F.concat(F.lit("old "), "text")).otherwise(F.col("text"))
+    done = texts.join(lang, "pmid").join(labels, "pmid", "left_semi").select(
+        "pmid", embedding.text_hash(old).alias("text_hash")
+    )
+    return embedding.pending_texts(texts, done).select("pmid", "text_hash")
+
+
+BATCHES = """batches AS (
+  SELECT CAST((n - 1) // 64 AS BIGINT) AS batch, min(n) AS first_row, max(n) AS last_row, count(*) AS n_rows
+  FROM (SELECT row_number() OVER (ORDER BY doc_id) AS n FROM documents) GROUP BY 1)"""
+
+
+def _batches(spark, folder):
+    return numbering.batch_ranges(I.texts(spark, folder).select("pmid"), "pmid", 64)
+
+
+@register(I.with_ctes(BATCHES) + "SELECT * FROM batches")
+def batch_ranges(spark, folder):
+    return _batches(spark, folder)
+
+
+@register(
+    I.with_ctes(BATCHES)
+    + "SELECT *, CAST(sum(n_rows) OVER (ORDER BY batch) AS BIGINT) AS running_total FROM batches"
+)
+def running_total(spark, folder):
+    return numbering.batch_totals(_batches(spark, folder))
+
+
+# --- data quality --------------------------------------------------------
+
+
+@register("SELECT user_id AS pmid, count(*) AS n_rows FROM events GROUP BY 1 HAVING count(*) > 1")
+def pk_duplicates(spark, folder):
+    return quality.duplicate_keys(I.changes(spark, folder))
+
+
+@register(
+    I.with_ctes(I.ARTICLES)
+    + """SELECT pmid, keywords <> 'de' AS found,
+  CASE WHEN keywords <> 'de' THEN concat_ws(',', CASE WHEN keywords = 'fr' THEN 'title' END,
+    CASE WHEN mesh_terms IS NOT NULL THEN 'mesh_terms' END) END AS differing
+FROM articles"""
+)
+def expect_record(spark, folder):
+    articles = I.articles(spark, folder)
+    expected = articles.select(
+        "pmid",
+        F.when(F.col("keywords") == "fr", F.concat("title", F.lit("?"))).otherwise(F.col("title")).alias("title"),
+        F.lit(None).cast("string").alias("mesh_terms"),
+        "year",
+    )
+    return quality.record_differences(articles.filter(F.col("keywords") != "de"), expected)
+
+
+# --- reference sets ------------------------------------------------------
+
+
+@register(I.with_ctes(I.CORPUS) + "SELECT doc_id, line_no FROM corpus")
+def scan_corpus_regex(spark, folder):
+    return reference_files.corpus_lines(I.corpus_text(spark, folder)).select("doc_id", "line_no")
+
+
+@register(I.with_ctes(I.CORPUS) + "SELECT doc_id, title, article_id FROM corpus")
+def regex_fields(spark, folder):
+    return reference_files.corpus_lines(I.corpus_text(spark, folder)).select("doc_id", "title", "article_id")
+
+
+@register("""SELECT event_id, CAST(regexp_extract(props, '"k": ([0-9]*7)', 1) AS BIGINT) AS k
+FROM events WHERE regexp_matches(props, '"k": ([0-9]*7)')""")
+def filter_regex(spark, folder):
+    k = X.extract_field(F.col("props"), '"k": ([0-9]*7)')
+    found = I.table(spark, folder, "events").select("event_id", k.cast("bigint").alias("k"))
+    return found.filter(F.col("k").isNotNull())
+
+
+@register(I.with_ctes(I.CORPUS) + "SELECT doc_id, title FROM corpus WHERE article_id IS NULL")
+def docs_missing_id(spark, folder):
+    documents = reference_files.corpus_lines(I.corpus_text(spark, folder))
+    return R.missing_article_id(documents).select("doc_id", "title")
+
+
+TITLES = """title_ids AS (SELECT title, min(pmid) AS pmid FROM articles GROUP BY title)"""
+
+
+@register(
+    I.with_ctes(I.ARTICLES, I.CORPUS, TITLES) + "SELECT c.doc_id, t.pmid FROM corpus c JOIN title_ids t USING (title)"
+)
+def title_match(spark, folder):
+    documents = reference_files.corpus_lines(I.corpus_text(spark, folder))
+    return R.title_matches(documents, I.articles(spark, folder))
+
+
+ID_MAP = """id_map AS (
+  SELECT c.doc_id, coalesce(t.pmid, c.article_id) AS pmid
+  FROM corpus c LEFT JOIN title_ids t ON t.title = c.title AND c.article_id IS NULL
+  WHERE coalesce(t.pmid, c.article_id) IS NOT NULL)"""
+
+
+@register(I.with_ctes(I.ARTICLES, I.CORPUS, TITLES, ID_MAP) + "SELECT doc_id, pmid FROM id_map")
+def id_map_merge(spark, folder):
+    documents = reference_files.corpus_lines(I.corpus_text(spark, folder))
+    return R.document_ids(documents, I.articles(spark, folder))
+
+
+def _queries(spark, folder):
+    """Query lines as benchmarks publish them."""
+    flat = F.replace(F.replace("text", F.lit('"'), F.lit("'")), F.lit("\n"), F.lit(" "))
+    line = F.concat(
+        F.lit('{"_id": "q'), F.col("item_id").cast("string"), F.lit('", "text": "'), flat, F.lit('", "metadata": {}}')
+    )
+    lines = I.table(spark, folder, "benchmark").select(line.alias("value"), F.col("item_id").alias("line_no"))
+    return reference_files.query_lines(lines)
+
+
+SURROGATES = """surrogates AS (
+  SELECT 'q' || item_id AS query_id, replace(replace(text, '"', ''''), chr(10), ' ') AS query,
+    CAST(row_number() OVER (ORDER BY item_id) - 1 AS INTEGER) AS query_int
+  FROM benchmark)"""
+
+
+@register(I.with_ctes(SURROGATES) + "SELECT query_id, query, query_int FROM surrogates")
+def query_surrogates(spark, folder):
+    numbered = numbering.surrogate_ids(_queries(spark, folder), "line_no")
+    return numbered.select("query_id", "query", "query_int")
+
+
+def _judgments(spark, folder):
+    grade = F.when(F.col("event_type") == "purchase", 2).when(F.col("event_type") == "click", 1).otherwise(0)
+    return I.events(spark, folder).select(
+        F.concat(F.lit("q"), F.col("user_id").cast("string")).alias("query_id"),
+        F.concat(F.lit("d"), F.col("k").cast("string")).alias("doc_id"),
+        grade.alias("rel"),
+        F.col("event_id").alias("line_no"),
+    )
+
+
+RESOLVED = """resolved AS (
+  SELECT query_int AS query_id, m.pmid,
+    CAST(arg_max(CASE event_type WHEN 'purchase' THEN 2 WHEN 'click' THEN 1 ELSE 0 END, event_id) AS INTEGER) AS rel
+  FROM events_k e JOIN id_map m ON m.doc_id = 'd' || e.k JOIN surrogates s ON s.query_id = 'q' || e.user_id
+  GROUP BY ALL)"""
+RESOLVED_CTES = [I.ARTICLES, I.CORPUS, TITLES, ID_MAP, SURROGATES, I.EVENTS_K, RESOLVED]
+
+
+@register(I.with_ctes(*RESOLVED_CTES) + "SELECT query_id, pmid, rel FROM resolved")
+def qrels_resolve(spark, folder):
+    documents = reference_files.corpus_lines(I.corpus_text(spark, folder))
+    ids = R.document_ids(documents, I.articles(spark, folder))
+    surrogates = numbering.surrogate_ids(_queries(spark, folder), "line_no")
+    return R.resolve_judgments(_judgments(spark, folder), ids, surrogates)
+
+
+def _graded(spark, folder):
+    documents = reference_files.corpus_lines(I.corpus_text(spark, folder))
+    return R.build_graded(
+        _queries(spark, folder), _judgments(spark, folder), documents, I.articles(spark, folder)
+    )
+
+
+GRADED_ROWS = """SELECT s.query_int AS query_id, s.query, r.pmid, r.rel, r.pmid IN (SELECT pmid FROM id_map) AS allowed
+FROM surrogates s LEFT JOIN resolved r ON r.query_id = s.query_int"""
+
+
+def _graded_rows(reference):
+    allowed = reference.allowed.select("pmid", F.lit(True).alias("allowed"))
+    judged = reference.qrels.join(allowed, "pmid", "left")
+    return reference.queries.join(judged, "query_id", "left").select("query_id", "query", "pmid", "rel", "allowed")
+
+
+@register(I.with_ctes(*RESOLVED_CTES) + GRADED_ROWS)
+def build_graded_refset(spark, folder):
+    return _graded_rows(_graded(spark, folder))
+
+
+@register(I.with_ctes(*RESOLVED_CTES) + GRADED_ROWS)
+def load_refset(spark, folder):
+    path = f"{shared_dir(spark)}/refset-{uuid.uuid4().hex}"
+    _graded(spark, folder).save(path)
+    return _graded_rows(R.ReferenceSet.load(spark, path))
+
+
+def _questions(spark, folder):
+    """One question file per benchmark item, with links to two articles."""
+    links = F.array(
+        *[
+            F.concat(F.lit(X.DOCUMENT_URL_PREFIX), (F.col("item_id") + step).cast("string"))
+            for step in (0, 7)
+        ]
+    )
+    question = F.struct(
+        F.concat(F.lit("q"), F.col("item_id").cast("string")).alias("id"), F.col("text").alias("body"), links.alias("documents")
+    )
+    rows = I.table(spark, folder, "benchmark").select(
+        F.to_json(F.struct(F.array(question).alias("questions"))).alias("json"), "item_id"
+    )
+    parsed = rows.select(F.from_json("json", QUESTION_FILE).alias("q"), "item_id").select("q.questions", "item_id")
+    numbered = reference_files.question_rows(parsed.select("questions"))
+    return numbered.withColumn("line_no", F.substring("query_id", 2, 19).cast("bigint"))
+
+
+@register("""SELECT 'q' || item_id AS query_id, text AS query, unnest([item_id, item_id + 7]) AS pmid FROM benchmark""")
+def json_explode(spark, folder):
+    return _questions(spark, folder).select("query_id", "query", F.explode("pmids").alias("pmid"))
+
+
+@register(
+    """SELECT CAST(n AS INTEGER) AS query_id, unnest([item_id, item_id + 7]) AS pmid, 1 AS rel,
+  (SELECT max(doc_id) FROM documents WHERE CAST(substr(source, 4) AS INTEGER) <= 9) AS max_pmid
+FROM (SELECT *, row_number() OVER (ORDER BY item_id) - 1 AS n FROM benchmark)"""
+)
+def build_binary_refset(spark, folder):
+    reference = R.build_binary(_questions(spark, folder), I.articles(spark, folder), file_limit=9)
+    return reference.qrels.select("query_id", "pmid", "rel", reference.max_pmid.scalar().alias("max_pmid"))
+
+
+@register(
+    """SELECT event_id AS query_id, 'k' AS pmid,
+  CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS INTEGER) AS rel FROM events"""
+)
+def qrels_explode_map(spark, folder):
+    maps = I.table(spark, folder, "events").select(
+        F.col("event_id").alias("query_id"), F.from_json("props", "map<string,int>").alias("scores")
+    )
+    return judgments.qrels_from_maps(maps)
+
+
+@register(
+    I.with_ctes(LINES)
+    + """SELECT pmid AS query_id, CAST(length(line) AS BIGINT) AS pmid, CAST(i - 1 AS INTEGER) AS rank,
+  CAST(0 AS DOUBLE) AS score, 'system' AS system FROM lines"""
+)
+def run_explode(spark, folder):
+    lengths = F.transform(F.split("text", "\n"), F.length)
+    lists = I.texts(spark, folder).select(F.col("pmid").alias("query_id"), lengths.alias("pmids"))
+    return judgments.run_from_lists(lists)
+
+
+@register(
+    I.with_ctes(LINES)
+    + """SELECT pmid, string_agg(CAST(length(line) AS VARCHAR), chr(10) ORDER BY i) AS text, count(*) AS n_back
+FROM lines GROUP BY pmid"""
+)
+def ids_to_lines(spark, folder):
+    lengths = F.transform(F.split("text", "\n"), F.length)
+    joined = I.texts(spark, folder).select("pmid", X.ids_to_lines(lengths).alias("text"))
+    return joined.withColumn("n_back", F.size(X.lines_to_ids(F.col("text"))).cast("bigint"))
