@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
@@ -11,13 +12,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.functions.text import null_to_empty
-from paperloom.functions.vectors import l2_normalize
 from paperloom.operators.keyword import tokens
+from paperloom.session import spread_small
 
 # Fixed value: prompt name used for query texts.
 QUERY_PROMPT = "query"
-ROWS_PER_FILE = 10_000
 MODEL_BATCH = 32
+# Hashes a task remembers before it starts over.
+MAX_KNOWN_WORDS = 1_000_000
 
 
 class Embedder(Protocol):
@@ -26,6 +28,12 @@ class Embedder(Protocol):
     def encode(self, texts: list[str], batch_size: int, prompt_name: str | None) -> np.ndarray: ...
 
 
+def vector_array(rows: np.ndarray) -> pa.ListArray:
+    """Rows of a matrix as a list column."""
+    offsets = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.ravel()))
+
+
 def embed_texts(
     df: DataFrame,
     load_model: Callable[[], Embedder],
@@ -52,9 +60,7 @@ def embed_texts(
                 model.encode(batch.column("text").to_pylist(), batch_size=batch_size, prompt_name=prompt_name),
                 dtype=np.float32,
             )
-            offsets = np.arange(0, out.size + 1, out.shape[1], dtype=np.int32)
-            vectors = pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(key), vectors], names=[key, "embedding"])
+            yield pa.RecordBatch.from_arrays([batch.column(key), vector_array(out)], names=[key, "embedding"])
 
     return source.mapInArrow(run, f"`{key}` {key_type}, embedding array<float>")
 
@@ -66,30 +72,41 @@ def embed_queries(
     return embed_texts(queries, load_model, "query_id", "query", prompt_name)
 
 
-def token_bucket(token: Column, dim: int) -> Column:
-    """Dimension a word counts in."""
-    return F.pmod(F.conv(F.substring(F.md5(token), 1, 8), 16, 10).cast("bigint"), F.lit(dim)).cast("int")
+def word_bucket(word: str, dim: int) -> int:
+    """Dimension a word counts in: its MD5 hash, first 32 bits."""
+    return int.from_bytes(hashlib.md5(word.encode("utf-8")).digest()[:4], "big") % dim
 
 
 def hashed_embedding(df: DataFrame, key: str = "pmid", text: str = "text", dim: int = 64) -> DataFrame:
     """Unit vector of hashed word counts per row: ``key, embedding``.
 
-    Needs no model and stays in the JVM. ``key`` must be unique; a task sends
-    at most ``dim`` rows per text into the shuffle.
+    Needs no model and no shuffle; a text without words gives a zero vector.
     """
-    words = df.select(key, F.explode_outer(tokens(F.col(text))).alias("token"))
-    counts = words.groupBy(key, token_bucket(F.col("token"), dim).alias("bucket")).agg(F.count("token").alias("n"))
-    present = F.struct("bucket", "n")
-    per_text = counts.groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.when(F.col("bucket").isNotNull(), present))).alias("by_bucket")
-    )
-    dense = F.transform(
-        F.sequence(F.lit(0), F.lit(dim - 1)),
-        lambda i: F.coalesce(F.try_element_at("by_bucket", i), F.lit(0)).cast("double"),
-    )
-    return per_text.select(key, dense.alias("counts")).select(
-        key, l2_normalize(F.col("counts")).cast("array<float>").alias("embedding")
-    )
+    words = F.coalesce(tokens(F.col(text)), F.array().cast("array<string>"))
+    source = spread_small(df.select(key, text)).select(key, words.alias("words"))
+    key_type = source.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, int] = {}
+        for batch in batches:
+            lists = batch.column("words")
+            encoded = lists.flatten().dictionary_encode()
+            if len(known) > MAX_KNOWN_WORDS:
+                known.clear()
+            buckets = np.empty(len(encoded.dictionary), np.int64)
+            for i, word in enumerate(encoded.dictionary.to_pylist()):
+                bucket = known.get(word)
+                if bucket is None:
+                    bucket = known[word] = word_bucket(word, dim)
+                buckets[i] = bucket
+            row = np.repeat(np.arange(len(lists)), np.diff(np.asarray(lists.offsets)))
+            cells = row * dim + buckets[np.asarray(encoded.indices)]
+            counts = np.bincount(cells, minlength=len(lists) * dim).reshape(len(lists), dim)
+            norms = np.sqrt((counts * counts).sum(axis=1))
+            unit = (counts / np.where(norms == 0, 1, norms)[:, None]).astype(np.float32)
+            yield pa.RecordBatch.from_arrays([batch.column(key), vector_array(unit)], names=[key, "embedding"])
+
+    return source.mapInArrow(run, f"`{key}` {key_type}, embedding array<float>")
 
 
 def text_hash(text: Column) -> Column:

@@ -1,9 +1,9 @@
 """Keyword search: boolean OR of the query's words, ranked by BM25.
 
-Words that no query asks for are dropped before the first shuffle. Documents
-are scored inside tasks against a block of queries whose size is checked, and
-a task keeps k documents per query: a word that every document and many
-queries contain never becomes rows of document and query pairs.
+Documents are scored where they are read, as a block against the query set,
+and a task keeps k documents per query. Only word counts and the kept documents
+are shuffled: a word that every document and many queries contain never
+becomes rows of document and query pairs.
 """
 
 from __future__ import annotations
@@ -23,19 +23,24 @@ from paperloom.operators.knn import (
     NearestRows,
     merge_nearest,
 )
-from paperloom.operators.skew import salted_join
+from paperloom.session import spread_small
 
 # BM25 parameters.
 K1 = 1.2
 B = 0.75
 SCORE_DECIMALS = 12
 BYTES_PER_TERM = 64
-SCORE_CELLS = 4_000_000
+# Scores of one step: bounds what a task adds up at a time.
+ADDED_CELLS = 250_000
+# Up to this many words the scan itself drops all others.
+MAX_FILTER_WORDS = 10_000
+# Stands for the document itself among its words.
+DOCUMENT = ""
 
 
 def tokens(text: Column) -> Column:
     """Lower-case runs of letters and digits."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda t: t != "")
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
@@ -44,135 +49,137 @@ def query_terms(queries: DataFrame) -> DataFrame:
     return queries.select(F.col("query_id").cast("bigint").alias("query_id"), F.explode(words).alias("term"))
 
 
-def build_postings(documents: DataFrame, vocabulary: DataFrame | None = None) -> DataFrame:
-    """``pmid, length, term, tf`` of every word, or of the words of a vocabulary."""
-    words = documents.select("pmid", tokens(F.col("text")).alias("words"))
-    each = words.select(
-        F.col("pmid").cast("bigint").alias("pmid"),
-        F.size("words").cast("bigint").alias("length"),
-        F.explode("words").alias("term"),
-    )
-    if vocabulary is not None:
-        each = salted_join(each, vocabulary, ["term"], "left_semi")
-    return each.groupBy("pmid", "length", "term").agg(F.count("*").alias("tf"))
+def build_index(documents: DataFrame) -> DataFrame:
+    """``pmid, words`` of ``documents(pmid, text)``; store it to search it often."""
+    words = F.coalesce(tokens(F.col("text")), F.array().cast("array<string>"))
+    return documents.select(F.col("pmid").cast("bigint").alias("pmid"), words.alias("words"))
 
 
-def document_statistics(documents: DataFrame) -> DataFrame:
-    """One row: number of documents and their mean length in words."""
-    length = F.size(tokens(F.coalesce("text", F.lit(""))))
-    return documents.agg(F.count("*").alias("n_docs"), F.avg(length).alias("mean_length"))
+class TermBlock:
+    """A bounded block of queries on the driver: their ids, and per word who asks for it."""
 
+    def __init__(self, table: pa.Table):
+        self.query_ids, owner = np.unique(np.asarray(table["query_id"]), return_inverse=True)
+        encoded = table["term"].combine_chunks().dictionary_encode()
+        self.words = encoded.dictionary.to_pylist()
+        codes = np.asarray(encoded.indices)
+        self.owners = owner[np.argsort(codes, kind="stable")]
+        self.n_owners = np.bincount(codes, minlength=len(self.words))
 
-def weigh_postings(postings: DataFrame, statistics: DataFrame) -> DataFrame:
-    """``pmid, term, weight``: what the word adds to the document's score."""
-    n_docs = statistics.select("n_docs").scalar()
-    mean_length = statistics.select("mean_length").scalar()
-    frequency = postings.groupBy("term").agg(F.count("*").alias("df"))
-    idf = F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    relative_length = F.col("length") / mean_length
-    saturation = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * relative_length))
-    joined = salted_join(postings, frequency, ["term"])
-    return joined.select("pmid", "term", (idf * saturation).alias("weight"))
 
-
-def _term_blocks(terms: DataFrame, k: int) -> Iterator[pa.Table]:
-    """Query words in blocks within the size bounds, one at a time."""
+def term_blocks(terms: DataFrame, k: int) -> Iterator[TermBlock]:
+    """The query set in blocks within the size bounds, one at a time."""
+    most_terms = MAX_QUERY_BYTES // BYTES_PER_TERM
+    most_queries = max(1, MAX_KEPT_ROWS // max(1, k))
+    first = terms.limit(most_terms + 1).toArrow()
+    if first.num_rows <= most_terms:
+        block = TermBlock(first)
+        if len(block.query_ids) <= most_queries:
+            if first.num_rows:
+                yield block
+            return
     size = terms.agg(F.count("*"), F.count_distinct("query_id")).first()
-    by_terms = -(-size[0] * BYTES_PER_TERM // MAX_QUERY_BYTES)
-    by_rows = -(-size[1] * k // MAX_KEPT_ROWS)
-    blocks = max(by_terms, by_rows)
+    blocks = max(-(-size[0] // most_terms), -(-size[1] // most_queries))
     for b in range(blocks):
-        part = terms
-        if blocks > 1:
-            part = terms.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b)
-        table = part.toArrow()
+        table = terms.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b).toArrow()
         if table.num_rows:
-            yield table
+            yield TermBlock(table)
+
+
+def _asked_words(index: DataFrame, block: TermBlock) -> DataFrame:
+    """``pmid, length, words`` with the words of the block, repeats included."""
+    words = F.col("words")
+    if len(block.words) <= MAX_FILTER_WORDS:
+        # Words are letters and digits only; one text keeps the plan quick to build.
+        vocabulary = ", ".join(f"'{w}'" for w in sorted(block.words))
+        words = F.expr(f"filter(words, w -> w IN ({vocabulary}))")
+    return index.select("pmid", F.size("words").cast("bigint").alias("length"), words.alias("words"))
+
+
+def _frequencies(asked: DataFrame, block: TermBlock) -> tuple[dict[str, int], int, float]:
+    """Documents per word of the block, number of documents, their mean length.
+
+    One aggregation, combined before its shuffle, with a row per asked word.
+    """
+    marked = F.concat(F.array(F.lit(DOCUMENT)), F.array_distinct("words"))
+    each = asked.select(F.explode(marked).alias("term"), "length")
+    if len(block.words) > MAX_FILTER_WORDS:
+        spark = asked.sparkSession
+        known = pa.table({"term": [DOCUMENT, *block.words]})
+        each = each.join(spark.createDataFrame(known), "term", "left_semi")
+    counted = each.groupBy("term").agg(F.count("*").alias("df"), F.sum("length").alias("words")).toArrow()
+    df = dict(zip(counted["term"].to_pylist(), counted["df"].to_pylist()))
+    total = dict(zip(counted["term"].to_pylist(), counted["words"].to_pylist()))
+    n_docs = df.pop(DOCUMENT, 0)
+    return df, n_docs, (total.get(DOCUMENT, 0) / n_docs if n_docs else 0.0)
+
+
+def _repeat_ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Numbers ``start, start + 1, ...`` of every range, one after the other."""
+    before = np.cumsum(lengths) - lengths
+    return np.arange(lengths.sum()) + np.repeat(starts - before, lengths)
 
 
 def _score_in_task(shared, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_ids, asked = shared.value
-        n_queries = len(query_ids)
+        block, idf, mean_length = shared.value
+        n_queries = len(block.query_ids)
+        everyone = np.arange(n_queries)
+        number_of = {w: i for i, w in enumerate(block.words)}
+        first_owner = np.cumsum(block.n_owners) - block.n_owners
         # Only documents with a positive score count as found.
         kept = NearestRows(n_queries, k, np.full(n_queries, np.nextafter(0.0, -1.0)))
-
-        def score(rows: pa.Table) -> None:
-            # Rows come sorted by document.
-            pmids = np.asarray(rows["pmid"])
-            ids, document = np.unique(pmids, return_inverse=True)
-            encoded = rows["term"].combine_chunks().dictionary_encode()
-            words, word = encoded.dictionary.to_pylist(), np.asarray(encoded.indices)
-            weights = np.asarray(rows["weight"])
-            step = max(1, SCORE_CELLS // n_queries)
-            for start in range(0, len(ids), step):
-                n_docs = min(step, len(ids) - start)
-                low, high = np.searchsorted(document, [start, start + n_docs])
-                order = low + np.argsort(word[low:high], kind="stable")
-                present, first = np.unique(word[order], return_index=True)
-                scores = np.zeros((n_queries, n_docs))
-                for w, at in zip(present.tolist(), np.split(order, first[1:])):
-                    queries = asked.get(words[w])
-                    if queries is not None:
-                        scores[np.ix_(queries, document[at] - start)] += weights[at]
-                kept.add(np.arange(n_queries), ids[start : start + n_docs], -np.round(scores, SCORE_DECIMALS))
-
-        held = None
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            rows = pa.Table.from_batches([batch])
-            if held is not None:
-                rows = pa.concat_tables([held, rows])
-            # The last document may go on in the next batch.
-            pmids = np.asarray(rows["pmid"])
-            complete = int(np.searchsorted(pmids, pmids[-1]))
-            held = rows.slice(complete)
-            if complete:
-                score(rows.slice(0, complete))
-        if held is not None:
-            score(held)
-        yield kept.to_batch(query_ids)
+        step = max(1, ADDED_CELLS // n_queries)
+        for whole in batches:
+            for start in range(0, whole.num_rows, step):
+                batch = whole.slice(start, step)
+                lists = batch.column("words")
+                n_docs = len(lists)
+                encoded = lists.flatten().dictionary_encode()
+                number = np.array([number_of.get(w, -1) for w in encoded.dictionary.to_pylist()], np.int64)
+                word = number[np.asarray(encoded.indices)]
+                document = np.repeat(np.arange(n_docs), np.diff(np.asarray(lists.offsets)))
+                asked = word >= 0
+                pairs, tf = np.unique(word[asked] * n_docs + document[asked], return_counts=True)
+                word, document = pairs // n_docs, pairs % n_docs
+                relative_length = np.asarray(batch.column("length"))[document] / mean_length
+                weight = idf[word] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * relative_length))
+                owners = block.n_owners[word]
+                query = block.owners[_repeat_ranges(first_owner[word], owners)]
+                scores = np.bincount(
+                    query * n_docs + np.repeat(document, owners),
+                    weights=np.repeat(weight, owners),
+                    minlength=n_queries * n_docs,
+                ).reshape(n_queries, n_docs)
+                kept.add(everyone, np.asarray(batch.column("pmid")), -np.round(scores, SCORE_DECIMALS))
+        yield kept.to_batch(block.query_ids)
 
     return run
 
 
-def score_postings(postings: DataFrame, statistics: DataFrame, terms: DataFrame, k: int) -> DataFrame:
-    """Best ``k`` documents per query: ``query_id, pmid, rank, score``.
+def search_index(index: DataFrame, queries: DataFrame, k: int = 1000) -> DataFrame:
+    """Best ``k`` documents of every query: ``query_id, pmid, rank, score``.
 
-    ``postings`` hold whole documents; an index bucketed by ``pmid`` is read
-    without a further shuffle.
+    ``index`` comes from ``build_index``, ``queries`` has ``query_id, query``.
     """
-    weights = weigh_postings(postings, statistics)
-    by_document = weights.repartition("pmid").sortWithinPartitions("pmid")
-    context = postings.sparkSession.sparkContext
+    context = index.sparkSession.sparkContext
     passes = []
-    for table in _term_blocks(terms, k):
-        ids, owner = np.unique(np.asarray(table["query_id"]), return_inverse=True)
-        asked: dict[str, list[int]] = {}
-        for term, query in zip(table["term"].to_pylist(), owner.tolist()):
-            asked.setdefault(term, []).append(query)
-        shared = context.broadcast((ids, {t: np.array(q) for t, q in asked.items()}))
-        passes.append(by_document.mapInArrow(_score_in_task(shared, k), NEIGHBOUR_SCHEMA))
+    for block in term_blocks(query_terms(queries), k):
+        asked = _asked_words(index, block)
+        df, n_docs, mean_length = _frequencies(asked, block)
+        frequency = np.array([df.get(w, 0) for w in block.words])
+        idf = np.log(1 + (n_docs - frequency + 0.5) / (frequency + 0.5))
+        shared = context.broadcast((block, idf, mean_length))
+        passes.append(asked.mapInArrow(_score_in_task(shared, k), NEIGHBOUR_SCHEMA))
     if not passes:
-        passes = [postings.sparkSession.createDataFrame([], NEIGHBOUR_SCHEMA)]
+        passes = [index.sparkSession.createDataFrame([], NEIGHBOUR_SCHEMA)]
     ranked = merge_nearest(reduce(DataFrame.union, passes), k)
     return ranked.select("query_id", "pmid", "rank", (-F.col("distance")).alias("score"))
 
 
-def search_index(postings: DataFrame, statistics: DataFrame, queries: DataFrame, k: int = 1000) -> DataFrame:
-    """BM25 search of a stored index for ``queries(query_id, query)``."""
-    terms = query_terms(queries)
-    vocabulary = terms.select("term").distinct()
-    wanted = salted_join(postings, vocabulary, ["term"], "left_semi")
-    return score_postings(wanted, statistics, terms, k)
-
-
 def search(documents: DataFrame, queries: DataFrame, k: int = 1000) -> DataFrame:
     """BM25 search of ``documents(pmid, text)`` for ``queries(query_id, query)``."""
-    terms = query_terms(queries)
-    postings = build_postings(documents, terms.select("term").distinct())
-    return score_postings(postings, document_statistics(documents), terms, k)
+    return search_index(build_index(spread_small(documents)), queries, k)
 
 
 def split_by_cache(queries: DataFrame, cached: DataFrame) -> tuple[DataFrame, DataFrame]:

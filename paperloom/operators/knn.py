@@ -19,11 +19,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.operators.topk import top_n_per_group
+from paperloom.session import spread_small
 
 DISTANCE_DECIMALS = 12
 # Bounds of one query block: its matrix, and the neighbours one task keeps.
 MAX_QUERY_BYTES = 64 << 20
 MAX_KEPT_ROWS = 8_000_000
+# Up to this many queries are one block, whatever their dimension.
+ONE_BLOCK_QUERIES = 2000
 SCORE_CELLS = 4_000_000
 
 NEIGHBOUR_SCHEMA = "query_id bigint, pmid bigint, distance double"
@@ -73,6 +76,10 @@ class NearestRows:
     def add(self, queries: np.ndarray, pmids: np.ndarray, distances: np.ndarray) -> None:
         """``distances`` has one row per entry of ``queries``; NaN counts as farthest."""
         distances = np.where(np.isnan(distances), np.inf, distances)
+        if distances.shape[1] > self.k:
+            # The k-th distance of any part of the rows bounds that of all rows.
+            kth = np.partition(distances, self.k - 1, axis=1)[:, self.k - 1]
+            self.limit[queries] = np.minimum(self.limit[queries], kth)
         q, v = np.nonzero(distances <= self.limit[queries][:, None])
         if len(q):
             self.pending.append((queries[q], pmids[v], distances[q, v]))
@@ -89,7 +96,7 @@ class NearestRows:
         query, pmid, distance = query[order], pmid[order], distance[order]
         position = np.arange(len(query)) - np.searchsorted(query, query, side="left")
         last = position == self.k - 1
-        self.limit[query[last]] = distance[last]
+        self.limit[query[last]] = np.minimum(self.limit[query[last]], distance[last])
         keep = position < self.k
         self.query, self.pmid, self.distance = query[keep], pmid[keep], distance[keep]
 
@@ -112,10 +119,10 @@ def query_chunks(n_queries: int, n_vectors: int) -> Iterator[np.ndarray]:
 class QueryBlock:
     """A bounded block of queries on the driver: ids and unit vectors."""
 
-    def __init__(self, queries: DataFrame):
-        table = queries.select(F.col("query_id").cast("bigint"), "embedding").toArrow()
-        order = np.argsort(np.asarray(table["query_id"]), kind="stable")
-        self.ids = np.asarray(table["query_id"])[order]
+    def __init__(self, table: pa.Table):
+        ids = np.asarray(table["query_id"])
+        order = np.argsort(ids, kind="stable")
+        self.ids = ids[order]
         self.unit = unit_rows(matrix(table["embedding"])[order]) if len(order) else np.empty((0, 0))
 
     def __len__(self) -> int:
@@ -124,17 +131,20 @@ class QueryBlock:
 
 def query_blocks(queries: DataFrame, k: int) -> Iterator[QueryBlock]:
     """The query set in blocks within the size bounds, one at a time."""
-    size = queries.agg(F.count("*"), F.max(F.size("embedding"))).first()
-    n_queries, dim = size[0], size[1] or 1
+    rows = queries.select(F.col("query_id").cast("bigint").alias("query_id"), "embedding")
+    most = max(1, min(ONE_BLOCK_QUERIES, MAX_KEPT_ROWS // max(1, k)))
+    first = rows.limit(most + 1).toArrow()
+    if first.num_rows <= most:
+        if first.num_rows:
+            yield QueryBlock(first)
+        return
+    dim = len(first["embedding"][0])
     per_block = max(1, min(MAX_QUERY_BYTES // (8 * dim), MAX_KEPT_ROWS // max(1, k)))
-    blocks = -(-n_queries // per_block)
+    blocks = -(-rows.count() // per_block)
     for b in range(blocks):
-        part = queries
-        if blocks > 1:
-            part = queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b)
-        block = QueryBlock(part)
-        if len(block):
-            yield block
+        table = rows.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b).toArrow()
+        if table.num_rows:
+            yield QueryBlock(table)
 
 
 def _nearest_in_task(block, k: int, bounds: np.ndarray | None):
@@ -158,7 +168,7 @@ def _candidates(vectors: DataFrame, block: QueryBlock, k: int, bounds: np.ndarra
     rows = vectors.filter(F.col("embedding").isNotNull()).select(
         F.col("pmid").cast("bigint").alias("pmid"), "embedding"
     )
-    return rows.mapInArrow(_nearest_in_task(shared, k, bounds), NEIGHBOUR_SCHEMA)
+    return spread_small(rows).mapInArrow(_nearest_in_task(shared, k, bounds), NEIGHBOUR_SCHEMA)
 
 
 def _sample_bounds(vectors: DataFrame, block: QueryBlock, k: int, fraction: float) -> np.ndarray:

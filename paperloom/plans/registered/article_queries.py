@@ -13,7 +13,7 @@ from paperloom.operators import changelog, judgments, numbering, quality
 from paperloom.plans import reference_sets as R
 from paperloom.plans.registered import inputs as I
 from paperloom.schemas import QUESTION_FILE
-from paperloom.session import shared_dir
+from paperloom.session import shared_dir, spread_small
 from paperloom.sources import change_files, reference_files, tables
 
 QUERIES = {}
@@ -282,7 +282,8 @@ def _records(spark, folder):
         lang,
         F.lit("</CollectiveName></Author></AuthorList></Article></MedlineCitation>"),
     )
-    return I.table(spark, folder, "documents").select("doc_id", "lang", _file_name().alias("file_name"), record.alias("record"))
+    documents = spread_small(I.table(spark, folder, "documents"))
+    return documents.select("doc_id", "lang", _file_name().alias("file_name"), record.alias("record"))
 
 
 RECORD_FIELDS = """doc_id AS pmid,

@@ -227,7 +227,7 @@ HASHED_QUERIES = hashed_cte("query_vectors", "query_texts", "query_id")
 def embed_hashed(spark, folder):
     vectors = embedding.hashed_embedding(I.texts(spark, folder), dim=I.DIM)
     each = vectors.select("pmid", F.posexplode("embedding").alias("i", "x"))
-    return each.select("pmid", "i", F.round(F.col("x").cast("double"), 6).alias("x"))
+    return each.select("pmid", F.col("i").cast("int").alias("i"), F.round(F.col("x").cast("double"), 6).alias("x"))
 
 
 def embed_text_queries(queries):

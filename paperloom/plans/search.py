@@ -9,6 +9,7 @@ from paperloom.functions.text import article_url, author_line, citation, distanc
 from paperloom.operators import ivf, knn
 
 SHOWN = 25
+BROADCAST_HITS = 100_000
 METADATA = ["title", "authors", "journal_name", "year", "volume", "issue", "pagination"]
 
 
@@ -17,8 +18,15 @@ def with_article(vectors: DataFrame, articles: DataFrame) -> DataFrame:
     return vectors.join(articles.select("pmid"), "pmid", "left_semi")
 
 
-def attach_metadata(hits: DataFrame, articles: DataFrame) -> DataFrame:
-    return hits.join(articles.select("pmid", *METADATA), "pmid")
+def attach_metadata(hits: DataFrame, articles: DataFrame, max_hits: int | None = None) -> DataFrame:
+    """Hits with the metadata of their article.
+
+    With a known bound on their number the hits are broadcast, and the
+    article table is not shuffled for the sake of a few rows.
+    """
+    if max_hits is not None and max_hits <= BROADCAST_HITS:
+        hits = F.broadcast(hits)
+    return articles.select("pmid", *METADATA).join(hits, "pmid")
 
 
 def search_with_metadata(
@@ -30,7 +38,7 @@ def search_with_metadata(
     take a place in it.
     """
     hits = knn.nearest_to_vector(with_article(vectors, articles), query_vector, k)
-    found = attach_metadata(hits, articles)
+    found = attach_metadata(hits, articles, max_hits=k)
     return found.select("distance", "pmid", *METADATA, "rank").orderBy("rank")
 
 

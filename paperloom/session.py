@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import tempfile
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,11 +23,20 @@ def shared_dir(spark: SparkSession) -> str:
     return fallback
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, cutting its lineage."""
-    path = f"{shared_dir(df.sparkSession)}/paperloom-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+# A table up to this size may sit in a file or two that only as many tasks can read.
+SMALL_TABLE_BYTES = 1 << 30
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """``df`` over all cores when it is small; a large one stays as it is read.
+
+    For steps that compute much per row. The size is the optimizer's estimate,
+    so nothing runs to find it.
+    """
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size > SMALL_TABLE_BYTES:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
