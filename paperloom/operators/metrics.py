@@ -133,7 +133,7 @@ def metric_panel(
     """
     per_query = per_query_metrics(run, qrels, tie_order, topics)
     all_relevant = qrels.agg(F.count_if(F.col("rel") > 0).alias("n"))
-    floored = F.log(F.greatest(F.col("ap"), F.lit(GEOMETRIC_FLOOR)))
+    floored = F.when(F.col("ap").isNotNull(), F.log(F.greatest(F.col("ap"), F.lit(GEOMETRIC_FLOOR))))
     panel = per_query.agg(
         F.coalesce(F.sum("num_ret"), F.lit(0)).alias("num_ret"),
         F.coalesce(F.sum("num_rel_ret"), F.lit(0)).alias("num_rel_ret"),

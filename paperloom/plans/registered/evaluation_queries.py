@@ -80,7 +80,7 @@ def _avg(column: str, name: str) -> str:
 COUNTS_SQL = """CAST(sum(num_ret) AS BIGINT) AS num_ret,
   (SELECT count(*) FROM {qrels} WHERE rel > 0) AS num_rel,
   CAST(sum(num_rel_ret) AS BIGINT) AS num_rel_ret, count(*) AS num_q"""
-GM_SQL = "round(exp(avg(ln(greatest(ap, 1e-5)))), 6) AS gm_map"
+GM_SQL = "round(exp(avg(ln(greatest(ap, 1e-5))) FILTER (WHERE ap IS NOT NULL)), 6) AS gm_map"
 
 
 def panel_sql(qrels: str = "qrels") -> str:

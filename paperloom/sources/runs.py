@@ -2,24 +2,31 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.functions.text import lines_to_ids
-from paperloom.session import exists
+from paperloom.session import exists, list_names
 
 # Fixed value: cached results are named by their query.
-RESULT_FILE_PATTERN = r"query(\d+)\.txt$"
+RESULT_FILE_PATTERN = r"Results_query(\d+)\.txt$"
 RUN_COLUMNS = ["query_id", "pmid", "rank", "score", "system"]
 
 
-def read_result_files(spark: SparkSession, folder: str, glob: str = "*Results_query*.txt") -> DataFrame:
+def read_result_files(spark: SparkSession, folder: str) -> DataFrame:
     """``query_id, pmids`` of files with one id per line; an empty file is an empty list."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
-    return files.select(
-        F.regexp_extract("path", RESULT_FILE_PATTERN, 1).cast("int").alias("query_id"),
-        lines_to_ids(F.decode(F.col("content"), "UTF-8")).alias("pmids"),
+    # Spark skips empty files, so the queries come from the listing.
+    named = [re.search(RESULT_FILE_PATTERN, name) for name in list_names(spark, folder)]
+    queries = spark.createDataFrame([(int(m.group(1)),) for m in named if m], "query_id int")
+    files = spark.read.text(f"{folder}/*Results_query*.txt", wholetext=True)
+    lists = files.select(
+        F.regexp_extract("_metadata.file_name", RESULT_FILE_PATTERN, 1).cast("int").alias("query_id"),
+        lines_to_ids(F.col("value")).alias("pmids"),
     )
+    none = F.array().cast("array<bigint>")
+    return queries.join(lists, "query_id", "left").withColumn("pmids", F.coalesce("pmids", none))
 
 
 def save_run(run: DataFrame, folder: str) -> None:
