@@ -19,7 +19,10 @@ def read_result_files(spark: SparkSession, folder: str) -> DataFrame:
     """``query_id, pmids`` of files with one id per line; an empty file is an empty list."""
     # Spark skips empty files, so the queries come from the listing.
     named = [re.search(RESULT_FILE_PATTERN, name) for name in list_names(spark, folder)]
-    queries = spark.createDataFrame([(int(m.group(1)),) for m in named if m], "query_id int")
+    ids = [(int(m.group(1)),) for m in named if m]
+    if not ids:
+        return spark.createDataFrame([], "query_id int, pmids array<bigint>")
+    queries = spark.createDataFrame(ids, "query_id int")
     files = spark.read.text(f"{folder}/*Results_query*.txt", wholetext=True)
     lists = files.select(
         F.regexp_extract("_metadata.file_name", RESULT_FILE_PATTERN, 1).cast("int").alias("query_id"),

@@ -45,7 +45,7 @@ def test_append_vectors(spark, tmp_path):
         with pytest.raises(ValueError, match=message):
             VT.append_vectors(bad, folder, 3)
     with pytest.raises(ValueError, match="precision"):
-        VT.append_vectors(vectors(spark, [9]), folder, 3, "pgvector")
+        VT.append_vectors(vectors(spark, [9]), folder, 3, "quarter")
     with pytest.raises(Exception):
         VT.prepare_vectors(vectors(spark, [2**31]), 3).collect()
     assert spark.read.parquet(folder).count() == 3
