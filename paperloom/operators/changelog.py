@@ -30,8 +30,16 @@ def live_rows(changes: DataFrame, key: str = "pmid", order: list[str] | None = N
 
 
 def upsert(target: DataFrame, delta: DataFrame, key: str = "pmid") -> DataFrame:
-    """Winning changes of an already compacted table and newer change rows."""
-    return last_changes(target.unionByName(delta), key)
+    """Winning changes of an already compacted table and other change rows.
+
+    Only keys the delta names are compared again; the rest of the table is
+    passed on without a shuffle whenever the delta's keys are few enough for
+    Spark to broadcast.
+    """
+    keys = delta.select(key).distinct()
+    untouched = target.join(keys, key, "left_anti")
+    touched = target.join(keys, key, "left_semi")
+    return untouched.unionByName(last_changes(touched.unionByName(delta), key))
 
 
 def last_value_per_key(df: DataFrame, key: str, value: str, order: str) -> DataFrame:
@@ -79,20 +87,24 @@ class ArticleStore:
         rows.write.mode("overwrite").parquet(f"{self.folder}/changes/batch={batch}")
         return batch
 
-    def _changes(self) -> DataFrame:
-        """Newest snapshot and the batches after it."""
+    def _read(self, parts: list[str]) -> DataFrame:
+        return self.spark.read.schema(CHANGES).parquet(*[f"{self.folder}/{p}" for p in parts])
+
+    def _last_changes(self) -> DataFrame:
+        """Winning changes of the newest snapshot and the batches after it."""
         version = self.snapshot_version()
-        parts = []
-        if version is not None:
-            parts.append(f"{self.folder}/snapshots/version={version}")
-        parts += [f"{self.folder}/changes/batch={b}" for b in self.batches() if version is None or b > version]
-        if not parts:
-            return self.spark.createDataFrame([], CHANGES)
-        return self.spark.read.schema(CHANGES).parquet(*parts)
+        newer = [f"changes/batch={b}" for b in self.batches() if version is None or b > version]
+        if version is None:
+            if not newer:
+                return self.spark.createDataFrame([], CHANGES)
+            return last_changes(self._read(newer))
+        snapshot = self._read([f"snapshots/version={version}"])
+        return upsert(snapshot, self._read(newer)) if newer else snapshot
 
     def articles(self) -> DataFrame:
         """One row per living article."""
-        return live_rows(self._changes()).drop("file_name", "pos")
+        living = self._last_changes().filter(F.col("is_delete") == 0)
+        return living.drop("is_delete", "file_name", "pos")
 
     def compact(self) -> int | None:
         """Write a snapshot holding everything so far; deletes stay as tombstones."""
@@ -100,7 +112,7 @@ class ArticleStore:
         if not batches or batches[-1] == self.snapshot_version():
             return self.snapshot_version()
         target = f"{self.folder}/snapshots/version={batches[-1]}"
-        last_changes(self._changes()).write.mode("overwrite").parquet(target)
+        self._last_changes().write.mode("overwrite").parquet(target)
         return batches[-1]
 
     def upsert(self, changes: DataFrame) -> int:

@@ -21,7 +21,9 @@ from paperloom.operators.knn import (
     MAX_QUERY_BYTES,
     NEIGHBOUR_SCHEMA,
     NearestRows,
+    kth_distances,
     merge_nearest,
+    sample_share,
 )
 from paperloom.session import spread_small
 
@@ -120,15 +122,14 @@ def _repeat_ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(lengths.sum()) + np.repeat(starts - before, lengths)
 
 
-def _score_in_task(shared, k: int):
+def _score_in_task(shared, k: int, bounds: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, idf, mean_length = shared.value
         n_queries = len(block.query_ids)
         everyone = np.arange(n_queries)
         number_of = {w: i for i, w in enumerate(block.words)}
         first_owner = np.cumsum(block.n_owners) - block.n_owners
-        # Only documents with a positive score count as found.
-        kept = NearestRows(n_queries, k, np.full(n_queries, np.nextafter(0.0, -1.0)))
+        kept = NearestRows(n_queries, k, bounds)
         step = max(1, ADDED_CELLS // n_queries)
         for whole in batches:
             for start in range(0, whole.num_rows, step):
@@ -157,11 +158,15 @@ def _score_in_task(shared, k: int):
     return run
 
 
-def search_index(index: DataFrame, queries: DataFrame, k: int = 1000) -> DataFrame:
+def search_index(
+    index: DataFrame, queries: DataFrame, k: int = 1000, prune_fraction: float | None = None
+) -> DataFrame:
     """Best ``k`` documents of every query: ``query_id, pmid, rank, score``.
 
     ``index`` comes from ``build_index``, ``queries`` has ``query_id, query``.
+    ``prune_fraction`` works as in the vector search.
     """
+    share = sample_share(index, prune_fraction)
     context = index.sparkSession.sparkContext
     passes = []
     for block in term_blocks(query_terms(queries), k):
@@ -170,16 +175,23 @@ def search_index(index: DataFrame, queries: DataFrame, k: int = 1000) -> DataFra
         frequency = np.array([df.get(w, 0) for w in block.words])
         idf = np.log(1 + (n_docs - frequency + 0.5) / (frequency + 0.5))
         shared = context.broadcast((block, idf, mean_length))
-        passes.append(asked.mapInArrow(_score_in_task(shared, k), NEIGHBOUR_SCHEMA))
+        # Only documents with a positive score count as found.
+        bounds = np.full(len(block.query_ids), np.nextafter(0.0, -1.0))
+        if share:
+            sample = asked.sample(share, seed=7).mapInArrow(_score_in_task(shared, k, bounds), NEIGHBOUR_SCHEMA)
+            bounds = np.minimum(bounds, kth_distances(sample, block.query_ids, k))
+        passes.append(asked.mapInArrow(_score_in_task(shared, k, bounds), NEIGHBOUR_SCHEMA))
     if not passes:
         passes = [index.sparkSession.createDataFrame([], NEIGHBOUR_SCHEMA)]
     ranked = merge_nearest(reduce(DataFrame.union, passes), k)
     return ranked.select("query_id", "pmid", "rank", (-F.col("distance")).alias("score"))
 
 
-def search(documents: DataFrame, queries: DataFrame, k: int = 1000) -> DataFrame:
+def search(
+    documents: DataFrame, queries: DataFrame, k: int = 1000, prune_fraction: float | None = None
+) -> DataFrame:
     """BM25 search of ``documents(pmid, text)`` for ``queries(query_id, query)``."""
-    return search_index(build_index(spread_small(documents)), queries, k)
+    return search_index(build_index(spread_small(documents)), queries, k, prune_fraction)
 
 
 def split_by_cache(queries: DataFrame, cached: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.operators.topk import top_n_per_group
-from paperloom.session import spread_small
+from paperloom.session import UNKNOWN_BYTES, estimated_bytes, spread_small
 
 DISTANCE_DECIMALS = 12
 # Bounds of one query block: its matrix, and the neighbours one task keeps.
@@ -28,6 +28,9 @@ MAX_KEPT_ROWS = 8_000_000
 # Up to this many queries are one block, whatever their dimension.
 ONE_BLOCK_QUERIES = 2000
 SCORE_CELLS = 4_000_000
+# Tables above this size are sampled first.
+PRUNE_ABOVE_BYTES = 100 << 30
+PRUNE_SHARE = 0.01
 
 NEIGHBOUR_SCHEMA = "query_id bigint, pmid bigint, distance double"
 _NEIGHBOURS = pa.schema(
@@ -171,19 +174,25 @@ def _candidates(vectors: DataFrame, block: QueryBlock, k: int, bounds: np.ndarra
     return spread_small(rows).mapInArrow(_nearest_in_task(shared, k, bounds), NEIGHBOUR_SCHEMA)
 
 
-def _sample_bounds(vectors: DataFrame, block: QueryBlock, k: int, fraction: float) -> np.ndarray:
-    """k-th distance of each query within a sample: never below the true one."""
-    sample = _candidates(vectors.sample(fraction, seed=7), block, k, None)
+def sample_share(rows: DataFrame, share: float | None) -> float:
+    """Share of the rows to score first: as asked, else a little of a large table."""
+    if share is not None:
+        return share
+    size = estimated_bytes(rows)
+    return PRUNE_SHARE if PRUNE_ABOVE_BYTES < size < UNKNOWN_BYTES else 0.0
+
+
+def kth_distances(candidates: DataFrame, query_ids: np.ndarray, k: int) -> np.ndarray:
+    """k-th distance of each query among some of the rows: never below the final one."""
     kth = (
-        top_n_per_group(sample, ["query_id"], [F.col("distance"), F.col("pmid")], k)
+        top_n_per_group(candidates, ["query_id"], [F.col("distance"), F.col("pmid")], k)
         .groupBy("query_id")
         .agg(F.count("*").alias("n"), F.max("distance").alias("distance"))
         .filter((F.col("n") == k) & ~F.isnan("distance"))
         .toArrow()
     )
-    bounds = np.full(len(block), np.inf)
-    at = np.searchsorted(block.ids, np.asarray(kth["query_id"]))
-    bounds[at] = np.asarray(kth["distance"])
+    bounds = np.full(len(query_ids), np.inf)
+    bounds[np.searchsorted(query_ids, np.asarray(kth["query_id"]))] = np.asarray(kth["distance"])
     return bounds
 
 
@@ -209,11 +218,16 @@ def nearest(
     with one row per id. Query sets above the block bounds are scored in
     several passes. ``prune_fraction`` first scores that share of the
     vectors; the distances found bound the result, so tasks of the full pass
-    drop what cannot be in it. The result is the same with and without.
+    drop what cannot be in it. The result is the same with and without; by
+    default only large tables are sampled first.
     """
+    share = sample_share(vectors, prune_fraction)
     passes = []
     for block in query_blocks(queries, k):
-        bounds = _sample_bounds(vectors, block, k, prune_fraction) if prune_fraction else None
+        bounds = None
+        if share:
+            sample = _candidates(vectors.sample(share, seed=7), block, k, None)
+            bounds = kth_distances(sample, block.ids, k)
         passes.append(_candidates(vectors, block, k, bounds))
     if not passes:
         empty = vectors.sparkSession.createDataFrame([], NEIGHBOUR_SCHEMA)

@@ -25,16 +25,21 @@ def shared_dir(spark: SparkSession) -> str:
 
 # A table up to this size may sit in a file or two that only as many tasks can read.
 SMALL_TABLE_BYTES = 1 << 30
+# Estimates from here on mean that Spark knows nothing about the size.
+UNKNOWN_BYTES = 1 << 60
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of a frame's size; nothing runs to find it."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def spread_small(df: DataFrame) -> DataFrame:
     """``df`` over all cores when it is small; a large one stays as it is read.
 
-    For steps that compute much per row. The size is the optimizer's estimate,
-    so nothing runs to find it.
+    For steps that compute much per row.
     """
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if size > SMALL_TABLE_BYTES:
+    if estimated_bytes(df) > SMALL_TABLE_BYTES:
         return df
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 

@@ -13,7 +13,6 @@ from paperloom.functions.text import (
     extract_field,
     urls_to_ids,
 )
-from paperloom.operators.changelog import last_value_per_key
 from paperloom.schemas import QUESTION_FILE
 
 JUDGMENT_FILE = "query_id string, doc_id string, rel int"
@@ -33,18 +32,20 @@ def query_lines(lines: DataFrame) -> DataFrame:
 
 
 def corpus_lines(lines: DataFrame) -> DataFrame:
-    """``doc_id, title, article_id, line_no`` of lines with an id; invalid JSON is fine."""
+    """``doc_id, title, article_id, line_no`` of lines with an id; invalid JSON is fine.
+
+    A repeated id keeps its last line, at the place of its first.
+    """
     line = F.col("value")
-    found = lines.select(extract_field(line, ID_FIELD_PATTERN).alias("doc_id"), "value", "line_no").filter(
-        F.col("doc_id").isNotNull()
-    )
-    last = last_value_per_key(found, "doc_id", "value", "line_no")
-    numbers = found.groupBy("doc_id").agg(F.min("line_no").alias("line_no"))
-    return last.join(numbers, "doc_id").select(
-        "doc_id",
+    found = lines.select(
+        extract_field(line, ID_FIELD_PATTERN).alias("doc_id"),
         extract_field(line, TITLE_FIELD_PATTERN).alias("title"),
         extract_field(line, ARTICLE_ID_FIELD_PATTERN).cast("bigint").alias("article_id"),
         "line_no",
+    ).filter(F.col("doc_id").isNotNull())
+    last = F.max_by(F.struct("title", "article_id"), "line_no").alias("last")
+    return found.groupBy("doc_id").agg(last, F.min("line_no").alias("line_no")).select(
+        "doc_id", "last.title", "last.article_id", "line_no"
     )
 
 

@@ -151,6 +151,15 @@ def test_store_is_independent_of_arrival_order(spark, folder, tmp_path):
         assert store.snapshot_version() == store.batches()[-1]
 
 
+def test_compacted_store_is_read_without_a_shuffle(spark, folder, tmp_path):
+    store = ArticleStore(spark, str(tmp_path / "store"))
+    changes = cf.read_changes(spark, folder)
+    store.upsert(changes.filter(F.col("file_name") < "med24n0002"))
+    assert "Exchange" not in store.articles()._jdf.queryExecution().executedPlan().toString()
+    store.append(changes.filter(F.col("file_name") >= "med24n0002"))
+    assert state(store.articles()) == state(live_rows(changes))
+
+
 def test_empty_store(spark, tmp_path):
     store = ArticleStore(spark, str(tmp_path / "none"))
     assert store.articles().count() == 0 and store.compact() is None

@@ -91,6 +91,15 @@ def test_pruning_keeps_the_result(spark, data):
     assert as_lists(knn.nearest(vectors, queries, 290, prune_fraction=0.1)) == brute(v, q, 290)
 
 
+def test_large_tables_are_sampled_first(spark, data, monkeypatch):
+    v, q, vectors, queries = data
+    assert knn.sample_share(vectors, None) == 0.0
+    monkeypatch.setattr(knn, "PRUNE_ABOVE_BYTES", 10)
+    monkeypatch.setattr(knn, "UNKNOWN_BYTES", 1 << 200)
+    monkeypatch.setattr(knn, "PRUNE_SHARE", 0.3)
+    assert as_lists(knn.nearest(vectors, queries, 5)) == brute(v, q, 5)
+
+
 def test_empty_query_set_and_wrong_dimension(spark, data):
     _, _, vectors, queries = data
     assert knn.nearest(vectors, queries.limit(0), 5).count() == 0
@@ -202,15 +211,18 @@ def bm25(docs, queries, k):
     return out
 
 
-@pytest.mark.parametrize("few_words,small_blocks", [(10_000, False), (2, False), (10_000, True)])
-def test_keyword_search_matches_brute_force(spark, texts, monkeypatch, few_words, small_blocks):
+@pytest.mark.parametrize(
+    "few_words,small_blocks,share",
+    [(10_000, False, None), (2, False, None), (10_000, True, None), (10_000, False, 0.5)],
+)
+def test_keyword_search_matches_brute_force(spark, texts, monkeypatch, few_words, small_blocks, share):
     docs, queries, documents, query_df = texts
     monkeypatch.setattr(keyword, "MAX_FILTER_WORDS", few_words)
     if small_blocks:
         monkeypatch.setattr(keyword, "MAX_KEPT_ROWS", 14)
         monkeypatch.setattr(keyword, "ADDED_CELLS", 20)
     found = {}
-    for r in keyword.search(documents, query_df, 7).orderBy("query_id", "rank").collect():
+    for r in keyword.search(documents, query_df, 7, share).orderBy("query_id", "rank").collect():
         found.setdefault(r.query_id, []).append((r.pmid, round(r.score, 6)))
     assert found == bm25(docs, queries, 7)
 
