@@ -58,9 +58,8 @@ def ideal_gains(qrels: DataFrame) -> DataFrame:
     best = top_n_per_group(
         qrels.filter(F.col("rel") > 0), ["query_id"], [F.col("rel").desc(), F.col("pmid")], max(CUTOFFS), position="r"
     )
-    term = F.col("rel") / F.log2(F.col("r") + 1)
     return best.groupBy("query_id").agg(
-        *[F.sum(F.when(F.col("r") <= k, term)).alias(f"ideal_{k}") for k in CUTOFFS]
+        *[F.expr(f"sum(CASE WHEN r <= {k} THEN rel / log2(r + 1) END) AS ideal_{k}") for k in CUTOFFS]
     )
 
 
@@ -80,9 +79,9 @@ def per_query_metrics(
     topic = topic_judgments(qrels)
     r, hit = F.col("r"), F.col("hit")
     by_rank = _positions(judged, [F.col("rank"), F.col("pmid")])
-    gain_term = F.col("gain") / F.log2(r + 1)
     gains = [
-        F.sum(F.when(hit & (r <= k), gain_term).otherwise(0.0)).alias(f"gain_{k}") for k in CUTOFFS
+        F.expr(f"sum(CASE WHEN hit AND r <= {k} THEN gain / log2(r + 1) ELSE 0D END) AS gain_{k}")
+        for k in CUTOFFS
     ]
     base = by_rank
     if tie_order == "docid_desc":
@@ -95,7 +94,7 @@ def per_query_metrics(
         F.sum(F.when(hit & (r <= DEPTH), preferred).otherwise(0.0)).alias("bpref_sum"),
         F.count_if(hit & (r <= F.least(F.col("n_rel"), F.lit(DEPTH)))).alias("r_hits"),
         F.coalesce(1.0 / F.min(F.when(hit & (r <= DEPTH), r)), F.lit(0.0)).alias("recip_rank"),
-        *[F.count_if(hit & (r <= k)).alias(f"hits_{k}") for k in CUTOFFS],
+        *[F.expr(f"count_if(hit AND r <= {k}) AS hits_{k}") for k in CUTOFFS],
         *(gains if tie_order == "rank" else []),
     )
     if tie_order != "rank":
@@ -117,8 +116,8 @@ def per_query_metrics(
         F.try_divide("bpref_sum", n_rel).alias("bpref"),
         F.try_divide("r_hits", n_rel).alias("Rprec"),
         "recip_rank",
-        *[(F.col(f"hits_{k}") / k).alias(f"P@{k}") for k in CUTOFFS],
-        *[F.try_divide(f"gain_{k}", f"ideal_{k}").alias(f"NDCG@{k}") for k in CUTOFFS],
+        *[F.expr(f"hits_{k} / {k} AS `P@{k}`") for k in CUTOFFS],
+        *[F.expr(f"try_divide(gain_{k}, ideal_{k}) AS `NDCG@{k}`") for k in CUTOFFS],
     )
 
 
@@ -134,18 +133,26 @@ def metric_panel(
     per_query = per_query_metrics(run, qrels, tie_order, topics)
     all_relevant = qrels.agg(F.count_if(F.col("rel") > 0).alias("n"))
     floored = F.when(F.col("ap").isNotNull(), F.log(F.greatest(F.col("ap"), F.lit(GEOMETRIC_FLOOR))))
+    averaged = [
+        "bpref",
+        "Rprec",
+        "recip_rank",
+        *[f"P@{k}" for k in CUTOFFS],
+        *[f"NDCG@{k}" for k in CUTOFFS],
+    ]
     panel = per_query.agg(
         F.coalesce(F.sum("num_ret"), F.lit(0)).alias("num_ret"),
         F.coalesce(F.sum("num_rel_ret"), F.lit(0)).alias("num_rel_ret"),
         F.count("*").alias("num_q"),
         F.avg("ap").alias("map"),
         F.exp(F.avg(floored)).alias("gm_map"),
-        *[F.avg(m).alias(m) for m in ("bpref", "Rprec", "recip_rank")],
-        *[F.avg(f"`P@{k}`").alias(f"P@{k}") for k in CUTOFFS],
-        *[F.avg(f"`NDCG@{k}`").alias(f"NDCG@{k}") for k in CUTOFFS],
+        *[F.expr(f"avg(`{m}`) AS `{m}`") for m in averaged],
+    )
+    return panel.select(
+        "num_ret",
+        all_relevant.scalar().alias("num_rel"),
+        *[f"`{c}`" for c in ("num_rel_ret", "num_q", "map", "gm_map", *averaged)],
     )
-    columns = [c for c in panel.columns if c != "num_ret"]
-    return panel.select("num_ret", all_relevant.scalar().alias("num_rel"), *[F.col(f"`{c}`") for c in columns])
 
 
 def long_form(panel: DataFrame) -> DataFrame:

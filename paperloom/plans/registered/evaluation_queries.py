@@ -102,8 +102,8 @@ SCORED = I.with_ctes(*I.RUN_AND_QRELS, score_ctes())
 
 def rounded(panel):
     whole = {"num_ret", "num_rel", "num_rel_ret", "num_q", "query_id"}
-    return panel.select(
-        *[F.col(f"`{c}`") if c in whole else F.round(F.col(f"`{c}`"), 6).alias(c) for c in panel.columns]
+    return panel.selectExpr(
+        *[f"`{c}`" if c in whole else f"round(`{c}`, 6) AS `{c}`" for c in panel.columns]
     )
 
 
