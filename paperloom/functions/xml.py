@@ -17,6 +17,7 @@ from paperloom.functions.dates import publication_date
 from paperloom.functions.text import file_number, join_nonempty
 
 # Element and attribute names of the citation format.
+RECORD_START = "<PubmedArticle>"
 RECORD_END = "</PubmedArticle>"
 RECORD_START_PATTERN = r"<PubmedArticle[ >]"
 KEPT_VERSION = "1"

@@ -51,7 +51,7 @@ def number_chunks(text: DataFrame) -> DataFrame:
 def record_of_chunk(chunk: Column) -> Column:
     """The article record a chunk ends with, NULL when it has none."""
     pieces = F.split(chunk, xml.RECORD_START_PATTERN)
-    return F.when(F.size(pieces) > 1, F.concat(F.lit("<PubmedArticle>"), F.element_at(pieces, -1)))
+    return F.when(F.size(pieces) > 1, F.concat(F.lit(xml.RECORD_START), F.element_at(pieces, -1)))
 
 
 def parse_articles(chunks: DataFrame, text_mode: str = "leading") -> DataFrame:
