@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from paperloom.llm import line_dedup, mixing, quality_rules
-from paperloom.llm.common import table
+from paperloom.llm import line_dedup, mixing, quality_classifier, quality_rules, toxicity
+from paperloom.llm.common import stored, table
 
 QUERIES = {}
 SQL = {}
@@ -126,3 +126,15 @@ def op10_quality_rules(spark, folder):
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@register()
+def op1_quality_classifier(spark, folder):
+    measured = stored(quality_classifier.text_statistics(table(spark, folder, "documents")), "quality-statistics")
+    model = quality_classifier.fit(measured, table(spark, folder, "labels"))
+    return quality_classifier.scores(measured, model)
+
+
+@register()
+def op9_toxicity(spark, folder):
+    return toxicity.scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
