@@ -4,7 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from paperloom.llm import line_dedup, mixing, quality_classifier, quality_rules, toxicity
+from paperloom.llm import (
+    embedding_dedup,
+    line_dedup,
+    mixing,
+    pieces,
+    quality_classifier,
+    quality_rules,
+    toxicity,
+    url_filter,
+)
 from paperloom.llm.common import stored, table
 
 QUERIES = {}
@@ -138,3 +147,26 @@ def op1_quality_classifier(spark, folder):
 @register()
 def op9_toxicity(spark, folder):
     return toxicity.scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@register()
+def op3_url_filter(spark, folder):
+    return url_filter.judged(table(spark, folder, "pages"))
+
+
+@register()
+def op4_embedding_dedup(spark, folder):
+    return embedding_dedup.deduplicated(table(spark, folder, "embeddings"))
+
+
+@register()
+def op5_pieces(spark, folder):
+    """Piece counts and scores, a digest of the ids, and of the text that they decode to."""
+    rows = pieces.encoded(table(spark, folder, "documents"), pieces.Codec.load())
+    return rows.select(
+        "doc_id",
+        F.size("piece_ids").cast("long").alias("n_pieces"),
+        "score",
+        F.sha2(F.array_join("piece_ids", " "), 256).alias("pieces_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
