@@ -12,7 +12,7 @@ as any other, and in the end each source has one threshold to filter by.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.llm.common import SPACE, stored
@@ -25,16 +25,23 @@ LEVEL_BITS = 12
 LEVELS = 3
 
 
+def _size(text: str) -> Column:
+    pieces = F.split(F.coalesce(F.col(text), F.lit("")), SPACE)
+    return F.size(F.array_remove(pieces, "")).cast("long")
+
+
+def _hash(doc_id: str) -> Column:
+    digest = F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")))
+    return F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("long")
+
+
 def sizes(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """``doc_id, source, size, hash`` of every row; a null text has size 0, a null id the hash of the empty string."""
-    pieces = F.split(F.coalesce(F.col(text), F.lit("")), SPACE)
     return docs.select(
         F.col(doc_id).alias("doc_id"),
         F.col(source).cast("string").alias("source"),
-        F.size(F.array_remove(pieces, "")).cast("long").alias("size"),
-        F.conv(F.substring(F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))), 1, HASH_BITS // 4), 16, 10)
-        .cast("long")
-        .alias("hash"),
+        _size(text).alias("size"),
+        _hash(doc_id).alias("hash"),
     )
 
 
@@ -115,6 +122,18 @@ def _edge(histogram: DataFrame, edge: DataFrame) -> DataFrame:
     )
 
 
+def _copies(size: Column, hash_: Column, max_copies: int) -> Column:
+    more = F.coalesce((hash_ < F.col("threshold")).cast("long"), F.lit(0))
+    copies = F.least(F.lit(max_copies), F.col("copies") + more)
+    return F.when(size > 0, copies).otherwise(F.lit(0)).cast("long")
+
+
+def _fitted(docs: DataFrame, weights, max_copies: int, doc_id: str, source: str, text: str) -> tuple[DataFrame, DataFrame]:
+    sized = stored(sizes(docs, doc_id, source, text), "mix-sizes")
+    goals = stored(targets(sized, weights, max_copies), "mix-targets")
+    return sized, stored(thresholds(sized, goals), "mix-thresholds").withColumnRenamed("source", "its_source")
+
+
 def mixed(
     docs: DataFrame,
     weights=WEIGHTS,
@@ -131,13 +150,29 @@ def mixed(
     of 0 takes nothing, a null source is a source like any other, an empty table gives
     an empty one.
     """
-    sized = stored(sizes(docs, doc_id, source, text), "mix-sizes")
-    goals = stored(targets(sized, weights, max_copies), "mix-targets")
-    per_source = stored(thresholds(sized, goals), "mix-thresholds").withColumnRenamed("source", "its_source")
-    more = (F.col("hash") < F.col("threshold")).cast("long")
-    copies = F.least(F.lit(max_copies), F.col("copies") + F.coalesce(more, F.lit(0)))
+    sized, per_source = _fitted(docs, weights, max_copies, doc_id, source, text)
     return (
         sized.join(per_source, F.col("source").eqNullSafe(F.col("its_source")))
-        .withColumn("copies", F.when(F.col("size") > 0, copies).otherwise(F.lit(0)).cast("long"))
+        .withColumn("copies", _copies(F.col("size"), F.col("hash"), max_copies))
         .select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
     )
+
+
+def repeated(
+    docs: DataFrame,
+    weights=WEIGHTS,
+    max_copies: int = MAX_COPIES,
+    doc_id: str = "doc_id",
+    source: str = "source",
+    text: str = "text",
+) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as :func:`mixed` takes it."""
+    _, per_source = _fitted(docs, weights, max_copies, doc_id, source, text)
+    limits = per_source.select(F.struct("its_source", "copies", "threshold").alias("__limits"))
+    joined = docs.alias("d").join(limits, F.col(f"d.{source}").cast("string").eqNullSafe(F.col("__limits.its_source")))
+    limit = F.col("__limits.copies") + F.coalesce((_hash(f"d.{doc_id}") < F.col("__limits.threshold")).cast("long"), F.lit(0))
+    copies = F.when(_size(f"d.{text}") > 0, F.least(F.lit(max_copies), limit)).otherwise(F.lit(0))
+    return (
+        joined.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), copies.cast("int"))))
+        .select(*[F.col(f"d.`{c}`") for c in docs.columns])
+    )

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from paperloom.llm import (
     embedding_dedup,
+    jaccard_join,
     line_dedup,
     mixing,
     pieces,
@@ -170,3 +171,24 @@ def op5_pieces(spark, folder):
         F.sha2(F.array_join("piece_ids", " "), 256).alias("pieces_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@register(
+    rf"""WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s FROM (
+    SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, CASE WHEN len(w) > 0 THEN 1 ELSE 0 END) + 1)) AS i FROM words)
+), sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * common >= 80 * (x.n + y.n - common)
+), reached AS (
+  SELECT doc_id AS start, doc_id AS place FROM documents UNION SELECT start, b FROM reached JOIN links ON place = a
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id FROM documents d LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT start AS doc_id, min(place) AS component_id FROM reached GROUP BY start) USING (doc_id)"""
+)
+def op6_jaccard_join(spark, folder):
+    return jaccard_join.classes(table(spark, folder, "documents"))
