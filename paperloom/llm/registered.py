@@ -12,6 +12,7 @@ from paperloom.llm import (
     pieces,
     quality_classifier,
     quality_rules,
+    suffix_dedup,
     toxicity,
     url_filter,
 )
@@ -192,3 +193,9 @@ JOIN (SELECT start AS doc_id, min(place) AS component_id FROM reached GROUP BY s
 )
 def op6_jaccard_join(spark, folder):
     return jaccard_join.classes(table(spark, folder, "documents"))
+
+
+@register()
+def op2_suffix_dedup(spark, folder):
+    rows = suffix_dedup.without_repeats(table(spark, folder, "documents"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
