@@ -127,5 +127,19 @@ def citation(
 
 
 def distance_line(distance: Column) -> Column:
-    """Distance with three decimals, ties to even."""
-    return F.concat(F.lit("Semantic distance: "), F.format_string("%.3f", F.bround(distance, 3)))
+    """Distance with three decimals, rounded from the number itself, true ties to even.
+
+    The number is compared with the middle between two thousandths without rounding:
+    its halves of 26 bits times 2000 are exact.
+    """
+    x = F.abs(distance.cast("double"))
+    below = F.floor(x * 1000).cast("bigint")
+    scaled = x * 134217729.0
+    high = scaled - (scaled - x)
+    side = (high * 2000.0 - (below * 2 + 1).cast("double")) + (x - high) * 2000.0
+    up = (side > 0) | ((side == 0) & (below % 2 == 1))
+    n = below + up.cast("bigint")
+    whole = F.floor(n / 1000).cast("bigint")
+    sign = F.when(distance < 0, "-").otherwise("")
+    decimals = F.lpad((n - whole * 1000).cast("string"), 3, "0")
+    return F.concat(F.lit("Semantic distance: "), sign, whole.cast("string"), F.lit("."), decimals)

@@ -22,9 +22,12 @@ def run_from_lists(lists: DataFrame, ids: str = "pmids") -> DataFrame:
     )
 
 
-def run_as_lists(run: DataFrame, depth: int = RUN_DEPTH) -> DataFrame:
-    """One list of ids per query, best first, to the retrieval depth."""
-    top = top_n_per_group(run, ["query_id"], [F.col("rank"), F.col("pmid")], depth)
+def run_as_lists(run: DataFrame, depth: int | None = None) -> DataFrame:
+    """One list of ids per query, best first; all that was retrieved, or the first ``depth``."""
+    if depth is None:
+        top = run.withColumn("position", F.col("rank"))
+    else:
+        top = top_n_per_group(run, ["query_id"], [F.col("rank"), F.col("pmid")], depth)
     ordered = F.array_sort(F.collect_list(F.struct("position", "pmid")))
     return top.groupBy("query_id").agg(F.transform(ordered, lambda x: x.pmid).alias("pmids"))
 

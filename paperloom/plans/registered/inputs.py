@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.operators.topk import top_n_per_group
+from paperloom.operators.knn import rank_within_query
 
 DIM = 64
 
@@ -115,30 +115,26 @@ EVENTS_K = """events_k AS (
 
 def scored_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """Users as queries and ``k`` as documents, scored by what the events add up to."""
-    kept = events(spark, folder).filter(F.col("event_type") != "purchase")
     cents = F.round(F.col("value") * 100).cast("bigint")
-    return kept.groupBy(F.col("user_id").alias("query_id"), F.col("k").alias("pmid")).agg(
+    return events(spark, folder).groupBy(F.col("user_id").alias("query_id"), F.col("k").alias("pmid")).agg(
         F.sum(cents).alias("score")
     )
 
 
 SCORED_PAIRS = """scored_pairs AS (
   SELECT user_id AS query_id, k AS pmid, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS score
-  FROM events_k WHERE event_type <> 'purchase' GROUP BY ALL)"""
+  FROM events_k GROUP BY ALL)"""
 
 
 def run(spark: SparkSession, folder: str) -> DataFrame:
-    """Ranked run to the retrieval depth."""
-    best = top_n_per_group(
-        scored_pairs(spark, folder), ["query_id"], [F.col("score").desc(), F.col("pmid")], 1000
-    )
-    return best.select("query_id", "pmid", (F.col("position") - 1).alias("rank"))
+    """Ranked run of every scored pair."""
+    ranked = rank_within_query(scored_pairs(spark, folder), F.col("score"))
+    return ranked.select("query_id", "pmid", F.col("rank").cast("int").alias("rank"))
 
 
 RUN = """run AS (
-  SELECT query_id, pmid, rank FROM (
-    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, pmid) - 1 AS INTEGER) AS rank
-    FROM scored_pairs) WHERE rank < 1000)"""
+  SELECT query_id, pmid, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, pmid) - 1 AS INTEGER) AS rank
+  FROM scored_pairs)"""
 
 
 def qrels(spark: SparkSession, folder: str) -> DataFrame:

@@ -317,7 +317,8 @@ def keyword_bm25(spark, folder):
   journal_name || CASE WHEN volume IS NULL AND issue IS NULL THEN '' ELSE ', ' || concat_ws(' ', 'Vol. ' || volume,
     '(Issue ' || issue || ')') END || coalesce(', pp. ' || pagination, '') || ', ' || year || ', PMID: ' || pmid
     AS short_citation,
-  'Semantic distance: ' || printf('%.3f', file_number / 7.0) AS distance_line
+  'Semantic distance: ' || printf('%.3f', file_number / 7.0) AS distance_line,
+  'Semantic distance: ' || printf('%.3f', CAST(pmid AS DOUBLE) / 2000) AS tie_line
 FROM articles"""
 )
 def citation_string(spark, folder):
@@ -329,4 +330,5 @@ def citation_string(spark, folder):
         citation(*parts, none_text="None").alias("citation"),
         citation(*parts).alias("short_citation"),
         distance_line(c("file_number") / 7.0).alias("distance_line"),
+        distance_line(c("pmid") / 2000).alias("tie_line"),
     )

@@ -69,14 +69,16 @@ def read_judgments(spark: SparkSession, path: str) -> DataFrame:
 
 
 def question_rows(files: DataFrame) -> DataFrame:
-    """``query_id, query, pmids, line_no`` of ``questions`` arrays."""
-    questions = files.select(F.posexplode("questions").alias("line_no", "question"))
-    return questions.select(
+    """``query_id, query, pmids, line_no`` of ``questions`` arrays; a repeated id keeps its first place and its last text."""
+    questions = files.select(F.posexplode("questions").alias("line_no", "question")).select(
         F.col("question.id").alias("query_id"),
-        F.col("question.body").alias("query"),
-        urls_to_ids(F.col("question.documents")).alias("pmids"),
+        F.struct(
+            F.col("question.body").alias("query"), urls_to_ids(F.col("question.documents")).alias("pmids")
+        ).alias("question"),
         F.col("line_no").cast("bigint").alias("line_no"),
     )
+    last = questions.groupBy("query_id").agg(F.max_by("question", "line_no").alias("question"), F.min("line_no").alias("line_no"))
+    return last.select("query_id", "question.query", "question.pmids", "line_no")
 
 
 def read_questions(spark: SparkSession, path: str) -> DataFrame:

@@ -115,7 +115,8 @@ def test_text_functions(spark):
     assert one(spark, X.lines_to_ids(F.lit("3\n1\r\n2\n"))) == [3, 1, 2]
     assert one(spark, X.lines_to_ids(F.lit(""))) == []
     assert one(spark, X.ids_to_lines(F.array(F.lit(3), F.lit(1)))) == "3\n1"
-    assert one(spark, X.distance_line(F.lit(0.0625))) == "Semantic distance: 0.062"
+    for value in (0.0625, 0.0005, 0.0025, 0.0015, 0.1875, 1.0005, 0.9995, 1.9999, 0.0, -0.0004, 12.3445, 2 / 3):
+        assert one(spark, X.distance_line(F.lit(value))) == f"Semantic distance: {value:.3f}"
     assert one(spark, X.article_url(F.lit(5))).endswith("/5/")
     args = [F.lit("J"), n, F.lit("2"), n, F.lit(2020), F.lit(9)]
     assert one(spark, X.citation(*args)) == "J, (Issue 2), 2020, PMID: 9"
