@@ -24,8 +24,6 @@ BYTE_PENALTY = 10.0
 # Words remembered per worker; a full memory is emptied.
 REMEMBERED = 200_000
 ROWS_AT_ONCE = 256
-# No piece spans the change from a word to white space, so words can be encoded one by one.
-_UNITS = re.compile(f" *[^ {SPACE_MARK}]+|{SPACE_MARK}| +")
 
 
 class Codec:
@@ -51,38 +49,45 @@ class Codec:
         self._automaton = ahocorasick.Automaton()
         for i, piece in enumerate(self.pieces):
             if piece:
-                self._automaton.add_word(piece, (len(piece), i, self.scores[i]))
+                self._automaton.add_word(piece, (len(piece), (i,), self.scores[i]))
         self._automaton.make_automaton()
+        self._single = frozenset(p for p in self.pieces if p and len(p) == 1)
+        # No piece spans the change from a word to white space, so words can be encoded one by one;
+        # lines too, where no piece holds a line feed.
+        spanned = any("\n" in p for p in self.pieces if p)
+        self._units = re.compile(f" *[^ {SPACE_MARK}]+|{SPACE_MARK}| +" if spanned else f" *[^ \n{SPACE_MARK}]+|{SPACE_MARK}|\n| +")
         self._unknown = min(s for p, s in zip(self.pieces, self.scores) if p) - BYTE_PENALTY
         self._known: dict[str, tuple] = {}
         self._bytes = [p.replace(SPACE_MARK, " ").encode() if p else b"" for p in self.pieces]
         for b, i in enumerate(self.byte_ids):
             self._bytes[i] = bytes([b])
 
+    def _ways(self, unit: str):
+        """Pieces by the position where they end, and bytes for characters that are no piece; each position has a way of length 1."""
+        found = self._automaton.iter(unit)
+        if self._single.issuperset(unit):
+            return found
+        raw = [(end, c.encode("utf-8", "surrogatepass")) for end, c in enumerate(unit) if c not in self._single]
+        spelled = [(end, (1, tuple(self.byte_ids[b] for b in x), self._unknown * len(x))) for end, x in raw]
+        return sorted([*found, *spelled], key=lambda way: way[0])
+
     def _best(self, unit: str) -> tuple[list[int], float]:
         """Ids and score of the best way through one unit; of equal ways the one with the longer last piece."""
-        n = len(unit)
-        best, back = [float("-inf")] * (n + 1), [None] * (n + 1)
-        best[0] = 0.0
-        ends: list[list] = [[] for _ in range(n)]
-        for end, match in self._automaton.iter(unit):
-            ends[end].append(match)
-        for end in range(1, n + 1):
-            for length, i, score in ends[end - 1]:
-                total = best[end - length] + score
-                if total > best[end]:
-                    best[end], back[end] = total, (length, (i,))
-            if back[end] is None or back[end][0] > 1:
-                raw = unit[end - 1].encode("utf-8", "surrogatepass")
-                total = best[end - 1] + self._unknown * len(raw)
-                if total > best[end]:
-                    best[end], back[end] = total, (1, tuple(self.byte_ids[b] for b in raw))
-        ids, at = [], n
+        n, at = len(unit), 0
+        best, back = [0.0] * (n + 1), [(0, ())] * (n + 1)
+        for end, (length, ids, score) in self._ways(unit):
+            total = best[end + 1 - length] + score
+            if end == at:
+                at = end + 1
+            elif total <= best[at]:
+                continue
+            best[at], back[at] = total, (length, ids)
+        parts, at = [], n
         while at:
-            length, some = back[at]
-            ids[:0] = some
+            length, ids = back[at]
+            parts.append(ids)
             at -= length
-        return ids, best[n]
+        return [i for ids in reversed(parts) for i in ids], best[n]
 
     def encode(self, text: str) -> tuple[array, float]:
         """Piece ids and their summed score; an empty text has none."""
@@ -91,7 +96,7 @@ class Codec:
         ids, total, known = array("i"), 0.0, self._known
         if not text:
             return ids, total
-        for unit in _UNITS.findall(" " + text):
+        for unit in self._units.findall(" " + text):
             found = known.get(unit)
             if found is None:
                 if unit == SPACE_MARK:  # the mark itself, which decoding must not take for a space
