@@ -34,19 +34,32 @@ from paperloom.operators.knn import (
 MAX_CENTROID_BYTES = 256 << 20
 
 
+def _check_centroids(n_cells: int, vectors: DataFrame) -> None:
+    first = vectors.select("embedding").filter(F.col("embedding").isNotNull()).first()
+    size = 8 * n_cells * (len(first.embedding) if first else 0)
+    if size > MAX_CENTROID_BYTES:
+        raise ValueError(f"centroids take {size} bytes; use fewer cells")
+
+
 def train_centroids(
     vectors: DataFrame, n_cells: int, train_fraction: float = 1.0, seed: int = 17, max_iter: int = 10
 ) -> np.ndarray:
     """Unit-length cell centres, one row each, trained on a share of the vectors."""
+    _check_centroids(n_cells, vectors)
     usable = vectors.filter(F.col("embedding").isNotNull() & (l2_norm(F.col("embedding")) > 0))
     if train_fraction < 1.0:
         usable = usable.sample(train_fraction, seed=seed)
     features = usable.select(array_to_vector(l2_normalize(F.col("embedding"))).alias("features"))
     model = KMeans(k=n_cells, seed=seed, maxIter=max_iter, initMode="k-means||").fit(features)
-    centers = np.asarray(model.clusterCenters())
-    if centers.nbytes > MAX_CENTROID_BYTES:
-        raise ValueError(f"centroids take {centers.nbytes} bytes; use fewer cells")
-    return np.nan_to_num(unit_rows(centers))
+    return np.nan_to_num(unit_rows(np.asarray(model.clusterCenters())))
+
+
+def group_centroids(vectors: DataFrame, group: str, dim: int) -> np.ndarray:
+    """Unit-length mean vector of each group, in the order of the groups; nothing is trained."""
+    known = vectors.filter(F.col("embedding").isNotNull() & F.col(group).isNotNull())
+    _check_centroids(known.select(group).distinct().count(), known)
+    means = known.groupBy(group).agg(*[F.avg(F.col("embedding")[i].cast("double")) for i in range(dim)])
+    return np.nan_to_num(unit_rows(np.array([list(r)[1:] for r in means.orderBy(group).collect()]).reshape(-1, dim)))
 
 
 def assign_cells(vectors: DataFrame, centroids: np.ndarray) -> DataFrame:

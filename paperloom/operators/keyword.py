@@ -23,7 +23,6 @@ from paperloom.operators.knn import (
     NearestRows,
     kth_distances,
     merge_nearest,
-    sample_share,
 )
 from paperloom.session import spread_small
 
@@ -34,8 +33,6 @@ SCORE_DECIMALS = 12
 BYTES_PER_TERM = 64
 # Scores of one step: bounds what a task adds up at a time.
 ADDED_CELLS = 250_000
-# Up to this many words the scan itself drops all others.
-MAX_FILTER_WORDS = 10_000
 # Stands for the document itself among its words.
 DOCUMENT = ""
 
@@ -88,28 +85,45 @@ def term_blocks(terms: DataFrame, k: int) -> Iterator[TermBlock]:
             yield TermBlock(table)
 
 
-def _asked_words(index: DataFrame, block: TermBlock) -> DataFrame:
-    """``pmid, length, words`` with the words of the block, repeats included."""
-    words = F.col("words")
-    if len(block.words) <= MAX_FILTER_WORDS:
-        # Words are letters and digits only; one text keeps the plan quick to build.
-        vocabulary = ", ".join(f"'{w}'" for w in sorted(block.words))
-        words = F.expr(f"filter(words, w -> w IN ({vocabulary}))")
-    return index.select("pmid", F.size("words").cast("bigint").alias("length"), words.alias("words"))
+def _asked_pairs(lists: pa.ListArray, number_of: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of a word that is asked for and a document that holds it, and how often it does."""
+    encoded = lists.flatten().dictionary_encode()
+    number = np.array([number_of.get(w, -1) for w in encoded.dictionary.to_pylist()], np.int64)
+    word = number[np.asarray(encoded.indices)]
+    document = np.repeat(np.arange(len(lists)), np.diff(np.asarray(lists.offsets)))
+    asked = word >= 0
+    pairs, tf = np.unique(word[asked] * len(lists) + document[asked], return_counts=True)
+    return pairs // max(1, len(lists)), pairs % max(1, len(lists)), tf
 
 
-def _frequencies(asked: DataFrame, block: TermBlock) -> tuple[dict[str, int], int, float]:
+def _frequencies(sized: DataFrame, block: TermBlock) -> tuple[dict[str, int], int, float]:
     """Documents per word of the block, number of documents, their mean length.
 
-    One aggregation, combined before its shuffle, with a row per asked word.
+    Counted where the documents are read; a task sends one row per word that it found.
     """
-    marked = F.concat(F.array(F.lit(DOCUMENT)), F.array_distinct("words"))
-    each = asked.select(F.explode(marked).alias("term"), "length")
-    if len(block.words) > MAX_FILTER_WORDS:
-        spark = asked.sparkSession
-        known = pa.table({"term": [DOCUMENT, *block.words]})
-        each = each.join(spark.createDataFrame(known), "term", "left_semi")
-    counted = each.groupBy("term").agg(F.count("*").alias("df"), F.sum("length").alias("words")).toArrow()
+    shared = sized.sparkSession.sparkContext.broadcast(block.words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = shared.value
+        number_of = {w: i for i, w in enumerate(words)}
+        df, n_docs, total = np.zeros(len(words), np.int64), 0, 0
+        for batch in batches:
+            word, _, _ = _asked_pairs(batch.column("words"), number_of)
+            df += np.bincount(word, minlength=len(words))
+            n_docs += batch.num_rows
+            total += int(np.asarray(batch.column("length")).sum())
+        found = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([DOCUMENT, *[words[i] for i in found]]),
+                pa.array([n_docs, *df[found].tolist()]),
+                pa.array([total, *[0] * len(found)]),
+            ],
+            names=["term", "df", "words"],
+        )
+
+    parts = sized.mapInArrow(run, "term string, df bigint, words bigint")
+    counted = parts.groupBy("term").agg(F.sum("df").alias("df"), F.sum("words").alias("words")).toArrow()
     df = dict(zip(counted["term"].to_pylist(), counted["df"].to_pylist()))
     total = dict(zip(counted["term"].to_pylist(), counted["words"].to_pylist()))
     n_docs = df.pop(DOCUMENT, 0)
@@ -134,15 +148,8 @@ def _score_in_task(shared, k: int, bounds: np.ndarray):
         for whole in batches:
             for start in range(0, whole.num_rows, step):
                 batch = whole.slice(start, step)
-                lists = batch.column("words")
-                n_docs = len(lists)
-                encoded = lists.flatten().dictionary_encode()
-                number = np.array([number_of.get(w, -1) for w in encoded.dictionary.to_pylist()], np.int64)
-                word = number[np.asarray(encoded.indices)]
-                document = np.repeat(np.arange(n_docs), np.diff(np.asarray(lists.offsets)))
-                asked = word >= 0
-                pairs, tf = np.unique(word[asked] * n_docs + document[asked], return_counts=True)
-                word, document = pairs // n_docs, pairs % n_docs
+                n_docs = batch.num_rows
+                word, document, tf = _asked_pairs(batch.column("words"), number_of)
                 relative_length = np.asarray(batch.column("length"))[document] / mean_length
                 weight = idf[word] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * relative_length))
                 owners = block.n_owners[word]
@@ -159,28 +166,27 @@ def _score_in_task(shared, k: int, bounds: np.ndarray):
 
 
 def search_index(
-    index: DataFrame, queries: DataFrame, k: int = 1000, prune_fraction: float | None = None
+    index: DataFrame, queries: DataFrame, k: int = 1000, prune_fraction: float = 0.0
 ) -> DataFrame:
     """Best ``k`` documents of every query: ``query_id, pmid, rank, score``.
 
     ``index`` comes from ``build_index``, ``queries`` has ``query_id, query``.
     ``prune_fraction`` works as in the vector search.
     """
-    share = sample_share(index, prune_fraction)
     context = index.sparkSession.sparkContext
+    sized = index.select("pmid", F.size("words").cast("bigint").alias("length"), "words")
     passes = []
     for block in term_blocks(query_terms(queries), k):
-        asked = _asked_words(index, block)
-        df, n_docs, mean_length = _frequencies(asked, block)
+        df, n_docs, mean_length = _frequencies(sized, block)
         frequency = np.array([df.get(w, 0) for w in block.words])
         idf = np.log(1 + (n_docs - frequency + 0.5) / (frequency + 0.5))
         shared = context.broadcast((block, idf, mean_length))
         # Only documents with a positive score count as found.
         bounds = np.full(len(block.query_ids), np.nextafter(0.0, -1.0))
-        if share:
-            sample = asked.sample(share, seed=7).mapInArrow(_score_in_task(shared, k, bounds), NEIGHBOUR_SCHEMA)
+        if prune_fraction:
+            sample = sized.sample(prune_fraction, seed=7).mapInArrow(_score_in_task(shared, k, bounds), NEIGHBOUR_SCHEMA)
             bounds = np.minimum(bounds, kth_distances(sample, block.query_ids, k))
-        passes.append(asked.mapInArrow(_score_in_task(shared, k, bounds), NEIGHBOUR_SCHEMA))
+        passes.append(sized.mapInArrow(_score_in_task(shared, k, bounds), NEIGHBOUR_SCHEMA))
     if not passes:
         passes = [index.sparkSession.createDataFrame([], NEIGHBOUR_SCHEMA)]
     ranked = merge_nearest(reduce(DataFrame.union, passes), k)
@@ -188,7 +194,7 @@ def search_index(
 
 
 def search(
-    documents: DataFrame, queries: DataFrame, k: int = 1000, prune_fraction: float | None = None
+    documents: DataFrame, queries: DataFrame, k: int = 1000, prune_fraction: float = 0.0
 ) -> DataFrame:
     """BM25 search of ``documents(pmid, text)`` for ``queries(query_id, query)``."""
     return search_index(build_index(spread_small(documents)), queries, k, prune_fraction)

@@ -19,18 +19,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.operators.topk import top_n_per_group
-from paperloom.session import UNKNOWN_BYTES, estimated_bytes, spread_small
+from paperloom.session import spread_small
 
 DISTANCE_DECIMALS = 12
 # Bounds of one query block: its matrix, and the neighbours one task keeps.
 MAX_QUERY_BYTES = 64 << 20
-MAX_KEPT_ROWS = 8_000_000
-# Up to this many queries are one block, whatever their dimension.
-ONE_BLOCK_QUERIES = 2000
+MAX_KEPT_ROWS = 1_000_000
 SCORE_CELLS = 4_000_000
-# Tables above this size are sampled first.
-PRUNE_ABOVE_BYTES = 100 << 30
-PRUNE_SHARE = 0.01
+# Products of another block shape may fall on the other side of a rounding edge.
+BOUND_SLACK = 2 * 10.0**-DISTANCE_DECIMALS
 
 NEIGHBOUR_SCHEMA = "query_id bigint, pmid bigint, distance double"
 _NEIGHBOURS = pa.schema(
@@ -74,7 +71,7 @@ class NearestRows:
         self.distance = np.empty(0, np.float64)
         self.pending: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self.pending_rows = 0
-        self.flush_at = max(4 * n_queries * k, 200_000)
+        self.flush_at = max(n_queries * k, 200_000)
 
     def add(self, queries: np.ndarray, pmids: np.ndarray, distances: np.ndarray) -> None:
         """``distances`` has one row per entry of ``queries``; NaN counts as farthest."""
@@ -135,15 +132,10 @@ class QueryBlock:
 def query_blocks(queries: DataFrame, k: int) -> Iterator[QueryBlock]:
     """The query set in blocks within the size bounds, one at a time."""
     rows = queries.select(F.col("query_id").cast("bigint").alias("query_id"), "embedding")
-    most = max(1, min(ONE_BLOCK_QUERIES, MAX_KEPT_ROWS // max(1, k)))
-    first = rows.limit(most + 1).toArrow()
-    if first.num_rows <= most:
-        if first.num_rows:
-            yield QueryBlock(first)
-        return
-    dim = len(first["embedding"][0])
+    size = rows.agg(F.count("*"), F.max(F.size("embedding"))).first()
+    dim = max(1, size[1] or 0)
     per_block = max(1, min(MAX_QUERY_BYTES // (8 * dim), MAX_KEPT_ROWS // max(1, k)))
-    blocks = -(-rows.count() // per_block)
+    blocks = -(-size[0] // per_block)
     for b in range(blocks):
         table = rows.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b).toArrow()
         if table.num_rows:
@@ -174,14 +166,6 @@ def _candidates(vectors: DataFrame, block: QueryBlock, k: int, bounds: np.ndarra
     return spread_small(rows).mapInArrow(_nearest_in_task(shared, k, bounds), NEIGHBOUR_SCHEMA)
 
 
-def sample_share(rows: DataFrame, share: float | None) -> float:
-    """Share of the rows to score first: as asked, else a little of a large table."""
-    if share is not None:
-        return share
-    size = estimated_bytes(rows)
-    return PRUNE_SHARE if PRUNE_ABOVE_BYTES < size < UNKNOWN_BYTES else 0.0
-
-
 def kth_distances(candidates: DataFrame, query_ids: np.ndarray, k: int) -> np.ndarray:
     """k-th distance of each query among some of the rows: never below the final one."""
     kth = (
@@ -210,7 +194,7 @@ def nearest(
     vectors: DataFrame,
     queries: DataFrame,
     k: int = 1000,
-    prune_fraction: float | None = None,
+    prune_fraction: float = 0.0,
 ) -> DataFrame:
     """k nearest vectors of every query: ``query_id, pmid, rank, distance``.
 
@@ -218,16 +202,16 @@ def nearest(
     with one row per id. Query sets above the block bounds are scored in
     several passes. ``prune_fraction`` first scores that share of the
     vectors; the distances found bound the result, so tasks of the full pass
-    drop what cannot be in it. The result is the same with and without; by
-    default only large tables are sampled first.
+    drop what cannot be in it. The result is the same with and without; a
+    hundredth pays where thousands of tasks would each send k rows per query.
+    The query set is read while the plan is built.
     """
-    share = sample_share(vectors, prune_fraction)
     passes = []
     for block in query_blocks(queries, k):
         bounds = None
-        if share:
-            sample = _candidates(vectors.sample(share, seed=7), block, k, None)
-            bounds = kth_distances(sample, block.ids, k)
+        if prune_fraction:
+            sample = _candidates(vectors.sample(prune_fraction, seed=7), block, k, None)
+            bounds = kth_distances(sample, block.ids, k) + BOUND_SLACK
         passes.append(_candidates(vectors, block, k, bounds))
     if not passes:
         empty = vectors.sparkSession.createDataFrame([], NEIGHBOUR_SCHEMA)
@@ -243,6 +227,21 @@ def nearest_to_vector(vectors: DataFrame, query_vector: list[float], k: int = 5)
     return nearest(vectors, one, k).drop("query_id")
 
 
+def distances_to_vector(vectors: DataFrame, query_vector: list[float]) -> DataFrame:
+    """``pmid, distance`` of every vector, taken where it is read; narrow rows to join and rank."""
+    query = unit_rows(np.array([query_vector], np.float64))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = unit_rows(matrix(batch.column("embedding"), query.shape[1]))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("pmid"), pa.array(distance_block(query, rows)[0])], names=["pmid", "distance"]
+            )
+
+    rows = vectors.filter(F.col("embedding").isNotNull()).select(F.col("pmid").cast("bigint").alias("pmid"), "embedding")
+    return rows.mapInArrow(run, "pmid bigint, distance double")
+
+
 def rank_within_query(scored: DataFrame, score: Column, ranges: int = 32) -> DataFrame:
     """0-based ``rank`` of every row by descending score, then id.
 

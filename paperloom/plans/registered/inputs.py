@@ -70,16 +70,10 @@ def vectors(spark: SparkSession, folder: str) -> DataFrame:
 VECTORS = "vectors AS (SELECT vec_id AS pmid, embedding FROM embeddings)"
 
 
-def vector_queries(spark: SparkSession, folder: str) -> DataFrame:
-    """Every vector asks for its neighbours."""
-    return table(spark, folder, "embeddings").select(F.col("vec_id").alias("query_id"), "embedding")
-
-
 def mean_vector(spark: SparkSession, folder: str) -> list[float]:
     """Mean of all vectors, the query of the single-query searches."""
-    each = table(spark, folder, "embeddings").select(F.posexplode("embedding").alias("i", "x"))
-    means = each.groupBy("i").agg(F.avg(F.col("x").cast("double")).alias("m")).orderBy("i")
-    return [row.m for row in means.collect()]
+    component = lambda i: F.col("embedding")[i].cast("double")
+    return list(table(spark, folder, "embeddings").agg(*[F.avg(component(i)) for i in range(DIM)]).first())
 
 
 MEAN_VECTOR = """mean_vector AS (

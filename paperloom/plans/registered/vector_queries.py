@@ -16,6 +16,7 @@ QUERIES = {}
 SQL = {}
 K = 10
 CELLS = 8
+PROBED = 3
 
 
 def register(sql: str | None = None):
@@ -28,11 +29,61 @@ def register(sql: str | None = None):
     return add
 
 
-NEIGHBOURS = f"""SELECT query_id, pmid, CAST(rank AS INTEGER) AS rank, abs(round(distance, 6)) AS distance FROM (
+def hashed_cte(name: str, source: str, key: str) -> str:
+    """Common table expressions of the hashed embedding of ``source(key, text)``."""
+    return f"""{name}_words AS (
+  SELECT {key}, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+')) AS token FROM {source}),
+{name}_counts AS (
+  SELECT {key}, CAST(CAST('0x' || substr(md5(token), 1, 8) AS BIGINT) % {I.DIM} AS INTEGER) AS bucket, count(*) AS n
+  FROM {name}_words WHERE token <> '' GROUP BY ALL),
+{name}_norms AS (SELECT {key}, sqrt(CAST(sum(n * n) AS DOUBLE)) AS norm FROM {name}_counts GROUP BY ALL),
+{name}_long AS (
+  SELECT s.{key}, CAST(b.bucket AS INTEGER) AS bucket,
+    CAST(CASE WHEN norm > 0 THEN coalesce(n, 0) / norm ELSE 0 END AS FLOAT) AS x
+  FROM {source} s CROSS JOIN (SELECT unnest(range({I.DIM})) AS bucket) b
+  LEFT JOIN {name}_counts c ON c.{key} = s.{key} AND c.bucket = b.bucket
+  LEFT JOIN {name}_norms m ON m.{key} = s.{key}),
+{name} AS (SELECT {key}, list(x ORDER BY bucket) AS embedding FROM {name}_long GROUP BY {key})"""
+
+
+ARTICLE_TEXTS = "article_texts AS (SELECT doc_id AS pmid, text FROM documents)"
+QUERY_TEXTS = "query_texts AS (SELECT item_id AS query_id, text FROM benchmark)"
+HASHED_ARTICLES = hashed_cte("article_vectors", "article_texts", "pmid")
+HASHED_QUERIES = hashed_cte("query_vectors", "query_texts", "query_id")
+
+
+def embed_text_queries(queries):
+    return embedding.hashed_embedding(queries, "query_id", "query", I.DIM)
+
+
+# Cells around the mean vector of each label; a query looks into the ones nearest to it.
+CELLS_AND_PROBES = f"""centres AS (
+  SELECT label AS cell, list(m ORDER BY i) AS centre FROM (
+    SELECT label, i, avg(CAST(x AS DOUBLE)) AS m
+    FROM (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY ALL)
+  GROUP BY label),
+cells AS (
+  SELECT vec_id, embedding, cell FROM embeddings CROSS JOIN centres QUALIFY row_number() OVER (
+    PARTITION BY vec_id ORDER BY list_cosine_similarity(CAST(embedding AS DOUBLE[]), centre) DESC, cell) = 1),
+probes AS (
+  SELECT query_id, embedding, cell FROM query_vectors CROSS JOIN centres QUALIFY row_number() OVER (
+    PARTITION BY query_id ORDER BY list_cosine_similarity(CAST(embedding AS DOUBLE[]), centre) DESC, cell) <= {PROBED})"""
+
+
+def neighbours_sql(pairs: str, *ctes: str) -> str:
+    return I.with_ctes(QUERY_TEXTS, HASHED_QUERIES, *ctes) + f"""SELECT
+  query_id, pmid, CAST(rank AS INTEGER) AS rank, abs(round(distance, 6)) AS distance FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, pmid) - 1 AS rank FROM (
-    SELECT q.vec_id AS query_id, v.vec_id AS pmid,
-      {I.DISTANCE.format(a='q.embedding', b='v.embedding')} AS distance
-    FROM embeddings q CROSS JOIN embeddings v)) WHERE rank < {K}"""
+    SELECT q.query_id, v.vec_id AS pmid, {I.DISTANCE.format(a='q.embedding', b='v.embedding')} AS distance
+    FROM {pairs})) WHERE rank < {K}"""
+
+
+NEIGHBOURS = neighbours_sql("query_vectors q CROSS JOIN embeddings v")
+
+
+def _queries(spark, folder):
+    """The benchmark texts ask for their neighbours."""
+    return embed_text_queries(I.text_queries(spark, folder))
 
 
 def _rounded(df):
@@ -54,13 +105,13 @@ def search_with_metadata(spark, folder):
 
 @register(NEIGHBOURS)
 def knn_exact_batch(spark, folder):
-    return _rounded(knn.nearest(I.vectors(spark, folder), I.vector_queries(spark, folder), K))
+    return _rounded(knn.nearest(I.vectors(spark, folder), _queries(spark, folder), K))
 
 
 @register(NEIGHBOURS)
 def knn_exact_pruned(spark, folder):
     return _rounded(
-        knn.nearest(I.vectors(spark, folder), I.vector_queries(spark, folder), K, prune_fraction=0.2)
+        knn.nearest(I.vectors(spark, folder), _queries(spark, folder), K, prune_fraction=0.2)
     )
 
 
@@ -84,13 +135,15 @@ def _index(spark, folder):
 @register(NEIGHBOURS)
 def knn_ivf_full_probe(spark, folder):
     cells, centroids = _index(spark, folder)
-    return _rounded(ivf.search(cells, centroids, I.vector_queries(spark, folder), K, n_probe=CELLS))
+    return _rounded(ivf.search(cells, centroids, _queries(spark, folder), K, n_probe=CELLS))
 
 
-@register()
+@register(neighbours_sql("probes q JOIN cells v USING (cell)", CELLS_AND_PROBES))
 def knn_ivf(spark, folder):
-    cells, centroids = _index(spark, folder)
-    return _rounded(ivf.search(cells, centroids, I.vector_queries(spark, folder), K, n_probe=3))
+    labelled = I.table(spark, folder, "embeddings").select(F.col("vec_id").alias("pmid"), "embedding", "label")
+    centroids = ivf.group_centroids(labelled, "label", I.DIM)
+    cells = ivf.assign_cells(labelled, centroids)
+    return _rounded(ivf.search(cells, centroids, _queries(spark, folder), K, n_probe=PROBED))
 
 
 @register(
@@ -197,29 +250,6 @@ def orphan_vectors(spark, folder):
     return quality.orphan_vectors(I.vectors(spark, folder), articles)
 
 
-def hashed_cte(name: str, source: str, key: str) -> str:
-    """Common table expressions of the hashed embedding of ``source(key, text)``."""
-    return f"""{name}_words AS (
-  SELECT {key}, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+')) AS token FROM {source}),
-{name}_counts AS (
-  SELECT {key}, CAST(CAST('0x' || substr(md5(token), 1, 8) AS BIGINT) % {I.DIM} AS INTEGER) AS bucket, count(*) AS n
-  FROM {name}_words WHERE token <> '' GROUP BY ALL),
-{name}_norms AS (SELECT {key}, sqrt(CAST(sum(n * n) AS DOUBLE)) AS norm FROM {name}_counts GROUP BY ALL),
-{name}_long AS (
-  SELECT s.{key}, CAST(b.bucket AS INTEGER) AS bucket,
-    CAST(CASE WHEN norm > 0 THEN coalesce(n, 0) / norm ELSE 0 END AS FLOAT) AS x
-  FROM {source} s CROSS JOIN (SELECT unnest(range({I.DIM})) AS bucket) b
-  LEFT JOIN {name}_counts c ON c.{key} = s.{key} AND c.bucket = b.bucket
-  LEFT JOIN {name}_norms m ON m.{key} = s.{key}),
-{name} AS (SELECT {key}, list(x ORDER BY bucket) AS embedding FROM {name}_long GROUP BY {key})"""
-
-
-ARTICLE_TEXTS = "article_texts AS (SELECT doc_id AS pmid, text FROM documents)"
-QUERY_TEXTS = "query_texts AS (SELECT item_id AS query_id, text FROM benchmark)"
-HASHED_ARTICLES = hashed_cte("article_vectors", "article_texts", "pmid")
-HASHED_QUERIES = hashed_cte("query_vectors", "query_texts", "query_id")
-
-
 @register(
     I.with_ctes(ARTICLE_TEXTS, HASHED_ARTICLES)
     + "SELECT pmid, bucket AS i, round(CAST(x AS DOUBLE), 6) AS x FROM article_vectors_long"
@@ -230,10 +260,6 @@ def embed_hashed(spark, folder):
     return each.select("pmid", F.col("i").cast("int").alias("i"), F.round(F.col("x").cast("double"), 6).alias("x"))
 
 
-def embed_text_queries(queries):
-    return embedding.hashed_embedding(queries, "query_id", "query", I.DIM)
-
-
 def text_neighbours_sql(k: int) -> str:
     return f"""SELECT query_id, pmid, rank, distance FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, pmid) - 1 AS INTEGER) AS rank FROM (

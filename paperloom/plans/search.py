@@ -9,7 +9,6 @@ from paperloom.functions.text import article_url, author_line, citation, distanc
 from paperloom.operators import ivf, knn
 
 SHOWN = 25
-BROADCAST_HITS = 100_000
 METADATA = ["title", "authors", "journal_name", "year", "volume", "issue", "pagination"]
 
 
@@ -18,14 +17,8 @@ def with_article(vectors: DataFrame, articles: DataFrame) -> DataFrame:
     return vectors.join(articles.select("pmid"), "pmid", "left_semi")
 
 
-def attach_metadata(hits: DataFrame, articles: DataFrame, max_hits: int | None = None) -> DataFrame:
-    """Hits with the metadata of their article.
-
-    With a known bound on their number the hits are broadcast, and the
-    article table is not shuffled for the sake of a few rows.
-    """
-    if max_hits is not None and max_hits <= BROADCAST_HITS:
-        hits = F.broadcast(hits)
+def attach_metadata(hits: DataFrame, articles: DataFrame) -> DataFrame:
+    """Hits with the metadata of their article; Spark sees at run time how few the hits are."""
     return articles.select("pmid", *METADATA).join(hits, "pmid")
 
 
@@ -35,10 +28,12 @@ def search_with_metadata(
     """``k`` nearest articles with their metadata, best first.
 
     Vectors without an article are left out before the ranking, so they never
-    take a place in it.
+    take a place in it. Vectors are scored where they are read; what is joined
+    and shuffled is ``pmid, distance``.
     """
-    hits = knn.nearest_to_vector(with_article(vectors, articles), query_vector, k)
-    found = attach_metadata(hits, articles, max_hits=k)
+    scored = with_article(knn.distances_to_vector(vectors, query_vector), articles)
+    hits = knn.merge_nearest(scored.withColumn("query_id", F.lit(0)), k).drop("query_id")
+    found = attach_metadata(hits, articles)
     return found.select("distance", "pmid", *METADATA, "rank").orderBy("rank")
 
 

@@ -26,8 +26,6 @@ def shared_dir(spark: SparkSession) -> str:
 
 # A table up to this size may sit in a file or two that only as many tasks can read.
 SMALL_TABLE_BYTES = 1 << 30
-# Estimates from here on mean that Spark knows nothing about the size.
-UNKNOWN_BYTES = 1 << 60
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -38,7 +36,7 @@ def estimated_bytes(df: DataFrame) -> int:
 def spread_small(df: DataFrame) -> DataFrame:
     """``df`` over all cores when it is small; a large one stays as it is read.
 
-    For steps that compute much per row.
+    For steps that compute much per row; the rows are the same either way.
     """
     if estimated_bytes(df) > SMALL_TABLE_BYTES:
         return df

@@ -66,7 +66,6 @@ def test_ties_and_zero_vectors(spark, data):
 
 def test_several_query_blocks(spark, data, monkeypatch):
     v, q, vectors, queries = data
-    monkeypatch.setattr(knn, "ONE_BLOCK_QUERIES", 2)
     monkeypatch.setattr(knn, "MAX_KEPT_ROWS", 12)
     assert as_lists(knn.nearest(vectors, queries, 4)) == brute(v, q, 4)
 
@@ -91,15 +90,6 @@ def test_pruning_keeps_the_result(spark, data):
     assert as_lists(knn.nearest(vectors, queries, 290, prune_fraction=0.1)) == brute(v, q, 290)
 
 
-def test_large_tables_are_sampled_first(spark, data, monkeypatch):
-    v, q, vectors, queries = data
-    assert knn.sample_share(vectors, None) == 0.0
-    monkeypatch.setattr(knn, "PRUNE_ABOVE_BYTES", 10)
-    monkeypatch.setattr(knn, "UNKNOWN_BYTES", 1 << 200)
-    monkeypatch.setattr(knn, "PRUNE_SHARE", 0.3)
-    assert as_lists(knn.nearest(vectors, queries, 5)) == brute(v, q, 5)
-
-
 def test_empty_query_set_and_wrong_dimension(spark, data):
     _, _, vectors, queries = data
     assert knn.nearest(vectors, queries.limit(0), 5).count() == 0
@@ -142,6 +132,9 @@ def test_search_leaves_out_orphans_before_the_limit(spark, data):
     expected = [p for p in brute(v, q, 300)[100] if p % 3 == 0][:25]
     rows = hits.collect()
     assert [r.pmid for r in rows] == expected
+    # Vectors are scored where they are read: nothing is shuffled before.
+    shuffled = [line for line in plan(hits).splitlines() if "Exchange" in line]
+    assert shuffled and not any("embedding" in line for line in shuffled)
     shown = search.display(hits).first()
     assert shown.url.endswith(f"/{expected[0]}/") and shown.distance_line.startswith("Semantic distance: ")
 
@@ -212,12 +205,11 @@ def bm25(docs, queries, k):
 
 
 @pytest.mark.parametrize(
-    "few_words,small_blocks,share",
-    [(10_000, False, None), (2, False, None), (10_000, True, None), (10_000, False, 0.5)],
+    "small_blocks,share",
+    [(False, 0.0), (True, 0.0), (False, 0.5)],
 )
-def test_keyword_search_matches_brute_force(spark, texts, monkeypatch, few_words, small_blocks, share):
+def test_keyword_search_matches_brute_force(spark, texts, monkeypatch, small_blocks, share):
     docs, queries, documents, query_df = texts
-    monkeypatch.setattr(keyword, "MAX_FILTER_WORDS", few_words)
     if small_blocks:
         monkeypatch.setattr(keyword, "MAX_KEPT_ROWS", 14)
         monkeypatch.setattr(keyword, "ADDED_CELLS", 20)
