@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+import uuid
+from collections.abc import Callable, Iterator, Sequence
 from typing import Protocol
 
 import numpy as np
@@ -23,7 +24,7 @@ MAX_KNOWN_WORDS = 1_000_000
 
 
 class Embedder(Protocol):
-    """What a caller's model must offer; loaded once per task."""
+    """What a caller's model must offer; loaded once per Python worker."""
 
     def encode(self, texts: list[str], batch_size: int, prompt_name: str | None) -> np.ndarray: ...
 
@@ -34,6 +35,18 @@ def vector_array(rows: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.ravel()))
 
 
+# The model this worker loaded last, with the name of the job it belongs to.
+_loaded: dict[str, Embedder] = {}
+
+
+def _model(job: str, load_model: Callable[[], Embedder]) -> Embedder:
+    """The job's model; tasks that share a worker share it, a new job's model replaces it."""
+    if job not in _loaded:
+        _loaded.clear()
+        _loaded[job] = load_model()
+    return _loaded[job]
+
+
 def embed_texts(
     df: DataFrame,
     load_model: Callable[[], Embedder],
@@ -41,28 +54,31 @@ def embed_texts(
     text: str = "text",
     prompt_name: str | None = None,
     batch_size: int = MODEL_BATCH,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """``key, embedding`` of every row; a NULL text is embedded as the empty text.
+    """``key``, the ``carry`` columns and ``embedding`` of every row; a NULL text is embedded as the empty text.
 
     The key may be any column; Arrow batches bound what a task holds.
     """
-    source = df.select(key, null_to_empty(F.col(text)).alias("text"))
-    key_type = source.schema[key].dataType.simpleString()
+    names = [key, *carry]
+    source = df.select(*names, null_to_empty(F.col(text)).alias("_text"))
+    types = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in names)
+    job = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = None
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            if model is None:
-                model = load_model()
             out = np.asarray(
-                model.encode(batch.column("text").to_pylist(), batch_size=batch_size, prompt_name=prompt_name),
+                _model(job, load_model).encode(
+                    batch.column("_text").to_pylist(), batch_size=batch_size, prompt_name=prompt_name
+                ),
                 dtype=np.float32,
             )
-            yield pa.RecordBatch.from_arrays([batch.column(key), vector_array(out)], names=[key, "embedding"])
+            columns = [batch.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays([*columns, vector_array(out)], names=[*names, "embedding"])
 
-    return source.mapInArrow(run, f"`{key}` {key_type}, embedding array<float>")
+    return source.mapInArrow(run, f"{types}, embedding array<float>")
 
 
 def embed_queries(
@@ -77,19 +93,22 @@ def word_bucket(word: str, dim: int) -> int:
     return int.from_bytes(hashlib.md5(word.encode("utf-8")).digest()[:4], "big") % dim
 
 
-def hashed_embedding(df: DataFrame, key: str = "pmid", text: str = "text", dim: int = 64) -> DataFrame:
-    """Unit vector of hashed word counts per row: ``key, embedding``.
+def hashed_embedding(
+    df: DataFrame, key: str = "pmid", text: str = "text", dim: int = 64, carry: Sequence[str] = ()
+) -> DataFrame:
+    """Unit vector of hashed word counts per row: ``key``, the ``carry`` columns and ``embedding``.
 
     Needs no model and no shuffle; a text without words gives a zero vector.
     """
     words = F.coalesce(tokens(F.col(text)), F.array().cast("array<string>"))
-    source = spread_small(df.select(key, text)).select(key, words.alias("words"))
-    key_type = source.schema[key].dataType.simpleString()
+    names = [key, *carry]
+    source = spread_small(df.select(*names, text)).select(*names, words.alias("_words"))
+    types = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, int] = {}
         for batch in batches:
-            lists = batch.column("words")
+            lists = batch.column("_words")
             encoded = lists.flatten().dictionary_encode()
             if len(known) > MAX_KNOWN_WORDS:
                 known.clear()
@@ -104,9 +123,10 @@ def hashed_embedding(df: DataFrame, key: str = "pmid", text: str = "text", dim:
             counts = np.bincount(cells, minlength=len(lists) * dim).reshape(len(lists), dim)
             norms = np.sqrt((counts * counts).sum(axis=1))
             unit = (counts / np.where(norms == 0, 1, norms)[:, None]).astype(np.float32)
-            yield pa.RecordBatch.from_arrays([batch.column(key), vector_array(unit)], names=[key, "embedding"])
+            columns = [batch.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays([*columns, vector_array(unit)], names=[*names, "embedding"])
 
-    return source.mapInArrow(run, f"`{key}` {key_type}, embedding array<float>")
+    return source.mapInArrow(run, f"{types}, embedding array<float>")
 
 
 def text_hash(text: Column) -> Column:

@@ -32,14 +32,20 @@ def live_rows(changes: DataFrame, key: str = "pmid", order: list[str] | None = N
 def upsert(target: DataFrame, delta: DataFrame, key: str = "pmid") -> DataFrame:
     """Winning changes of an already compacted table and other change rows.
 
-    Only keys the delta names are compared again; the rest of the table is
-    passed on without a shuffle whenever the delta's keys are few enough for
-    Spark to broadcast.
+    The table is read whole once, each row beside the delta's last change of its
+    key, of which the greater one stays; keys that only the delta has are found by
+    a scan of the key alone. Nothing of the table is shuffled whenever the delta
+    is small enough for Spark to broadcast.
     """
-    keys = delta.select(key).distinct()
-    untouched = target.join(keys, key, "left_anti")
-    touched = target.join(keys, key, "left_semi")
-    return untouched.unionByName(last_changes(touched.unionByName(delta), key))
+    others = [c for c in target.columns if c != key]
+    latest = last_changes(delta, key).select(key, F.struct(*others).alias("_new"))
+    beside = target.select(key, F.struct(*others).alias("_old")).join(latest, key, "left")
+    order = lambda row: F.struct(*[F.col(f"{row}.{c}") for c in CHANGE_ORDER])
+    newer = F.col("_new").isNotNull() & (order("_new") > order("_old"))
+    known = beside.select(key, F.when(newer, F.col("_new")).otherwise(F.col("_old")).alias("_w"))
+    added = latest.join(target.select(key), key, "left_anti").withColumnRenamed("_new", "_w")
+    whole = known.unionByName(added).select(key, *[f"_w.{c}" for c in others])
+    return whole.select(*target.columns)
 
 
 def last_value_per_key(df: DataFrame, key: str, value: str, order: str) -> DataFrame:

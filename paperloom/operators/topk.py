@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Up to this n Spark itself cuts each group before the shuffle.
-PARTIAL_LIMIT = 1000
-
 
 def top_n_per_group(
     df: DataFrame,
@@ -19,17 +16,17 @@ def top_n_per_group(
 ) -> DataFrame:
     """Rows with 1-based ``position <= n`` in their group.
 
-    For larger n each group is first cut to n rows per salt, so that the last
-    window never sees more than ``salts * n`` rows of one group.
+    Each group is first cut to n rows per salt, so that the last window never sees
+    more than ``salts * n`` rows of one group. The salts bound the tasks that share
+    one group; raise them with the rows.
     """
-    if n > PARTIAL_LIMIT:
-        salt = F.pmod(F.xxhash64(*[c for c in df.columns]), F.lit(salts))
-        salted = Window.partitionBy(*group, "_salt").orderBy(*order)
-        df = (
-            df.withColumn("_salt", salt)
-            .withColumn("_part_position", F.row_number().over(salted))
-            .filter(F.col("_part_position") <= n)
-            .drop("_salt", "_part_position")
-        )
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts))
+    salted = Window.partitionBy(*group, "_salt").orderBy(*order)
+    cut = (
+        df.withColumn("_salt", salt)
+        .withColumn("_part_position", F.row_number().over(salted))
+        .filter(F.col("_part_position") <= n)
+        .drop("_salt", "_part_position")
+    )
     window = Window.partitionBy(*group).orderBy(*order)
-    return df.withColumn(position, F.row_number().over(window)).filter(F.col(position) <= n)
+    return cut.withColumn(position, F.row_number().over(window)).filter(F.col(position) <= n)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from paperloom.embedding import pending_texts
 from paperloom.operators.changelog import ArticleStore
@@ -22,9 +23,11 @@ def update_articles(spark: SparkSession, xml_folder: str, store_folder: str, **o
 def embed_pending(
     articles: DataFrame, done: DataFrame, embed: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
-    """Vectors of new and changed articles: ``pmid, text_hash, pub_date, embedding``."""
-    texts = texts_to_embed(articles)
-    pending = pending_texts(texts, done)
-    vectors = embed(pending.select("pmid", "text"))
-    kept = pending.select("pmid", "text_hash", pending.publication_date.alias("pub_date"))
-    return kept.join(vectors, "pmid")
+    """Vectors of new and changed articles: ``pmid, text_hash, pub_date, embedding``.
+
+    ``embed`` gets ``pmid, text_hash, pub_date, text`` and gives the first three back
+    with ``embedding``, so no text is composed twice.
+    """
+    pending = pending_texts(texts_to_embed(articles), done)
+    vectors = embed(pending.select("pmid", "text_hash", F.col("publication_date").alias("pub_date"), "text"))
+    return vectors.select("pmid", "text_hash", "pub_date", "embedding")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.functions.vectors import from_wide, half_precision, require_dimension, to_wide
 from paperloom.operators.quality import append_check
-from paperloom.session import exists
+from paperloom.session import exists, shared_dir
 
 PARTITIONS = 8
 ROWS_PER_FILE = 10_000
@@ -39,9 +41,14 @@ def prepare_vectors(df: DataFrame, dim: int, precision: str = "full") -> DataFra
 def append_vectors(df: DataFrame, folder: str, dim: int, precision: str = "full") -> int:
     """Append to a vector table, creating it if absent; gives its size afterwards.
 
-    Refuses vectors of another dimension and ids that are there already.
+    Refuses vectors of another dimension and ids that are there already. The input
+    is evaluated once, into a staging table that is checked and then appended.
     """
     spark = df.sparkSession
+    prepare_vectors(df, dim, precision)  # refuses an unknown precision before anything is staged
+    staging = f"{shared_dir(spark).rstrip('/')}/vectors-{uuid.uuid4().hex}"
+    df.select("pmid", "embedding").write.parquet(staging)
+    df = spark.read.parquet(staging)
     rows = prepare_vectors(df, dim, precision)
     stored = spark.read.parquet(folder) if exists(spark, folder) else spark.createDataFrame([], rows.schema)
     check = append_check(df, stored, dim).first()
@@ -71,10 +78,10 @@ def partition_number(modulus: int = PARTITIONS):
     return F.pmod(F.col("pmid"), F.lit(modulus)).cast("int")
 
 
-def write_partitioned(df: DataFrame, folder: str, modulus: int = PARTITIONS) -> None:
-    """Copy of a vector table with one folder per partition number."""
+def write_partitioned(df: DataFrame, folder: str, modulus: int = PARTITIONS, splits: int = 16) -> None:
+    """Copy of a vector table with one folder per partition number, written by up to ``splits`` tasks each."""
     numbered = df.withColumn("part", partition_number(modulus))
-    numbered.repartition("part", F.pmod(F.xxhash64("pmid"), F.lit(16))).write.mode("overwrite").partitionBy(
+    numbered.repartition(modulus * splits, "part", F.pmod(F.xxhash64("pmid"), F.lit(splits))).write.mode("overwrite").partitionBy(
         "part"
     ).parquet(folder)
 

@@ -23,6 +23,14 @@ def stored_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return rows.groupBy("pmid").agg(newest).select("pmid", "v.*")
 
 
+def stored_hashes(spark: SparkSession, folder: str, other_than: int) -> DataFrame:
+    """``pmid, text_hash`` of the newest vectors outside one batch; no vector is read."""
+    if not exists(spark, folder):
+        return spark.createDataFrame([], "pmid bigint, text_hash string")
+    rows = spark.read.schema(STORED).parquet(folder).filter(F.col("batch") != other_than)
+    return rows.groupBy("pmid").agg(F.max_by("text_hash", "batch").alias("text_hash"))
+
+
 def embed_article_stream(
     texts: DataFrame,
     embed: Callable[[DataFrame], DataFrame],
@@ -32,17 +40,15 @@ def embed_article_stream(
     """Start a stream over ``texts(pmid, text)`` that embeds what is new, then stops.
 
     ``texts`` brings an article at most once per micro-batch. ``embed`` turns
-    ``pmid, text`` into ``pmid, embedding``. A retried
+    ``pmid, text_hash, text`` into ``pmid, text_hash, embedding``. A retried
     micro-batch overwrites its own part of the vector folder.
     """
 
     def append(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        done = stored_vectors(spark, vector_folder).filter(F.col("batch") != batch_id)
+        done = stored_hashes(spark, vector_folder, batch_id)
         pending = pending_texts(batch.select("pmid", "text"), done)
-        hashes = pending.select("pmid", "text_hash")
-        vectors = embed(pending.select("pmid", "text")).join(hashes, "pmid")
-        vectors.select("pmid", "text_hash", "embedding").write.mode("overwrite").parquet(
+        embed(pending).select("pmid", "text_hash", "embedding").write.mode("overwrite").parquet(
             f"{vector_folder}/batch={batch_id}"
         )
 

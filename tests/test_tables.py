@@ -150,7 +150,7 @@ def test_corpus_and_pending(spark, tmp_path, write_gz):
 
     store = ArticleStore(spark, str(tmp_path / "store"))
     none = spark.createDataFrame([], "pmid bigint, text_hash string")
-    embed = lambda df: E.embed_texts(df, LengthModel)
+    embed = lambda df: E.embed_texts(df, LengthModel, carry=("text_hash", "pub_date"))
     first = embed_pending(store.articles(), none, embed)
     done = spark.createDataFrame(first.select("pmid", "text_hash").collect(), none.schema)
     assert sorted(r.pmid for r in first.collect()) == [1, 2]
@@ -168,7 +168,7 @@ def test_embedding_stream(spark, tmp_path):
     def run():
         stream = spark.readStream.schema("pmid bigint, text string").parquet(source)
         embed_article_stream(
-            stream, lambda df: E.embed_texts(df, LengthModel), out, str(tmp_path / "ckpt")
+            stream, lambda df: E.embed_texts(df, LengthModel, carry=("text_hash",)), out, str(tmp_path / "ckpt")
         ).awaitTermination()
 
     publish([(1, "a"), (2, "bb")])
