@@ -197,6 +197,18 @@ def test_urls(spark):
     assert got[4].trust == pytest.approx(0.15 * 0.85 / 2, rel=1e-3) and got[2].distrust == pytest.approx(0.15 * 0.85, rel=1e-3)
 
 
+def test_vectors_of_one_dense_group(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=64) / 8 + 0.274 / 8 * rng.normal(size=(1200, 64))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    close = unit @ unit.T >= 0.93
+    np.fill_diagonal(close, False)
+    assert 0.2 < close.mean() < 0.8
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    got = embedding_dedup.deduplicated(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert sum(r.n_links for r in got) >= 0.9995 * close.sum()
+
+
 def test_vectors(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "LEAF_ROWS", 16)
     rng = np.random.default_rng(3)
