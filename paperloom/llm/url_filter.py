@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 from paperloom.llm.common import stored
 
 DAMPING = 0.85
-MAX_ROUNDS = 20
+# Largest change of a host's value in the last round, as a share of the value or of 1.
 TOLERANCE = 1e-6
+# By then a double holds nothing of what the damping leaves of a seed; more rounds are an error.
+MAX_ROUNDS = 5000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _HREF = r"""(?i)href[\x20\x09-\x0D]*=[\x20\x09-\x0D]*["']?[\x20\x09-\x0D]*([^"'\x20\x09-\x0D>]+)"""
 
@@ -77,7 +79,8 @@ def host_edges(placed: DataFrame) -> DataFrame:
 def _spread(edges: DataFrame, source: str, target: str, seeds: DataFrame, name: str) -> DataFrame:
     """``host, value``: personalised PageRank of ``seeds`` (``host, seed``) along the edges from ``source`` to ``target``.
 
-    What reaches a host without further edges is not handed on.
+    What reaches a host without further edges is not handed on. Rounds go on until every
+    host that the seeds reach has a value and no value moves, however small it is.
     """
     out = edges.groupBy(source).agg(F.sum("n").alias("out")).withColumnRenamed(source, "from")
     shares = edges.join(out, F.col(source) == F.col("from")).select(
@@ -95,13 +98,14 @@ def _spread(edges: DataFrame, source: str, target: str, seeds: DataFrame, name:
                 (F.coalesce("seed", F.lit(0.0)) * (1 - DAMPING) + F.coalesce("flow", F.lit(0.0))).alias("value"),
             )
             .join(state.toDF("before_host", "before"), F.col("host") == F.col("before_host"), "left")
-            .select("host", "value", F.abs(F.col("value") - F.coalesce("before", F.lit(0.0))).alias("moved"))
+            .withColumn("moved", F.abs(F.col("value") - F.coalesce("before", F.lit(0.0))))
+            .select("host", "value", (F.col("moved") > F.least("value", F.lit(1.0)) * TOLERANCE).alias("moves"))
         )
         new = stored(new, f"{name}-rank")
         state = new.select("host", "value")
-        if (new.agg(F.max("moved")).first()[0] or 0.0) < TOLERANCE:
-            break
-    return state
+        if not new.filter("moves").limit(1).count():
+            return state
+    raise RuntimeError(f"{name} still moves after {MAX_ROUNDS} rounds")
 
 
 def judged(pages: DataFrame, rules=RULES, ratio: float = 1.0, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

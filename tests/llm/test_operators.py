@@ -197,6 +197,20 @@ def test_urls(spark):
     assert got[4].trust == pytest.approx(0.15 * 0.85 / 2, rel=1e-3) and got[2].distrust == pytest.approx(0.15 * 0.85, rel=1e-3)
 
 
+def test_urls_far_from_seeds(spark):
+    """Hosts 1 to 30 links before a blocked seed, each with a second host that links to the next, and a cycle with a seed."""
+    page = lambda host: f'<a href="http://{host}/">'
+    chain = [f"h{k}.net" for k in range(30)] + ["bad.com"]
+    rows = [(k, f"http://{a}/", page(b)) for k, (a, b) in enumerate(zip(chain, chain[1:]))]
+    rows += [(100 + k, f"http://x{k}.net/", page(b)) for k, b in enumerate(chain[1:])]
+    rows += [(200, "http://bad.com/de/", None), (201, "http://round.com/de/", page("back.net")), (202, "http://back.net/", page("round.com"))]
+    got = {r.page_id: r for r in url_filter.judged(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in range(30):
+        assert got[k].verdict == "block" and got[k].distrust == pytest.approx(0.15 * 0.425 ** (30 - k), rel=1e-4)
+    assert got[201].distrust == pytest.approx(0.15 / (1 - 0.85**2), rel=1e-4)
+    assert got[202].distrust == pytest.approx(0.15 * 0.85 / (1 - 0.85**2), rel=1e-4)
+
+
 def test_vectors_of_one_dense_group(spark):
     rng = np.random.default_rng(5)
     x = rng.normal(size=64) / 8 + 0.274 / 8 * rng.normal(size=(1200, 64))
