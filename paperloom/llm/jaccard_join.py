@@ -206,6 +206,90 @@ def linked(ids: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT) -> l
     return links
 
 
+def answers(ids: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT):
+    """``k, places`` of every set of one group: the places of all other sets that it is linked to.
+
+    A set that is linked to a counted one gets its counts of common shingles from that
+    one's, corrected by the inverted lists of the shingles in which the two differ.
+    """
+    sizes = np.array([len(s) for s in sets])
+    owner, values = np.repeat(np.arange(len(sets)), sizes), np.concatenate(sets)
+    order = np.argsort(values, kind="stable")
+    owner, values = owner[order], values[order]
+
+    def counts(shingles):
+        spans = [owner[s:e] for s, e in zip(np.searchsorted(values, shingles, "left"), np.searchsorted(values, shingles, "right"))]
+        return np.bincount(np.concatenate(spans), minlength=len(sets)) if spans else np.zeros(len(sets), np.int64)
+
+    def near(k, common):
+        found = 100 * common >= percent * (sizes + sizes[k] - common)
+        found[k] = False
+        return np.nonzero(found)[0]
+
+    answered = np.zeros(len(sets), bool)
+    for k in range(len(sets)):
+        if answered[k]:
+            continue
+        common = counts(sets[k])
+        places = near(k, common)
+        answered[k] = True
+        yield k, places
+        for other in places[~answered[places]]:
+            more, fewer = np.setdiff1d(sets[other], sets[k], True), np.setdiff1d(sets[k], sets[other], True)
+            answered[other] = True
+            yield other, near(other, common + counts(more) - counts(fewer))
+
+
+def links(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``a, b, a_copies, b_copies``: every link (a < b) between different sets, each named by its least document, with the documents that hold the sets."""
+    bodies = _bodies(docs, doc_id, text)
+    return _all_links(bodies, *_representatives(bodies, percent)[1:], percent)
+
+
+def n_links(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, n_links`` for every row of ``docs``: how many other documents it is linked to, those with an equal set included.
+
+    Texts without shingles and rows without an id are linked to none.
+    """
+    bodies = _bodies(docs, doc_id, text)
+    sets, reps, copies = _representatives(bodies, percent)
+    pairs = stored(_all_links(bodies, reps, copies, percent), "jaccard-all-links")
+    both = pairs.select("a", F.col("b_copies").alias("n")).union(pairs.select("b", F.col("a_copies").alias("n")))
+    around = both.groupBy("a").agg(F.sum("n").alias("around"))
+    named = reps.join(copies, F.col("rep") == F.col("copied")).join(around, F.col("rep") == F.col("a"), "left")
+    named = named.select(F.col("f1").alias("g1"), F.col("f2").alias("g2"), (F.col("copies") - 1 + F.coalesce("around", F.lit(0))).alias("n_links"))
+    keyed = sets.withColumn("f1", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("f1")))
+    joined = keyed.join(named, (F.col("f1") == F.col("g1")) & (F.col("f2") == F.col("g2")), "left")
+    return joined.select("doc_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def _representatives(bodies: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The sets of all documents, ``f1, f2, rep, n, prefix`` of the different ones, and ``copied, copies``: the documents of each."""
+    sets = stored(sets_with_prefix(bodies, frequent_shingles(bodies), percent), "jaccard-sets")
+    full = sets.filter("n_shingles > 0 and doc_id is not null")
+    groups = full.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "n_shingles", "prefix")).alias("first"), F.count_distinct("doc_id").alias("copies"))
+    rows = groups.select("f1", "f2", F.col("first.doc_id").alias("rep"), F.col("first.n_shingles").alias("n"), "first.prefix", "copies")
+    rows = stored(rows, "jaccard-representatives")
+    return sets, rows.drop("copies"), rows.select(F.col("rep").alias("copied"), "copies")
+
+
+def _all_links(bodies: DataFrame, reps: DataFrame, copies: DataFrame, percent: int) -> DataFrame:
+    placed = _placed(bodies, reps, percent)
+
+    def compared(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.drop_duplicates("member")
+        ids, block, out = part.member.to_numpy(), part.block.to_numpy(), []
+        across = part.low.iloc[0] != part.high.iloc[0]
+        for k, places in answers(ids, [np.frombuffer(s, np.int64) for s in part.shingles], percent):
+            # Links within a block are those of the block's pair with itself.
+            out += [(ids[k], ids[x]) for x in places if ids[k] < ids[x] and (not across or block[k] != block[x])]
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    rows = placed.select("member", "group", "block", "low", "high", "shingles").groupBy("group", "low", "high")
+    pairs = rows.applyInPandas(compared, "a long, b long")
+    return pairs.join(copies.toDF("a", "a_copies"), "a").join(copies.toDF("b", "b_copies"), "b").select("a", "b", "a_copies", "b_copies")
+
+
 def classes(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``.
 
@@ -232,7 +316,8 @@ def classes(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", tex
     )
 
 
-def _links(bodies: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+def _placed(bodies: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """The sets of each group of candidates, once per pair of its blocks."""
     groups = components(candidates(reps, percent), "jaccard-groups").toDF("member", "group")
     sizes = groups.groupBy("group").agg(F.count("*").alias("rows"))
     blocks = F.ceil(F.col("rows") / GROUP_ROWS).cast("int")
@@ -252,10 +337,14 @@ def _links(bodies: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     chosen = members.join(bodies, F.col("member") == F.col("doc_id")).select("member", "group", "blocks", "block", "body")
     rows = chosen.mapInArrow(shingled, "member long, group long, blocks int, block int, shingles binary")
     other = F.explode(F.sequence(F.lit(0), F.greatest(F.col("blocks") - 1, F.lit(0))))
-    placed = rows.withColumn("other", other).withColumns(
+    return rows.withColumn("other", other).withColumns(
         {"low": F.least("block", "other"), "high": F.greatest("block", "other")}
     )
 
+
+def _links(bodies: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    placed = _placed(bodies, reps, percent)
+
     def compared(part: pd.DataFrame) -> pd.DataFrame:
         part = part.drop_duplicates("member")
         own = [np.frombuffer(s, np.int64) for s in part.shingles]

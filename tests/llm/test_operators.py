@@ -145,6 +145,22 @@ def test_large_groups_and_blocks(spark, monkeypatch):
     assert [got[i].component_id for i in range(40)] == label
 
 
+def test_all_links_of_a_group(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "GROUP_ROWS", 15)
+    rng = random.Random(6)
+    words = [f"w{k}" for k in range(300)]
+    rows = [(i, " ".join(w if rng.random() > 0.012 else f"x{rng.random()}" for w in words)) for i in range(40)]
+    rows += [(40, rows[3][1]), (41, rows[3][1].upper()), (42, None), (43, "lone")]
+    sets = [{tuple(t.lower().split()[k : k + 5]) for k in range(max(1, len(t.split()) - 4))} if t else set() for _, t in rows]
+    near = [{j for j, b in enumerate(sets) if i != j and a and b and 100 * len(a & b) >= 80 * len(a | b)} for i, a in enumerate(sets)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.n_links for r in jaccard_join.n_links(table).collect()} == {i: len(x) for i, x in enumerate(near)}
+    got = sorted((r.a, r.b, r.a_copies, r.b_copies) for r in jaccard_join.links(table).collect())
+    first = [i for i, a in enumerate(sets) if a not in sets[:i]]
+    want = [(i, j, sets.count(sets[i]), sets.count(sets[j])) for i in first for j in near[i] if i < j and j in first]
+    assert got == sorted(want) and 40 < len(want) < 780
+
+
 def test_suffixes(docs, texts, none):
     bodies = [(t or "").encode() for t in texts]
     n = Counter(b[k : k + 200] for b in bodies for k in range(len(b) - 199))
