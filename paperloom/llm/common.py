@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +34,21 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")
 
 
+def n_words(text: Column) -> Column:
+    """Number of words of a text, 0 for null, without making the words."""
+    one_each = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+[\x20\x09-\x0D]*", "x")
+    return F.length(F.translate(one_each, " \t\n\x0b\x0c\r", "")).cast("long")
+
+
+def int_lists(parts: list[bytes]) -> pa.ListArray:
+    """Lists of 32-bit integers from their bytes."""
+    offsets = [0]
+    for own in parts:
+        offsets.append(offsets[-1] + len(own) // 4)
+    flat = pa.Array.from_buffers(pa.int32(), offsets[-1], [None, pa.py_buffer(b"".join(parts))])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the fifth of the rows that no model may learn from."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(True))

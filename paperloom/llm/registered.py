@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from paperloom.llm import (
+    byte_bpe,
     embedding_dedup,
     jaccard_join,
     line_dedup,
@@ -13,6 +14,7 @@ from paperloom.llm import (
     quality_classifier,
     quality_rules,
     suffix_dedup,
+    token_alignment,
     toxicity,
     url_filter,
 )
@@ -199,3 +201,25 @@ def op6_jaccard_join(spark, folder):
 def op2_suffix_dedup(spark, folder):
     rows = suffix_dedup.without_repeats(table(spark, folder, "documents"))
     return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register()
+def op11_byte_bpe(spark, folder):
+    rows = byte_bpe.encoded(table(spark, folder, "documents"), byte_bpe.Codec.load())
+    return rows.select(
+        "doc_id",
+        F.size("token_ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("token_ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@register()
+def op13_token_alignment(spark, folder):
+    first, second = byte_bpe.Codec.load(), token_alignment.PieceEncoder.load()
+    rows = token_alignment.aligned(table(spark, folder, "documents"), first, second)
+    digest = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    rows = stored(rows.select("doc_id", "n_a", "n_b", "n_groups", "n_links", digest, "pairs", "times"), "alignment")
+    return token_alignment.scored(rows, second.size()).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
