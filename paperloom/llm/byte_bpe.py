@@ -14,6 +14,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
+from array import array
 from itertools import chain
 
 import ahocorasick
@@ -30,7 +31,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 # splitter sees differently (rare digits, new letters) are found by trial, and it splits their texts.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"""
 # Words remembered per worker, and the longest of them; a full memory is emptied.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 LONGEST_REMEMBERED = 64
 ROWS_AT_ONCE = 256
 NEVER = 1 << 40
@@ -79,6 +80,7 @@ class Codec:
         self._left, self._right = np.zeros(size, np.int64), np.zeros(size, np.int64)
         self._left[made], self._right[made] = left, right
         self._rank = {(a, b): rank for rank, (a, b, _) in enumerate(self.merges)}
+        self._lengths = np.array([len(t) for t in self.tokens])
         self._byte_ids = {t[0]: i for i, t in enumerate(self.tokens) if len(t) == 1 and i not in self.special.values()}
         # A token may be proposed if merging its own bytes gives it.
         sound = np.zeros(size, bool)
@@ -125,7 +127,7 @@ class Codec:
 
     def _merged(self, raw: bytes) -> list[int]:
         """Tokens of a word by its merges, lowest rank and leftmost first."""
-        ids = [self._byte_ids[b] for b in raw]
+        ids = list(map(self._byte_ids.__getitem__, raw))
         if len(ids) > LONGEST_REMEMBERED:
             return self._merged_by_heap(ids)
         find, merges = self._rank.get, self.merges
@@ -171,17 +173,22 @@ class Codec:
 
     def _learn(self, words: list[str]) -> None:
         raw = [w.encode("utf-8", "surrogatepass") for w in words]
-        proposed = [[i for _, i in self._automaton.iter_long(r.decode("latin-1"))] for r in raw]
-        flat = np.fromiter(chain.from_iterable(proposed), np.int64)
-        word = np.repeat(np.arange(len(words)), [len(p) for p in proposed])
+        longest = self._automaton.iter_long
+        proposed = [[i for _, i in longest(r.decode("latin-1"))] for r in raw]
+        n, size = np.fromiter(map(len, proposed), np.int64, len(words)), len(self.tokens)
+        flat = np.fromiter(chain.from_iterable(proposed), np.int64, n.sum())
+        word = np.repeat(np.arange(len(words)), n)
         inside = np.flatnonzero(word[1:] == word[:-1])
-        pairs, place = np.unique(flat[inside] * len(self.tokens) + flat[inside + 1], return_inverse=True)
-        good = self._compatible(pairs // len(self.tokens), pairs % len(self.tokens))
-        covered = np.bincount(word, weights=[len(self.tokens[i]) for i in flat], minlength=len(words))
-        failing = set(word[inside[~good[place]]].tolist()) | set(np.flatnonzero(covered != [len(r) for r in raw]).tolist())
-        for k, w in enumerate(words):
-            ids = self._merged(raw[k]) if k in failing else proposed[k]
-            self._known[w] = np.array(ids, np.int32).tobytes()
+        pairs, place = np.unique(flat[inside] * size + flat[inside + 1], return_inverse=True)
+        good = self._compatible(pairs // size, pairs % size)
+        covered = np.bincount(word, weights=self._lengths[flat], minlength=len(words))
+        failing = np.zeros(len(words), bool)
+        failing[word[inside[~good[place]]]] = True
+        failing[covered != np.fromiter(map(len, raw), np.int64, len(words))] = True
+        ids, ends = flat.astype(np.int32).tobytes(), (4 * np.cumsum(n)).tolist()
+        known = self._known
+        for w, r, fails, start, end in zip(words, raw, failing.tolist(), [0, *ends], ends):
+            known[w] = array("i", self._merged(r)).tobytes() if fails else ids[start:end]
 
     def _words(self, text: str) -> list[str]:
         fresh = set(text) - self._tested
