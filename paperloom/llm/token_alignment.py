@@ -14,6 +14,9 @@ other pairs are joined, and none of those pairs can be frequent.
 
 from __future__ import annotations
 
+import re
+from array import array
+
 import numpy as np
 import pyarrow as pa
 import sentencepiece
@@ -21,12 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
-from paperloom.llm.byte_bpe import Codec
+from paperloom.llm.byte_bpe import LONGEST_REMEMBERED, Codec
 from paperloom.llm.common import stored
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE_MARK = "▁"
 ROWS_AT_ONCE = 512
+# Words remembered per worker; a full memory is emptied.
+REMEMBERED = 200_000
 # Links of one group up to which they are made one by one; above, each pair of ids once.
 LINKS_ONE_BY_ONE = 4096
 # Entries of the pair counts that travel to every worker: 17 bytes each.
@@ -56,19 +61,38 @@ class PieceEncoder:
         pieces = [self._processor.id_to_piece(i) for i in ids]
         as_bytes = lambda i: bytes([int(pieces[i][3:-1], 16)]) if self._processor.is_byte(i) else pieces[i].replace(SPACE_MARK, " ").encode()
         self.tokens = [as_bytes(i) for i in ids]
+        # If a space only ever starts a piece, a text can be encoded from word to word.
+        self._by_word = not any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in pieces)
+        self._words = re.compile(" *[^ ]+| +")
+        self._known: dict[str, bytes] = {" ": np.array([self._processor.piece_to_id(SPACE_MARK)], np.int32).tobytes()}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, before which the model puts a space, as the bytes of 32-bit integers."""
         if self._processor is None:
             self._build()
-        return [np.array(ids, np.int32).tobytes() for ids in self._processor.encode(texts, num_threads=1)]
+        known, find = self._known, self._words.findall
+        by_word = [self._by_word and SPACE_MARK not in t for t in texts]
+        split = [(find(" " + t) if apart else [" " + t]) if t else [] for t, apart in zip(texts, by_word)]
+        fresh = list({w for words in split for w in words if w not in known})
+        for word, ids in zip(fresh, self._processor.encode([w[1:] for w in fresh], num_threads=1)):
+            known[word] = array("i", ids).tobytes()
+        out = [b"".join(map(known.__getitem__, words)) for words in split]
+        if len(known) > REMEMBERED:
+            self._known = {" ": known[" "]}
+        else:
+            for w in fresh:
+                if len(w) > LONGEST_REMEMBERED:
+                    del known[w]
+        return out
 
 
 def groups_between_cuts(ends_a: np.ndarray, ends_b: np.ndarray, lo_a, hi_a, lo_b, hi_b) -> np.ndarray:
     """Rows ``lo_a, hi_a, lo_b, hi_b`` of the groups in order, from stretches whose ends are shared.
 
-    ``ends_a`` and ``ends_b`` ascend over all stretches.
+    ``ends_a`` and ``ends_b`` ascend over all stretches, so that ends are sought among all of the other side's.
     """
+    sought = np.searchsorted(ends_b, ends_a)
+    found_in_b = ends_b[np.minimum(sought, len(ends_b) - 1)] == ends_a if len(ends_b) else np.zeros(len(ends_a), bool)
     stretches, groups = np.array([lo_a, hi_a, lo_b, hi_b], np.int64).T, [np.zeros((0, 4), np.int64)]
     while len(stretches):
         inner = stretches[:, 1] - stretches[:, 0] - 1  # ends of one side that may be a cut
@@ -84,9 +108,8 @@ def groups_between_cuts(ends_a: np.ndarray, ends_b: np.ndarray, lo_a, hi_a, lo_b
                 tried = middle[seeking] + place
                 within = (tried >= first[seeking]) & (tried <= last[seeking])
                 those, tried = seeking[within], tried[within]
-                other = np.searchsorted(ends_b, ends_a[tried])
-                shared = ends_b[np.minimum(other, len(ends_b) - 1)] == ends_a[tried]
-                at_a[those[shared]], at_b[those[shared]] = tried[shared] + 1, other[shared] + 1
+                shared = found_in_b[tried]
+                at_a[those[shared]], at_b[those[shared]] = tried[shared] + 1, sought[tried[shared]] + 1
                 seeking = seeking[at_a[seeking] < 0]
             step += 1
             seeking = seeking[step <= (inner[seeking] + 1) // 2]
@@ -100,6 +123,24 @@ def groups_between_cuts(ends_a: np.ndarray, ends_b: np.ndarray, lo_a, hi_a, lo_b
     return found[np.argsort(found[:, 0], kind="stable")]
 
 
+def _gives_back(rows: list[bytes], tokens: list[bytes], texts: list[bytes]) -> np.ndarray:
+    """Whether the tokens of each row are its text, byte by byte."""
+    sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
+    ids = np.frombuffer(b"".join(rows), np.int32)
+    to_row = np.cumsum([0] + [len(own) // 4 for own in rows])
+    to_byte = np.concatenate([[0], np.cumsum(sizes[ids])])
+    n, want = np.diff(to_byte[to_row]), np.fromiter(map(len, texts), np.int64, len(texts))
+    same = n == want
+    some = np.repeat(same, np.diff(to_row))
+    ids, sizes, starts = ids[some], sizes[ids[some]], (np.cumsum(sizes) - sizes)[ids[some]]
+    alphabet = np.frombuffer(b"".join(tokens), np.uint8)
+    spelled = alphabet[np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())]
+    given = np.frombuffer(b"".join(t for t, ok in zip(texts, same) if ok), np.uint8)
+    wrong = np.flatnonzero(spelled != given)
+    same[np.flatnonzero(same)[np.searchsorted(np.cumsum(want[same]), wrong, side="right")]] = False
+    return same
+
+
 def _links(a, b, groups, doc, size_b: int, size: int):
     """``doc, pair, times`` of the different id pairs that each document holds linked."""
     width_a, width_b = groups[:, 1] - groups[:, 0], groups[:, 3] - groups[:, 2]
@@ -116,7 +157,7 @@ def _links(a, b, groups, doc, size_b: int, size: int):
         keys.append((doc[g] * size + ids_a[:, None].astype(np.int64) * size_b + ids_b).ravel())
         times.append(np.outer(n_a, n_b).ravel())
     keys, times = np.concatenate(keys), np.concatenate(times)
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys, times = keys[order], times[order]
     starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
     keys, times = keys[starts], np.add.reduceat(times, starts) if len(starts) else times
@@ -143,10 +184,10 @@ def aligned(
 
     def columns(ids, texts):
         rows_a, rows_b = first.encode([" " + t for t in texts], special=False), second.encode(texts)
+        whole = [b" " + t.encode() for t in texts]
+        same = _gives_back(rows_a, first.tokens, whole) & _gives_back(rows_b, second.tokens, whole)
         for k, t in enumerate(texts):
-            want = b" " + t.encode()
-            spelled = lambda own, tokens: b"".join(map(tokens.__getitem__, memoryview(own).cast("i")))
-            if not t or spelled(rows_a[k], first.tokens) != want or spelled(rows_b[k], second.tokens) != want:
+            if not t or not same[k]:
                 rows_a[k] = rows_b[k] = b""
         a, b = (np.frombuffer(b"".join(rows), np.int32) for rows in (rows_a, rows_b))
         to_a, to_b = (np.cumsum([0] + [len(own) // 4 for own in rows]) for rows in (rows_a, rows_b))
