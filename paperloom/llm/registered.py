@@ -11,6 +11,7 @@ from paperloom.llm import (
     line_dedup,
     mixing,
     pieces,
+    prefix_trie,
     quality_classifier,
     quality_rules,
     suffix_dedup,
@@ -223,3 +224,59 @@ def op13_token_alignment(spark, folder):
     return token_alignment.scored(rows, second.size()).select(
         "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
     )
+
+
+_TURN = "md5(length(role) || ':' || role || text)"
+
+
+@register(
+    rf"""WITH numbered AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS place FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT c, c - c % 20 AS base, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(CAST(c AS VARCHAR), ''),
+      lambda x: [ascii(x), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda acc, x: CASE WHEN x >= 0 THEN xor(acc, x) WHEN acc % 2 = 1 THEN xor(acc >> 1, 3988292384) ELSE acc >> 1 END), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT conv_id AS c FROM numbered)
+), heads AS (
+  SELECT c, h, place AS d, {_TURN} AS turn, len({WORDS}) AS words FROM convs JOIN numbered ON conv_id = base AND place <= h
+), rebuilt AS (
+  SELECT c, d, turn, words FROM heads
+  UNION ALL
+  SELECT c, place - h + coalesce(n, 0), {_TURN}, len({WORDS}) FROM convs JOIN numbered ON conv_id = c AND place > h
+    LEFT JOIN (SELECT c, count(*) AS n FROM heads GROUP BY c) USING (c)
+), steps AS (
+  SELECT c, d, words, md5(string_agg(turn, '') OVER (PARTITION BY c ORDER BY d)) AS key FROM rebuilt
+  UNION ALL SELECT c, 0, 0, '' FROM convs
+), nodes AS (
+  SELECT key, d, min(c) AS conv_id, count(*) AS n_convs, any_value(words) AS words FROM steps GROUP BY key, d
+), ended AS (
+  SELECT key, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS ids FROM (
+    SELECT c, arg_max(key, d) AS key FROM steps GROUP BY c) GROUP BY key
+), parents AS (
+  SELECT n.*, p.key AS parent FROM nodes n LEFT JOIN steps p ON p.c = conv_id AND p.d = n.d - 1
+), counted AS (
+  SELECT p.*, coalesce(n_children, 0) AS n_children FROM parents p
+  LEFT JOIN (SELECT parent AS key, count(*) AS n_children FROM parents GROUP BY parent) USING (key)
+), below AS (
+  SELECT s.key, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum((u.n_convs - 1) * u.words) AS saved_tokens
+  FROM counted u JOIN steps s ON s.c = u.conv_id AND s.d <= u.d GROUP BY s.key
+)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM counted n JOIN below USING (key) LEFT JOIN ended USING (key) LEFT JOIN nodes p ON p.key = n.parent"""
+)
+def op12_prefix_trie(spark, folder):
+    turns = stored(prefix_trie.numbered(table(spark, folder, "conversations")), "trie-turns")
+    members = turns.select("conv").distinct().withColumns(
+        {"base": F.col("conv") - F.col("conv") % 20, "h": F.crc32(F.col("conv").cast("string")) % 4}
+    )
+    heads = turns.filter("depth <= 3").withColumnRenamed("conv", "head")
+    first = members.join(heads, (F.col("base") == F.col("head")) & (F.col("depth") <= F.col("h")))
+    taken = first.groupBy("conv").agg(F.count("*").alias("n")).withColumnRenamed("conv", "taker")
+    shift = members.join(taken, F.col("conv") == F.col("taker"), "left").select(
+        F.col("conv").alias("own"), "h", (F.coalesce("n", F.lit(0)) - F.col("h")).alias("shift")
+    )
+    rest = turns.join(shift, F.col("conv") == F.col("own")).filter("depth > h").withColumn("depth", F.col("depth") + F.col("shift"))
+    columns = ["conv", "depth", "t1", "t2", "words"]
+    return prefix_trie.trie(stored(first.select(columns).union(rest.select(columns)), "trie-rebuilt"), members.select("conv"))
