@@ -63,6 +63,14 @@ ARTICLES = """articles AS (
   FROM documents d LEFT JOIN orders o ON o.o_orderkey = d.doc_id)"""
 
 
+def other_ids(articles: DataFrame, lang: str) -> DataFrame:
+    """All articles; those of one language have ids that no vector and no record has."""
+    return articles.withColumn("pmid", F.when(F.col("keywords") == lang, -1 - F.col("pmid")).otherwise(F.col("pmid")))
+
+
+OTHER_IDS = "CASE WHEN keywords = '{}' THEN -1 - pmid ELSE pmid END"
+
+
 def vectors(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "embeddings").select(F.col("vec_id").alias("pmid"), "embedding")
 
@@ -134,8 +142,7 @@ RUN = """run AS (
 def qrels(spark: SparkSession, folder: str) -> DataFrame:
     """Graded judgments: the best event of a pair counts."""
     grade = F.when(F.col("event_type") == "purchase", 2).when(F.col("event_type") == "click", 1).otherwise(0)
-    judged = events(spark, folder).filter(F.col("event_type") != "view")
-    return judged.groupBy(F.col("user_id").alias("query_id"), F.col("k").alias("pmid")).agg(
+    return events(spark, folder).groupBy(F.col("user_id").alias("query_id"), F.col("k").alias("pmid")).agg(
         F.max(grade).alias("rel")
     )
 
@@ -143,7 +150,7 @@ def qrels(spark: SparkSession, folder: str) -> DataFrame:
 QRELS = """qrels AS (
   SELECT user_id AS query_id, k AS pmid,
     max(CASE event_type WHEN 'purchase' THEN 2 WHEN 'click' THEN 1 ELSE 0 END) AS rel
-  FROM events_k WHERE event_type <> 'view' GROUP BY ALL)"""
+  FROM events_k GROUP BY ALL)"""
 
 RUN_AND_QRELS = [EVENTS_K, SCORED_PAIRS, RUN, QRELS]
 

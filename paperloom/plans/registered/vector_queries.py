@@ -94,12 +94,12 @@ def _rounded(df):
     I.with_ctes(I.VECTORS, I.ARTICLES, I.MEAN_VECTOR)
     + f"""SELECT round(distance, 6) AS distance, pmid, title, authors, journal_name, year, volume, issue, pagination,
   CAST(row_number() OVER (ORDER BY distance, pmid) - 1 AS INTEGER) AS rank
-FROM (SELECT {I.DISTANCE.format(a='v.embedding', b='q')} AS distance, a.*
-  FROM vectors v JOIN articles a USING (pmid) CROSS JOIN mean_vector WHERE a.keywords <> 'en')
+FROM (SELECT {I.DISTANCE.format(a='v.embedding', b='q')} AS distance, v.pmid, a.* EXCLUDE (pmid)
+  FROM vectors v JOIN articles a ON v.pmid = {I.OTHER_IDS.format('en').replace('pmid', 'a.pmid')} CROSS JOIN mean_vector)
 ORDER BY distance, pmid LIMIT 25"""
 )
 def search_with_metadata(spark, folder):
-    articles = I.articles(spark, folder).filter(F.col("keywords") != "en")
+    articles = I.other_ids(I.articles(spark, folder), "en")
     return _rounded(search.search_with_metadata(I.vectors(spark, folder), articles, I.mean_vector(spark, folder)))
 
 
@@ -228,25 +228,28 @@ def dimension_violations(spark, folder):
     return quality.dimension_violations(_uneven(spark, folder), I.DIM)
 
 
+WITH_ARTICLE = f"""with_article AS (
+  SELECT count(*) AS n FROM vectors WHERE pmid IN (SELECT {I.OTHER_IDS.format('en')} FROM articles))"""
+
+
 @register(
-    """SELECT count(*) AS n_new, count(*) FILTER (WHERE label = 3) AS n_wrong_dim,
-  (SELECT count(*) FROM embeddings e JOIN documents d ON d.doc_id = e.vec_id WHERE d.lang <> 'en') AS n_existing,
-  CAST(0 AS BIGINT) AS n_repeated,
-  count(*) + (SELECT count(*) FROM embeddings e JOIN documents d ON d.doc_id = e.vec_id WHERE d.lang <> 'en') AS n_after
+    I.with_ctes(I.VECTORS, I.ARTICLES, WITH_ARTICLE)
+    + """SELECT count(*) AS n_new, count(*) FILTER (WHERE label = 3) AS n_wrong_dim,
+  (SELECT n FROM with_article) AS n_existing, CAST(0 AS BIGINT) AS n_repeated,
+  count(*) + (SELECT n FROM with_article) AS n_after
 FROM embeddings"""
 )
 def vector_append_check(spark, folder):
-    stored = search.with_article(
-        I.vectors(spark, folder), I.articles(spark, folder).filter(F.col("keywords") != "en")
-    )
+    stored = search.with_article(I.vectors(spark, folder), I.other_ids(I.articles(spark, folder), "en"))
     return quality.append_check(_uneven(spark, folder), stored, I.DIM)
 
 
 @register(
-    "SELECT vec_id AS pmid FROM embeddings WHERE vec_id NOT IN (SELECT doc_id FROM documents WHERE lang <> 'en')"
+    I.with_ctes(I.VECTORS, I.ARTICLES)
+    + f"SELECT pmid FROM vectors WHERE pmid NOT IN (SELECT {I.OTHER_IDS.format('en')} FROM articles)"
 )
 def orphan_vectors(spark, folder):
-    articles = I.articles(spark, folder).filter(F.col("keywords") != "en")
+    articles = I.other_ids(I.articles(spark, folder), "en")
     return quality.orphan_vectors(I.vectors(spark, folder), articles)
 
 
