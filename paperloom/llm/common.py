@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
 import pyarrow as pa
@@ -29,6 +30,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def released(run):
+    """``run``, giving memory back when its task ends: workers are kept for later stages, beside which it would count."""
+
+    def released_after(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return released_after
+
+
 def words(text: Column) -> Column:
     """The words of a text; none for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")

@@ -5,8 +5,8 @@ rarest shingles (prefix filter). Lists are kept by size and position, and whole
 of a list are skipped that a set cannot reach by size or by what is left behind the
 position. A pair is worth a look only if it meets often enough in its lists. The
 connected groups of such pairs are small; within one, full sets are compared. There
-a set linked to one whose answers are known needs none of its own: only sets outside
-the first one's class still look for links, which finds every link between classes.
+a set linked to one whose answers are known gets its own from them, corrected by the
+lists of the shingles in which the two differ.
 
 A list that is longer than ``LIST_ROWS`` comes from a large group of near copies; its
 sets join one group by one row each instead of by pairs. Groups above ``GROUP_ROWS``
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import stored
+from paperloom.llm.common import released, stored
 from paperloom.llm.components import components
 from paperloom.llm.shingles import mixed, shingle_set
 
@@ -33,6 +33,8 @@ GROUP_ROWS = 4000
 # Frequent shingles go last in every set; the list only steers speed, never a result.
 FREQUENT = 300_000
 SEEN_IN_TASK = 3
+# Bits of the bitmap that says whose texts are needed again.
+MARKS = 1 << 24
 ROWS_AT_ONCE = 256
 _PLACE = 24  # bits
 
@@ -76,7 +78,7 @@ def frequent_shingles(bodies: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         keep = n >= SEEN_IN_TASK
         yield pa.RecordBatch.from_arrays([pa.array(shingle[keep]), pa.array(n[keep])], ["shingle", "n"])
 
-    rows = bodies.mapInArrow(counted, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    rows = bodies.mapInArrow(released(counted), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
     top = rows.orderBy(F.desc("n"), "shingle").limit(FREQUENT).toArrow()
     shingle, n = top.column(0).to_numpy(), top.column(1).to_numpy()
     order = np.argsort(shingle)
@@ -107,7 +109,7 @@ def sets_with_prefix(bodies: DataFrame, frequent: tuple[np.ndarray, np.ndarray],
                 ["doc_id", "n_shingles", "f1", "f2", "prefix"],
             )
 
-    return bodies.mapInArrow(run, "doc_id long, n_shingles long, f1 long, f2 long, prefix array<long>")
+    return bodies.mapInArrow(released(run), "doc_id long, n_shingles long, f1 long, f2 long, prefix array<long>")
 
 
 def _list_pairs(ids, sizes, places, percent: int):
@@ -166,7 +168,7 @@ def candidates(representatives: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("hot", pa.bool_())])
     lists = entries.repartition("shingle").sortWithinPartitions("shingle")
-    rows = lists.mapInArrow(met, "a long, b long, hot boolean")
+    rows = lists.mapInArrow(released(met), "a long, b long, hot boolean")
     met_often = rows.groupBy("a", "b").agg(F.count("*").alias("common"), F.max("hot").alias("hot"))
     met_often = stored(met_often, "jaccard-met")
     n_of = representatives.select("rep", "n")
@@ -178,34 +180,6 @@ def candidates(representatives: DataFrame, percent: int = PERCENT) -> DataFrame:
     return met_often.filter("hot").select("a", "b").union(sized.filter(enough).select("a", "b"))
 
 
-def linked(ids: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, int]]:
-    """Links that connect the sets of one group as all its links would."""
-    sizes = np.array([len(s) for s in sets])
-    order = np.argsort(sizes, kind="stable")
-    owner = np.repeat(np.arange(len(sets)), sizes[order])
-    values = np.concatenate([sets[k] for k in order])
-    by_value = np.argsort(values, kind="stable")  # within a shingle by size of the set
-    values, owner = values[by_value], owner[by_value]
-    sets, ids, sizes = [sets[k] for k in order], ids[order], sizes[order]
-    starts = [np.searchsorted(values, s, "left") for s in sets]
-    ends = [np.searchsorted(values, s, "right") for s in sets]
-    weight = np.array([(e - s).sum() / max(1, len(s)) for s, e in zip(starts, ends)])
-    root, links = np.arange(len(sets)), []
-    first, *others = np.argsort(-weight, kind="stable")  # the set that shares most is asked first
-    for k in (first, *others):
-        # Of two sets in different classes one is outside the first one's class, and that one is asked.
-        if k != first and root[k] == root[first]:
-            continue
-        spans = [owner[s:e] for s, e in zip(starts[k], ends[k])]
-        common = np.bincount(np.concatenate(spans), minlength=len(sets))
-        union = sizes + sizes[k] - common
-        for other in np.nonzero((100 * common >= percent * union) & (root != root[k]))[0]:
-            if root[other] != root[k]:
-                links.append((int(min(ids[k], ids[other])), int(max(ids[k], ids[other]))))
-                root[root == root[other]] = root[k]
-    return links
-
-
 def answers(ids: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT):
     """``k, places`` of every set of one group: the places of all other sets that it is linked to.
 
@@ -247,34 +221,22 @@ def links(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text:
 
 
 def n_links(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, n_links`` for every row of ``docs``: how many other documents it is linked to, those with an equal set included.
-
-    Texts without shingles and rows without an id are linked to none.
-    """
-    bodies = _bodies(docs, doc_id, text)
-    sets, reps, copies = _representatives(bodies, percent)
-    pairs = stored(_all_links(bodies, reps, copies, percent), "jaccard-all-links")
-    both = pairs.select("a", F.col("b_copies").alias("n")).union(pairs.select("b", F.col("a_copies").alias("n")))
-    around = both.groupBy("a").agg(F.sum("n").alias("around"))
-    named = reps.join(copies, F.col("rep") == F.col("copied")).join(around, F.col("rep") == F.col("a"), "left")
-    named = named.select(F.col("f1").alias("g1"), F.col("f2").alias("g2"), (F.col("copies") - 1 + F.coalesce("around", F.lit(0))).alias("n_links"))
-    keyed = sets.withColumn("f1", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("f1")))
-    joined = keyed.join(named, (F.col("f1") == F.col("g1")) & (F.col("f2") == F.col("g2")), "left")
-    return joined.select("doc_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    """``doc_id, n_links`` of :func:`classes`."""
+    return classes(docs, percent, doc_id, text).select("doc_id", "n_links")
 
 
 def _representatives(bodies: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The sets of all documents, ``f1, f2, rep, n, prefix`` of the different ones, and ``copied, copies``: the documents of each."""
     sets = stored(sets_with_prefix(bodies, frequent_shingles(bodies), percent), "jaccard-sets")
     full = sets.filter("n_shingles > 0 and doc_id is not null")
-    groups = full.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "n_shingles", "prefix")).alias("first"), F.count_distinct("doc_id").alias("copies"))
+    groups = full.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "n_shingles", "prefix")).alias("first"), F.count("*").alias("copies"))
     rows = groups.select("f1", "f2", F.col("first.doc_id").alias("rep"), F.col("first.n_shingles").alias("n"), "first.prefix", "copies")
     rows = stored(rows, "jaccard-representatives")
     return sets, rows.drop("copies"), rows.select(F.col("rep").alias("copied"), "copies")
 
 
 def _all_links(bodies: DataFrame, reps: DataFrame, copies: DataFrame, percent: int) -> DataFrame:
-    placed = _placed(bodies, reps, percent)
+    placed = _placed(bodies, reps, copies, percent)
 
     def compared(part: pd.DataFrame) -> pd.DataFrame:
         part = part.drop_duplicates("member")
@@ -290,64 +252,100 @@ def _all_links(bodies: DataFrame, reps: DataFrame, copies: DataFrame, percent: i
     return pairs.join(copies.toDF("a", "a_copies"), "a").join(copies.toDF("b", "b_copies"), "b").select("a", "b", "a_copies", "b_copies")
 
 
+def _around(bodies: DataFrame, reps: DataFrame, copies: DataFrame, percent: int) -> DataFrame:
+    """``member, around, root``: documents with another set that a set is linked to, and a set that its links reach; of one group or pair of blocks.
+
+    One row per set, however many links it has.
+    """
+    schema = pa.schema([("member", pa.int64()), ("around", pa.int64()), ("root", pa.int64())])
+
+    def compared(part: pa.Table) -> pa.Table:
+        ids, n, block = (part.column(c).to_numpy() for c in ("member", "copies", "block"))
+        ids, first = np.unique(ids, return_index=True)  # a member that was read again
+        n, block, shingles = n[first], block[first], part.column("shingles").take(first)
+        across = part.column("low")[0] != part.column("high")[0]
+        around, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
+        for k, places in answers(ids, [np.frombuffer(x, np.int64) for x in shingles.to_pylist()], percent):
+            if across:  # links within a block are those of the block's pair with itself
+                places = places[block[places] != block[k]]
+            around[k] = n[places].sum()
+            joined = np.unique(root[np.append(places, k)])
+            if len(joined) > 1:
+                root[np.isin(root, joined)] = joined[0]
+        return pa.Table.from_arrays([pa.array(ids), pa.array(around), pa.array(ids[root])], schema=schema)
+
+    rows = _placed(bodies, reps, copies, percent).select("member", "copies", "group", "block", "low", "high", "shingles")
+    return rows.groupBy("group", "low", "high").applyInArrow(compared, "member long, around long, root long")
+
+
 def classes(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row of ``docs``.
+    """``doc_id, n_shingles, component_id, n_links`` for every row of ``docs``; ``n_links`` counts the other rows that a row is linked to.
 
     A null or empty text, or one of white space, has no shingles and is alone; so is a
-    row without an id, whose component is null. Rows that repeat an id are alike.
+    row without an id, whose component is null. Every row is a document: rows that
+    repeat an id count as often, and may be in different classes if their texts differ.
+    An empty table gives an empty one; other columns are not looked at.
     """
     bodies = _bodies(docs, doc_id, text)
-    sets = stored(sets_with_prefix(bodies, frequent_shingles(bodies), percent), "jaccard-sets")
-    full = sets.filter("n_shingles > 0 and doc_id is not null")
-    groups = full.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "n_shingles", "prefix")).alias("first"))
-    reps = groups.select("f1", "f2", F.col("first.doc_id").alias("rep"), F.col("first.n_shingles").alias("n"), "first.prefix")
-    reps = stored(reps, "jaccard-representatives")
-    links = stored(_links(bodies, reps, percent), "jaccard-links")
-    labels = components(links, "jaccard").withColumnRenamed("id", "labelled")
-    named = stored(
-        reps.join(labels, F.col("rep") == F.col("labelled"), "left").select(
-            F.col("f1").alias("g1"), F.col("f2").alias("g2"), F.coalesce("component_id", "rep").alias("component_id")
-        ),
-        "jaccard-classes",
+    sets, reps, copies = _representatives(bodies, percent)
+    found = stored(_around(bodies, reps, copies, percent), "jaccard-around")
+    labels = components(found.filter("member != root").select(F.col("root").alias("a"), F.col("member").alias("b")), "jaccard")
+    sums = found.groupBy("member").agg(F.sum("around").alias("around"))
+    named = reps.join(copies, F.col("rep") == F.col("copied")).join(labels, F.col("rep") == F.col("id"), "left")
+    named = named.join(sums, F.col("rep") == F.col("member"), "left").select(
+        F.col("f1").alias("g1"),
+        F.col("f2").alias("g2"),
+        F.coalesce("component_id", "rep").alias("component_id"),
+        (F.col("copies") - 1 + F.coalesce("around", F.lit(0))).alias("n_links"),
     )
+    named = stored(named, "jaccard-classes")
     keyed = sets.withColumn("f1", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("f1")))
     return keyed.join(named, (F.col("f1") == F.col("g1")) & (F.col("f2") == F.col("g2")), "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
     )
 
 
-def _placed(bodies: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+def _marked(bodies: DataFrame, members: DataFrame) -> DataFrame:
+    """``bodies`` without most of those that are no member.
+
+    A bitmap of ``MARKS`` bits has the hashes of all members; texts without a mark are
+    neither shuffled nor sent to a Python worker, only their ids are looked at. A row
+    with the mark of another is left for the join to drop.
+    """
+    mark = lambda c: F.pmod(F.xxhash64(c), F.lit(MARKS)).cast("int")
+    places = members.select(mark("member").alias("place")).distinct().toArrow().column(0).to_numpy()
+    bits = np.zeros(MARKS, bool)
+    bits[places] = True
+    shared = bodies.sparkSession.sparkContext.broadcast(np.packbits(bits))
+
+    @F.arrow_udf("boolean")
+    def has_mark(place: pa.Array) -> pa.Array:
+        at = place.to_numpy()
+        return pa.array((shared.value[at >> 3] >> (7 - (at & 7))) & 1 == 1)
+
+    return bodies.filter(has_mark(mark("doc_id")))
+
+
+def _placed(bodies: DataFrame, reps: DataFrame, copies: DataFrame, percent: int) -> DataFrame:
     """The sets of each group of candidates, once per pair of its blocks."""
     groups = components(candidates(reps, percent), "jaccard-groups").toDF("member", "group")
     sizes = groups.groupBy("group").agg(F.count("*").alias("rows"))
-    blocks = F.ceil(F.col("rows") / GROUP_ROWS).cast("int")
+    members = groups.join(sizes.withColumnRenamed("group", "its"), F.col("group") == F.col("its")).join(copies, F.col("member") == F.col("copied"))
     members = stored(
-        groups.join(sizes.withColumnRenamed("group", "its"), F.col("group") == F.col("its"))
-        .withColumn("blocks", blocks)
+        members.withColumn("blocks", F.ceil(F.col("rows") / GROUP_ROWS).cast("int"))
         .withColumn("block", F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int"))
-        .select("member", "group", "blocks", "block"),
+        .select("member", "group", "copies", "blocks", "block"),
         "jaccard-members",
     )
 
     def shingled(batches):
         for part in _parts(batches):
-            own = [shingle_set(t).tobytes() for t in part.column(4).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array(own, pa.binary())], ["member", "group", "blocks", "block", "shingles"])
+            own = [shingle_set(t).tobytes() for t in part.column(5).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*part.columns[:5], pa.array(own, pa.binary())], ["member", "group", "copies", "blocks", "block", "shingles"])
 
-    chosen = members.join(bodies, F.col("member") == F.col("doc_id")).select("member", "group", "blocks", "block", "body")
-    rows = chosen.mapInArrow(shingled, "member long, group long, blocks int, block int, shingles binary")
+    chosen = members.join(_marked(bodies, members), F.col("member") == F.col("doc_id")).select("member", "group", "copies", "blocks", "block", "body")
+    rows = chosen.mapInArrow(released(shingled), "member long, group long, copies long, blocks int, block int, shingles binary")
     other = F.explode(F.sequence(F.lit(0), F.greatest(F.col("blocks") - 1, F.lit(0))))
     return rows.withColumn("other", other).withColumns(
         {"low": F.least("block", "other"), "high": F.greatest("block", "other")}
     )
-
-
-def _links(bodies: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    placed = _placed(bodies, reps, percent)
-
-    def compared(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.drop_duplicates("member")
-        own = [np.frombuffer(s, np.int64) for s in part.shingles]
-        return pd.DataFrame(linked(part.member.to_numpy(), own, percent), columns=["a", "b"], dtype="int64")
-
-    return placed.select("member", "group", "low", "high", "shingles").groupBy("group", "low", "high").applyInPandas(compared, "a long, b long")

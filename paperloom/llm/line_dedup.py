@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from paperloom.llm.common import SPACE_BYTES, stored
+from paperloom.llm.common import SPACE_BYTES, released, stored
 
 MIN_CHARS = 10
 ROWS_AT_ONCE = 512
@@ -72,7 +72,8 @@ def without_shared_lines(
     an id are one document. Other columns are carried; ones named ``n_lines`` or
     ``n_dropped`` are replaced.
     """
-    dropped = shared_lines(docs, min_chars, doc_id, text).toDF("__doc", "__keys")
+    lost = "_".join(["lost", *docs.columns])  # no column is called so
+    dropped = shared_lines(docs, min_chars, doc_id, text).toDF("loser", lost)
     carried = docs.drop("n_lines", "n_dropped").withColumn(text, F.coalesce(F.col(text), F.lit("")))
     fields = carried.schema.fields
     out = StructType([*fields, StructField("n_lines", LongType()), StructField("n_dropped", LongType())])
@@ -96,5 +97,6 @@ def without_shared_lines(
                     [*columns, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], out.names
                 )
 
-    joined = carried.join(dropped, F.col(doc_id) == F.col("__doc"), "left").drop("__doc")
-    return joined.mapInArrow(cut, out)
+    joined = carried.join(dropped, carried[doc_id] == dropped["loser"], "left")
+    joined = joined.select(*[carried[f"`{c}`"] for c in carried.columns], dropped[lost])
+    return joined.mapInArrow(released(cut), out)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import SPACE, stored
+from paperloom.llm.common import n_words, stored
 
 WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
@@ -26,12 +26,11 @@ LEVELS = 3
 
 
 def _size(text: str) -> Column:
-    pieces = F.split(F.coalesce(F.col(text), F.lit("")), SPACE)
-    return F.size(F.array_remove(pieces, "")).cast("long")
+    return n_words(F.col(text))
 
 
-def _hash(doc_id: str) -> Column:
-    digest = F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")))
+def _hash(doc_id: Column) -> Column:
+    digest = F.md5(F.coalesce(doc_id.cast("string"), F.lit("")))
     return F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
@@ -41,7 +40,7 @@ def sizes(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text:
         F.col(doc_id).alias("doc_id"),
         F.col(source).cast("string").alias("source"),
         _size(text).alias("size"),
-        _hash(doc_id).alias("hash"),
+        _hash(F.col(doc_id)).alias("hash"),
     )
 
 
@@ -166,13 +165,13 @@ def repeated(
     source: str = "source",
     text: str = "text",
 ) -> DataFrame:
-    """The mix itself: each row of ``docs`` as often as :func:`mixed` takes it."""
+    """The mix itself: each row of ``docs``, whatever its columns are called, as often as :func:`mixed` takes it."""
     _, per_source = _fitted(docs, weights, max_copies, doc_id, source, text)
-    limits = per_source.select(F.struct("its_source", "copies", "threshold").alias("__limits"))
-    joined = docs.alias("d").join(limits, F.col(f"d.{source}").cast("string").eqNullSafe(F.col("__limits.its_source")))
-    limit = F.col("__limits.copies") + F.coalesce((_hash(f"d.{doc_id}") < F.col("__limits.threshold")).cast("long"), F.lit(0))
-    copies = F.when(_size(f"d.{text}") > 0, F.least(F.lit(max_copies), limit)).otherwise(F.lit(0))
-    return (
-        joined.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), copies.cast("int"))))
-        .select(*[F.col(f"d.`{c}`") for c in docs.columns])
-    )
+    # The row travels in a struct, so that none of its columns can clash.
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    own = lambda c: F.col("row").getField(c)
+    joined = whole.join(per_source, own(source).cast("string").eqNullSafe(F.col("its_source")))
+    keyed = joined.withColumns({"hash": _hash(own(doc_id)), "size": n_words(own(text))})
+    limit = F.col("copies") + F.coalesce((F.col("hash") < F.col("threshold")).cast("long"), F.lit(0))
+    copies = F.when(F.col("size") > 0, F.least(F.lit(max_copies), limit)).otherwise(F.lit(0))
+    return keyed.select("row", F.explode(F.array_repeat(F.lit(1), copies.cast("int")))).select("row.*")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from paperloom.llm import calibration
-from paperloom.llm.common import SPACE_BYTES, stored
+from paperloom.llm.common import SPACE_BYTES, released, stored
 
 N_FOURIER = 256
 SEED = 20
@@ -105,7 +105,7 @@ def text_statistics(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(rows, pa.list_(pa.float64()))], schema.names)
 
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), body.alias("body")).mapInArrow(measured, schema)
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), body.alias("body")).mapInArrow(released(measured), schema)
 
 
 def fit(measured: DataFrame, labels: DataFrame, label: str = "quality") -> Model:
@@ -176,9 +176,14 @@ def scores(measured: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
 
 
 def accepted(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that the model predicts to be good, as they are; no shuffle."""
-    carried = docs.withColumn("__body", F.coalesce(F.col(text), F.lit("")).cast("binary"))
-    schema = StructType([*docs.schema.fields, StructField("__good", BooleanType())])
+    """The rows of ``docs`` that the model predicts to be good, as they are; no shuffle.
+
+    A null text is judged as an empty one; repeated rows are judged alike; an empty
+    table gives an empty one. Columns may have any names.
+    """
+    verdict = "_".join(["good", *docs.columns])  # no column is called so
+    carried = docs.select("*", F.coalesce(F.col(text), F.lit("")).cast("binary").alias(f"{verdict}_body"))
+    schema = StructType([*docs.schema.fields, StructField(verdict, BooleanType())])
     n = len(docs.columns)
 
     def judged(batches):
@@ -189,4 +194,4 @@ def accepted(docs: DataFrame, model: Model, text: str = "text", threshold: float
                 columns = [part.column(i) for i in range(n)]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(model.score(x) >= threshold)], schema.names)
 
-    return carried.mapInArrow(judged, schema).filter("__good").drop("__good")
+    return carried.mapInArrow(released(judged), schema).filter(F.col(f"`{verdict}`")).drop(verdict)

@@ -191,7 +191,8 @@ def op5_pieces(spark, folder):
 ), reached AS (
   SELECT doc_id AS start, doc_id AS place FROM documents UNION SELECT start, b FROM reached JOIN links ON place = a
 )
-SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id FROM documents d LEFT JOIN sizes USING (doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(n_links, 0) AS n_links FROM documents d LEFT JOIN sizes USING (doc_id)
+LEFT JOIN (SELECT a AS doc_id, count(*) AS n_links FROM links GROUP BY a) USING (doc_id)
 JOIN (SELECT start AS doc_id, min(place) AS component_id FROM reached GROUP BY start) USING (doc_id)"""
 )
 def op6_jaccard_join(spark, folder):

@@ -283,3 +283,37 @@ def test_classifiers(spark, none):
 def test_digest_of_pieces_is_stable():
     ids, score = pieces.Codec.load().encode("the house")
     assert hashlib.sha256(bytes(ids)).hexdigest() == hashlib.sha256(bytes(pieces.Codec.load().encode("the house")[0])).hexdigest() and score < 0
+
+
+def test_columns_with_clashing_names(spark):
+    """Columns that the operators use for themselves are carried like any other, from empty tables too."""
+    names = ["its_source", "copies", "threshold", "row", "hash", "loser", "lost_keys", "body", "good"]
+    schema = "doc_id long, text string, source string, " + ", ".join(f"{c} string" for c in names)
+    line = "a line that both of them hold"
+    rows = [(i, t, s, *names) for i, (t, s) in enumerate([(line, "x"), (f"{line}\nand one", "y"), (None, None), ("", "x")])]
+    rows += [(None, line, "x", *names), (1, f"{line}\nand one", "y", *names)]
+    docs = spark.createDataFrame(rows, schema)
+    cut = line_dedup.without_shared_lines(docs)
+    assert cut.columns == [*docs.columns, "n_lines", "n_dropped"]
+    assert sorted((r.doc_id if r.doc_id is not None else -1, r.text, r.n_dropped, r.good) for r in cut.collect()) == [
+        (-1, line, 0, "good"), (0, line, 0, "good"), (1, "and one", 1, "good"), (1, "and one", 1, "good"), (2, "", 0, "good"), (3, "", 0, "good")
+    ]
+    mix = mixing.repeated(docs)
+    assert mix.columns == docs.columns and {r.good for r in mix.collect()} == {"good"}
+    taken = {}
+    for r in mixing.mixed(docs).collect():
+        taken[r.doc_id] = taken.get(r.doc_id, 0) + r.copies * (r["size"] > 0)
+    assert Counter(r.doc_id for r in mix.collect()) == Counter({k: n for k, n in taken.items() if n})
+    assert mixing.repeated(docs.limit(0)).count() == line_dedup.without_shared_lines(docs.limit(0)).count() == 0
+
+
+def test_links_count_rows(spark):
+    """Rows of one id are documents of their own; null ids are alone."""
+    rng = random.Random(9)
+    base, other = _prose(rng, 60), _prose(rng, 60)
+    near = base + " end"
+    rows = [(1, base), (1, other), (2, base), (3, near), (4, other), (None, base), (5, None)]
+    got = jaccard_join.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.component_id, r.n_links) for r in got) == Counter(
+        [(1, 1, 2), (1, 1, 1), (2, 1, 2), (3, 1, 2), (4, 1, 1), (None, None, 0), (5, 5, 0)]
+    )
