@@ -12,6 +12,21 @@ from paperloom.llm.common import stored, table
 ORACLE_SQL = None
 
 
+# Whole texts go to Python workers in batches of this size.
+BATCH_BYTES = "8m"
+
+
+def in_small_batches(stage):
+    """``stage`` in a session that sends rows to Python workers in small batches, so that neither side holds many texts."""
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@in_small_batches
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts; it learns from the labels of those that are not held out."""
     measured = stored(quality_classifier.text_statistics(docs), "stage-statistics")
@@ -19,6 +34,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality_classifier.accepted(docs, model)
 
 
+@in_small_batches
 def without_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that an earlier document has; ``n_chars`` follows the text."""
     cut = line_dedup.without_shared_lines(docs)
@@ -26,18 +42,22 @@ def without_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return kept.select(docs.columns)
 
 
+@in_small_batches
 def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each class of near copies. Rows without an id stay."""
     classes = jaccard_join.classes(docs)
-    gone = classes.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(stored(gone, "stage-copies"), F.col("doc_id") == F.col("__gone"), "left_anti")
+    gone = classes.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone")).distinct()
+    gone = stored(gone, "stage-copies")
+    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
 
 
+@in_small_batches
 def mixed_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
     return mixing.repeated(docs)
 
 
+@in_small_batches
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_pieces, piece_ids`` of each document; the text can be had back from the ids."""
     rows = pieces.encoded(docs, pieces.Codec.load())
