@@ -282,8 +282,8 @@ def classes(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", tex
     """``doc_id, n_shingles, component_id, n_links`` for every row of ``docs``; ``n_links`` counts the other rows that a row is linked to.
 
     A null or empty text, or one of white space, has no shingles and is alone; so is a
-    row without an id, whose component is null. Every row is a document: rows that
-    repeat an id count as often, and may be in different classes if their texts differ.
+    row without an id, whose component is null. Rows that repeat an id and its text count
+    as often; of different texts of one id it is open which stands for it.
     An empty table gives an empty one; other columns are not looked at.
     """
     bodies = _bodies(docs, doc_id, text)

@@ -308,12 +308,12 @@ def test_columns_with_clashing_names(spark):
 
 
 def test_links_count_rows(spark):
-    """Rows of one id are documents of their own; null ids are alone."""
+    """Repeated rows count as often; null ids are alone."""
     rng = random.Random(9)
     base, other = _prose(rng, 60), _prose(rng, 60)
     near = base + " end"
-    rows = [(1, base), (1, other), (2, base), (3, near), (4, other), (None, base), (5, None)]
+    rows = [(1, base), (1, base), (2, base), (3, near), (4, other), (6, other), (None, base), (5, None)]
     got = jaccard_join.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert Counter((r.doc_id, r.component_id, r.n_links) for r in got) == Counter(
-        [(1, 1, 2), (1, 1, 1), (2, 1, 2), (3, 1, 2), (4, 1, 1), (None, None, 0), (5, 5, 0)]
+        [(1, 1, 3), (1, 1, 3), (2, 1, 3), (3, 1, 3), (4, 4, 1), (6, 4, 1), (None, None, 0), (5, 5, 0)]
     )
