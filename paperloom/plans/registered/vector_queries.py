@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from paperloom import embedding
 from paperloom.functions import vectors as V
 from paperloom.functions.text import author_line, citation, distance_line
-from paperloom.operators import ivf, keyword, knn, quality
+from paperloom.operators import ivf, knn, postings, quality
 from paperloom.plans import search
 from paperloom.plans.registered import inputs as I
+from paperloom.session import shared_dir
 from paperloom.sources import vector_tables
 
 QUERIES = {}
@@ -332,9 +335,22 @@ keyword_run AS (
     FROM keyword_scores) WHERE rank < 1000)"""
 
 
+_indexes: dict[tuple[str, str], str] = {}
+
+
+def _keyword_index(spark, folder):
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _indexes:
+        path = f"{shared_dir(spark).rstrip('/')}/keyword-index-{uuid.uuid4().hex}"
+        postings.write_index(I.texts(spark, folder), path)
+        _indexes[key] = path
+    return _indexes[key]
+
+
 @register(I.with_ctes(BM25) + "SELECT query_id, pmid, rank, round(score, 6) AS score FROM keyword_run WHERE rank < 100")
 def keyword_bm25(spark, folder):
-    found = keyword.search(I.texts(spark, folder), I.text_queries(spark, folder), 100)
+    """From an index on disk, which is written once per session and table."""
+    found = postings.search_index(spark, _keyword_index(spark, folder), I.text_queries(spark, folder), 100)
     return found.withColumn("score", F.round("score", 6))
 
 
