@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, FloatType
 
 HALF_MAX = 65504.0
 
@@ -77,6 +81,33 @@ def half_precision(v: Column) -> Column:
     return F.transform(v, to_half)
 
 
+@F.arrow_udf(BinaryType())
+def pack_half(vectors: pa.Array) -> pa.Array:
+    """Vectors as IEEE binary16, two bytes a component, little-endian; null stays null.
+
+    Rounds as :func:`to_half` does; a number that becomes infinite is an error.
+    """
+    numbers = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    with np.errstate(over="ignore"):
+        halves = numbers.astype("<f2")
+    if (np.isinf(halves) & np.isfinite(numbers)).any():
+        raise ValueError("value out of half-precision range")
+    ends = 2 * np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(vectors), 0).to_numpy())])
+    offsets, bits = pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(halves.tobytes())
+    packed = pa.Array.from_buffers(pa.binary(), len(vectors), [None, offsets, bits])
+    return pc.if_else(vectors.is_null(), pa.scalar(None, pa.binary()), packed)
+
+
+@F.arrow_udf(ArrayType(FloatType()))
+def unpack_half(packed: pa.Array) -> pa.Array:
+    """Vectors that :func:`pack_half` made, as floats."""
+    rows = packed.to_pylist()
+    numbers = np.frombuffer(b"".join(r or b"" for r in rows), "<f2").astype(np.float32)
+    ends = np.concatenate([[0], np.cumsum([len(r or b"") // 2 for r in rows])]).astype(np.int32)
+    mask = pa.array([r is None for r in rows], pa.bool_())
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(numbers), mask=mask)
+
+
 def require_dimension(v: Column, dim: int) -> Column:
     """``v`` itself, or a failed job when its length is not ``dim``."""
     message = F.concat(F.lit(f"expected {dim} dimensions, got "), F.size(v).cast("string"))

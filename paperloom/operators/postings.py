@@ -39,6 +39,8 @@ DOCUMENTS_PER_TASK = 20_000
 DOCUMENTS_PER_FILE = 2_000_000
 # Bucket of the rows that hold a document's length, one per document.
 LENGTHS = -1
+POSTINGS = "term string, pmid bigint, tf int, length int, bucket int"
+TERMS = "term string, df bigint, bucket int"
 
 
 def bucket_of(term: Column, buckets: int = BUCKETS) -> Column:
@@ -72,7 +74,7 @@ def write_index(documents: DataFrame, folder: str, buckets: int = BUCKETS) -> No
     placed = rows.withColumn("bucket", F.when(F.col("term").isNull(), LENGTHS).otherwise(bucket))
     placed = placed.repartition((buckets + 1) * spread, "bucket", F.pmod(F.xxhash64("pmid"), F.lit(spread)))
     placed.sortWithinPartitions("bucket", "term", "pmid").write.mode("overwrite").partitionBy("bucket").parquet(f"{folder}/postings")
-    postings = spark.read.parquet(f"{folder}/postings")
+    postings = spark.read.schema(POSTINGS).parquet(f"{folder}/postings")
     words = postings.filter(F.col("bucket") != LENGTHS).groupBy("bucket", "term").agg(F.count("*").alias("df"))
     words.write.mode("overwrite").partitionBy("bucket").parquet(f"{folder}/terms")
     corpus = postings.filter(F.col("bucket") == LENGTHS).agg(
@@ -86,8 +88,8 @@ def asked_postings(spark: SparkSession, folder: str, words: list[str], buckets:
     asked = spark.createDataFrame([(w,) for w in words], "term string").withColumn("bucket", bucket_of(F.col("term"), buckets))
     wanted = sorted({r.bucket for r in asked.select("bucket").distinct().collect()})
     found = []
-    for name, columns in (("postings", "pmid bigint, tf int, length int"), ("terms", "df bigint")):
-        table = spark.read.schema(f"term string, {columns}, bucket int").parquet(f"{folder}/{name}").filter(F.col("bucket").isin(wanted))
+    for name, schema in (("postings", POSTINGS), ("terms", TERMS)):
+        table = spark.read.schema(schema).parquet(f"{folder}/{name}").filter(F.col("bucket").isin(wanted))
         found.append(table.join(F.broadcast(asked.select("term")), "term", "left_semi"))
     return found[0], found[1]
 

@@ -10,6 +10,7 @@ from paperloom import embedding
 from paperloom.functions import dates, text as X
 from paperloom.functions.xml import with_article_columns
 from paperloom.operators import changelog, judgments, numbering, quality
+from paperloom.operators.bucketed_state import BucketedState
 from paperloom.plans import reference_sets as R
 from paperloom.plans.registered import inputs as I
 from paperloom.schemas import QUESTION_FILE
@@ -331,11 +332,14 @@ def changelog_compact(spark, folder):
 
 @register(I.with_ctes(I.CHANGES, LAST) + "SELECT pmid, file_name, is_delete, pos, value FROM last_changes")
 def upsert_last_wins(spark, folder):
-    """The second half of the feed applied to the state after the first."""
+    """The second half of the feed applied to the state after the first, in a bucketed state on disk."""
     changes = I.changes(spark, folder)
+    path = f"{shared_dir(spark).rstrip('/')}/state-{uuid.uuid4().hex}"
+    state = BucketedState(spark, path, changes.schema, buckets=8)
     early = F.col("file_name") < "20240116"
-    target = changelog.last_changes(changes.filter(early))
-    return changelog.upsert(target, changes.filter(~early))
+    state.upsert(changes.filter(early))
+    state.upsert(changes.filter(~early))
+    return state.rows()
 
 
 @register(

@@ -167,7 +167,11 @@ def cosine_distance(spark, folder):
 FROM (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings)"""
 )
 def half_precision(spark, folder):
-    halves = I.vectors(spark, folder).select("pmid", F.posexplode(V.half_precision(F.col("embedding"))).alias("i", "x"))
+    """Through a table that stores two bytes a component."""
+    path = f"{shared_dir(spark).rstrip('/')}/half-vectors-{uuid.uuid4().hex}"
+    vector_tables.append_vectors(I.vectors(spark, folder), path, I.DIM, "half")
+    stored = vector_tables.read_vectors(spark, path)
+    halves = stored.select(F.col("pmid").cast("bigint").alias("pmid"), F.posexplode("embedding").alias("i", "x"))
     return halves.select("pmid", F.col("i").cast("bigint").alias("i"), F.col("x").cast("double").alias("half"))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,3 +57,27 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(jvm_path):
         return []
     return sorted(status.getPath().getName() for status in fs.listStatus(jvm_path))
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    """A small text file of any Hadoop file system."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).open(jvm_path)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
+def publish_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file that appears whole or not at all; an error if it is there already."""
+    final = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = final.getFileSystem(spark._jsc.hadoopConfiguration())
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    stream = fs.create(draft)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+    if fs.exists(final) or not fs.rename(draft, final):
+        raise FileExistsError(path)

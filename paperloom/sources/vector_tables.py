@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.functions.vectors import from_wide, half_precision, require_dimension, to_wide
+from paperloom.functions.vectors import from_wide, pack_half, require_dimension, to_wide, unpack_half
 from paperloom.operators.quality import append_check
 from paperloom.session import exists, shared_dir
 
@@ -29,13 +29,22 @@ def read_wide(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def prepare_vectors(df: DataFrame, dim: int, precision: str = "full") -> DataFrame:
-    """Rows as a vector table stores them; a wrong dimension or an id beyond int fails."""
+    """Rows as a vector table stores them, half precision as two bytes a component; a wrong dimension or an id beyond int fails."""
     if precision not in PRECISIONS:
         raise ValueError(f"precision is one of {PRECISIONS}")
     vector = require_dimension(F.col("embedding"), dim)
+    vector = vector.cast("array<float>")
     if precision == "half":
-        vector = half_precision(vector)
-    return df.select(F.col("pmid").cast("int").alias("pmid"), vector.cast("array<float>").alias("embedding"))
+        vector = pack_half(vector)
+    return df.select(F.col("pmid").cast("int").alias("pmid"), vector.alias("embedding"))
+
+
+def read_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """``pmid, embedding`` of a vector table, as floats whatever its precision."""
+    rows = spark.read.parquet(folder)
+    if rows.schema["embedding"].dataType.typeName() == "binary":
+        rows = rows.withColumn("embedding", unpack_half("embedding"))
+    return rows
 
 
 def append_vectors(df: DataFrame, folder: str, dim: int, precision: str = "full") -> int:
@@ -51,6 +60,8 @@ def append_vectors(df: DataFrame, folder: str, dim: int, precision: str = "full"
     df = spark.read.parquet(staging)
     rows = prepare_vectors(df, dim, precision)
     stored = spark.read.parquet(folder) if exists(spark, folder) else spark.createDataFrame([], rows.schema)
+    if stored.schema["embedding"].dataType != rows.schema["embedding"].dataType:
+        raise ValueError(f"the table does not hold vectors of {precision} precision")
     check = append_check(df, stored, dim).first()
     if check.n_wrong_dim:
         raise ValueError(f"{check.n_wrong_dim} vectors do not have {dim} dimensions")

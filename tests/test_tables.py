@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from paperloom import embedding as E
 from paperloom.plans.corpus import embed_pending, update_articles
+from paperloom.functions import vectors as V
 from paperloom.operators import quality
 from paperloom.sources import tables, vector_tables as VT
 from paperloom.streaming.embedding_stream import embed_article_stream, stored_vectors
@@ -35,10 +36,10 @@ def vectors(spark, ids, dim=3):
 
 def test_append_vectors(spark, tmp_path):
     folder = str(tmp_path / "v")
-    assert VT.append_vectors(vectors(spark, [1, 2]), folder, 3, "half") == 2
+    assert VT.append_vectors(vectors(spark, [1, 2]), folder, 3) == 2
     assert VT.append_vectors(vectors(spark, [3]), folder, 3) == 3
-    stored = {r.pmid: r.embedding for r in spark.read.parquet(folder).collect()}
-    assert stored[1] == [float(np.float16(np.float32((1 + j) / 7))) for j in range(3)]
+    with pytest.raises(ValueError, match="half precision"):
+        VT.append_vectors(vectors(spark, [9]), folder, 3, "half")
     for bad, message in [
         (vectors(spark, [3, 4]), "duplicate"), (vectors(spark, [5, 5]), "duplicate"), (vectors(spark, [6], 2), "dimensions"),
     ]:
@@ -51,6 +52,27 @@ def test_append_vectors(spark, tmp_path):
     assert spark.read.parquet(folder).count() == 3
 
 
+def test_half_precision_tables(spark, tmp_path):
+    """Two bytes a component on disk, the nearest binary16 number when read."""
+    full, half = str(tmp_path / "full"), str(tmp_path / "half")
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(size=256) * 10.0 ** rng.integers(-9, 4)]) for i in range(400)]
+    rows += [(400, [65504.0, -65504.0, 6e-8, 2e-8, -0.0, float("nan")] + [0.0] * 250)]
+    frame = spark.createDataFrame(rows, "pmid long, embedding array<float>").coalesce(1)
+    assert VT.append_vectors(frame, half, 256, "half") == VT.append_vectors(frame, full, 256) == 401
+    sizes = [sum(f.stat().st_size for f in (tmp_path / x).glob("*.parquet")) for x in ("half", "full")]
+    assert sizes[0] < 0.6 * sizes[1]
+    back = {r.pmid: r.embedding for r in VT.read_vectors(spark, half).collect()}
+    for i, x in rows:
+        assert np.array_equal(np.float32(back[i]), np.float16(np.float32(x)).astype(np.float32), equal_nan=True)
+    assert VT.read_vectors(spark, full).schema["embedding"].dataType.simpleString() == "array<float>"
+    with pytest.raises(Exception, match="half-precision"):
+        VT.append_vectors(vectors(spark, [10**6]), half, 3, "half")
+    pair = spark.createDataFrame([(1, None), (2, []), (3, [1.5, 2.0])], "pmid long, embedding array<float>")
+    packed = pair.withColumn("p", V.pack_half("embedding")).withColumn("u", V.unpack_half("p"))
+    assert {r.pmid: (r.p, r.u) for r in packed.collect()} == {1: (None, None), 2: (b"", []), 3: (b"\x00>\x00@", [1.5, 2.0])}
+
+
 def test_wide_files(spark, tmp_path):
     folder = str(tmp_path / "wide")
     df = vectors(spark, range(25), 11).withColumn("pub_date", F.lit(700000))
