@@ -31,6 +31,9 @@ from paperloom.session import shared_dir
 
 # Turns of one conversation that are numbered in one window.
 CHUNK = 4096
+# Depths at which a conversation is compared with a node at a time, and steps of the search from one table to the next.
+PROBES = 16
+STEPS = 3
 # Ids of a group of equal conversations that are joined to one string at a time.
 IDS_AT_ONCE = 4096
 
@@ -111,26 +114,29 @@ def _indexed(nodes: DataFrame, known: DataFrame) -> DataFrame:
     return _at(handled, known, F.col("rep"), F.col("low") + 1, g1="p1", g2="p2")
 
 
-def _common(rows: DataFrame, known: DataFrame, matched: str) -> DataFrame:
-    """``rows`` with ``matched`` as far up as conversation and node agree; rows without a node (``rep``) keep it.
+def _common(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """``conv, n, m, rep, low, high`` with ``m`` as far up as conversation and node agree; rows without a node keep it.
 
-    Agreement only ever ends once, so the prefixes of both are compared by bisection.
+    Agreement only ever ends once, so it is enough to compare at ``PROBES`` depths and to go on between two of them.
     """
-    rows = rows.withColumn("up", F.when(F.col("rep").isNull(), F.col(matched)).otherwise(F.least("high", "n")))
+    columns = ["conv", "n", "m", "rep", "low", "high"]
+    up = F.when(F.col("rep").isNull(), F.col("m")).otherwise(F.least("high", "n"))
+    open_, done = rows.select(*columns, up.alias("up")), None
     while True:
-        rows = stored(rows, "trie-common")
-        longest = rows.agg(F.max(F.col("up") - F.col(matched))).first()[0]
-        if not longest:
-            return rows.drop("up")
-        middle = F.floor((F.col(matched) + F.col("up") + 1) / 2).cast("long")
-        rows = rows.withColumn("try", F.when(F.col(matched) < F.col("up"), middle).otherwise(-F.col("conv") - 1))
-        rows = _at(_at(rows, known, F.col("conv"), F.col("try"), x1="p1", x2="p2"), known, F.coalesce("rep", -1 - F.col("conv")), F.col("try"), y1="p1", y2="p2")
+        over = open_.filter("m >= up").select(columns)
+        done = over if done is None else done.union(over)
+        open_ = open_.filter("m < up")
+        if not open_.limit(1).count():
+            return done
+        step = F.ceil((F.col("up") - F.col("m")) / PROBES).cast("long")
+        probes = open_.withColumn("step", step)
+        probes = probes.withColumn("try", F.explode(F.sequence(F.col("m") + F.col("step"), F.col("up"), F.col("step"))))
+        probes = _at(_at(probes, known, F.col("conv"), F.col("try"), x1="p1", x2="p2"), known, F.col("rep"), F.col("try"), y1="p1", y2="p2")
         same = (F.col("x1") == F.col("y1")) & (F.col("x2") == F.col("y2"))
-        open_ = F.col(matched) < F.col("up")
-        rows = rows.withColumns({
-            matched: F.when(open_ & same, F.col("try")).otherwise(F.col(matched)),
-            "up": F.when(open_ & ~F.coalesce(same, F.lit(False)), F.col("try") - 1).otherwise(F.col("up")),
-        }).drop("try", "x1", "x2", "y1", "y2")
+        agreed = probes.groupBy(*columns, "up", "step").agg(F.coalesce(F.max(F.when(same, F.col("try"))), F.col("m")).alias("to"))
+        open_ = stored(agreed.select(
+            "conv", "n", F.col("to").alias("m"), "rep", "low", "high", F.least(F.col("up"), F.col("to") + F.col("step") - 1).alias("up")
+        ), "trie-common")
 
 
 def _exits(active: DataFrame, nodes: DataFrame, known: DataFrame) -> DataFrame:
@@ -139,21 +145,25 @@ def _exits(active: DataFrame, nodes: DataFrame, known: DataFrame) -> DataFrame:
     none = F.lit(None).cast("long")
     open_ = active.select("conv", "n", "m", F.col("m").alias("a"), F.col("n").alias("b"), none.alias("rep"), none.alias("low"), none.alias("high"), F.col("m").alias("sure"))
     done = None
+    hits = handles.select(F.col("rep").alias("r"), F.col("low").alias("l"), F.col("high").alias("u"), "h", "f1", "f2")
     while open_ is not None:
-        asked = open_.withColumn("fat", two_fattest(F.col("a"), F.col("b")))
-        asked = _at(asked, known, F.col("conv"), F.col("fat"), x1="p1", x2="p2")
-        hits = handles.select(F.col("rep").alias("r"), F.col("low").alias("l"), F.col("high").alias("u"), "h", "f1", "f2")
-        step = asked.join(hits, (F.col("fat") == F.col("h")) & (F.col("x1") == F.col("f1")) & (F.col("x2") == F.col("f2")), "left")
-        hit = F.col("r").isNotNull()
-        step = stored(step.select(
-            "conv", "n", "m",
-            F.when(hit, F.least("u", "n")).otherwise(F.col("a")).alias("a"),
-            F.when(hit, F.col("b")).otherwise(F.col("fat") - 1).alias("b"),
-            F.coalesce("r", "rep").alias("rep"),
-            F.when(hit, F.col("l")).otherwise(F.col("low")).alias("low"),
-            F.when(hit, F.col("u")).otherwise(F.col("high")).alias("high"),
-            F.when(hit, F.col("fat")).otherwise(F.col("sure")).alias("sure"),
-        ), "trie-search")
+        step = open_
+        for _ in range(STEPS):
+            searching = F.col("a") < F.col("b")
+            asked = step.withColumn("fat", F.when(searching, two_fattest(F.col("a"), F.col("b"))).otherwise(-1 - F.col("conv")))
+            asked = _at(asked, known, F.col("conv"), F.col("fat"), x1="p1", x2="p2")
+            step = asked.join(hits, (F.col("fat") == F.col("h")) & (F.col("x1") == F.col("f1")) & (F.col("x2") == F.col("f2")), "left")
+            hit = F.col("r").isNotNull()
+            step = step.select(
+                "conv", "n", "m",
+                F.when(hit, F.least("u", "n")).otherwise(F.col("a")).alias("a"),
+                F.when(hit | ~searching, F.col("b")).otherwise(F.col("fat") - 1).alias("b"),
+                F.coalesce("r", "rep").alias("rep"),
+                F.when(hit, F.col("l")).otherwise(F.col("low")).alias("low"),
+                F.when(hit, F.col("u")).otherwise(F.col("high")).alias("high"),
+                F.when(hit, F.col("fat")).otherwise(F.col("sure")).alias("sure"),
+            )
+        step = stored(step, "trie-search")
         over = step.filter("a >= b")
         done = over if done is None else done.union(over)
         open_ = step.filter("a < b")
@@ -171,7 +181,7 @@ def _exits(active: DataFrame, nodes: DataFrame, known: DataFrame) -> DataFrame:
     onward = _at(last.filter("goes_on").select("conv", "n", "m"), known, F.col("conv"), F.col("m") + 1, x1="p1", x2="p2")
     onward = onward.join(gates, (F.col("m") == F.col("l")) & (F.col("x1") == F.col("g1")) & (F.col("x2") == F.col("g2")), "left")
     onward = onward.select("conv", "n", F.when(F.col("r").isNull(), F.col("m")).otherwise(F.col("m") + 1).alias("m"), F.col("r").alias("rep"), F.col("l").alias("low"), F.col("u").alias("high"))
-    whole = _common(last.filter("not goes_on").drop("goes_on").union(onward), known, "m")
+    whole = _common(stored(last.filter("not goes_on").drop("goes_on").union(onward), "trie-met"), known)
     boundary = F.col("m") == F.col("high")
     return whole.withColumns({c: F.when(~boundary, F.col(c)) for c in ("rep", "low")}).withColumn("high", F.when(F.col("rep").isNotNull(), F.col("high")))
 
@@ -190,9 +200,10 @@ def insert(sequences: DataFrame, known: DataFrame) -> DataFrame:
             exits = stored(_exits(active, nodes, known), "trie-exits")
         # Of the conversations that leave by one new branch the longest goes in.
         leaving = _at(exits.filter("m < n").select("conv", "n", "m"), known, F.col("conv"), F.col("m") + 1, x1="p1", x2="p2")
-        leaving = stored(leaving, "trie-leaving")
-        chosen = leaving.groupBy("m", "x1", "x2").agg(F.min(F.struct(-F.col("n"), F.col("conv"))).alias("best"))
-        leaves = stored(chosen.select(F.col("best.conv").alias("rep"), F.col("m").alias("low"), (-F.col("best.col1")).alias("high")), "trie-leaves")
+        longest = leaving.groupBy("m", "x1", "x2").agg(F.min(F.struct(-F.col("n"), F.col("conv"))).alias("best"))
+        chosen = longest.select(F.col("best.conv").alias("inserted"))
+        leaving = stored(leaving.select("conv", "n", "m").join(chosen, F.col("conv") == F.col("inserted"), "left"), "trie-leaving")
+        leaves = leaving.filter("inserted is not null").select(F.col("conv").alias("rep"), F.col("m").alias("low"), F.col("n").alias("high"))
         # Edges left from inside are cut there.
         cuts = exits.filter("rep is not null").select("rep", "low", "high", F.col("m").alias("cut")).distinct()
         ends = cuts.union(cuts.select("rep", "low", "high", F.col("high").alias("cut")).distinct())
@@ -200,8 +211,7 @@ def insert(sequences: DataFrame, known: DataFrame) -> DataFrame:
         parts = ends.select("rep", F.coalesce(F.lag("cut").over(by_edge), F.col("low")).alias("low"), F.col("cut").alias("high"))
         whole = nodes.join(cuts.select(F.col("rep").alias("r"), F.col("high").alias("u")).distinct(), (F.col("rep") == F.col("r")) & (F.col("high") == F.col("u")), "left_anti")
         nodes = stored(whole.unionByName(_indexed(parts.unionByName(leaves), known)), "trie-nodes")
-        inserted = leaves.select(F.col("rep").alias("r"))
-        active = stored(leaving.select("conv", "n", "m").join(inserted, F.col("conv") == F.col("r"), "left_anti"), "trie-active")
+        active = leaving.filter("inserted is null").select("conv", "n", "m")
         first = False
     return nodes.select("rep", "low", "high")
 
