@@ -205,13 +205,13 @@ class Codec:
         """Token ids of each text as the bytes of 32-bit integers; without ``special``, special strings are plain text."""
         if self._known is None:
             self._build()
-        known, split, fresh = self._known, [], set()
+        known, split = self._known, []
         for text in texts:
             parts = self._marks.split(text) if special and self._marks else [text]
             words = [self._words(p) if k % 2 == 0 else p for k, p in enumerate(parts)]
             split.append(words)
-            fresh.update(w for own in words[::2] for w in own if w not in known)
-        self._learn(list(fresh))
+        fresh = list(set().union(*[own for words in split for own in words[::2]]).difference(known))
+        self._learn(fresh)
         mark = {t: np.array([i], np.int32).tobytes() for t, i in self.special.items()}
         out = [b"".join([mark[p] if k % 2 else b"".join(map(known.__getitem__, p)) for k, p in enumerate(words)]) for words in split]
         if len(known) > REMEMBERED:

@@ -63,22 +63,28 @@ class PieceEncoder:
         self.tokens = [as_bytes(i) for i in ids]
         # If a space only ever starts a piece, a text can be encoded from word to word.
         self._by_word = not any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in pieces)
-        self._words = re.compile(" *[^ ]+| +")
-        self._known: dict[str, bytes] = {" ": np.array([self._processor.piece_to_id(SPACE_MARK)], np.int32).tobytes()}
+        self._runs = re.compile(" *[^ ]+| +")
+        self._known: dict[str, bytes] = {"": np.array([self._processor.piece_to_id(SPACE_MARK)], np.int32).tobytes()}
+
+    def _words(self, text: str) -> list[str]:
+        """Parts of a text that are encoded by themselves, without the space before each."""
+        if not self._by_word or SPACE_MARK in text:
+            return [text]
+        if "  " in text or text[0] == " " or text[-1] == " ":
+            return [w[1:] for w in self._runs.findall(" " + text)]
+        return text.split(" ")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, before which the model puts a space, as the bytes of 32-bit integers."""
         if self._processor is None:
             self._build()
-        known, find = self._known, self._words.findall
-        by_word = [self._by_word and SPACE_MARK not in t for t in texts]
-        split = [(find(" " + t) if apart else [" " + t]) if t else [] for t, apart in zip(texts, by_word)]
-        fresh = list({w for words in split for w in words if w not in known})
-        for word, ids in zip(fresh, self._processor.encode([w[1:] for w in fresh], num_threads=1)):
+        known, split = self._known, [self._words(t) if t else [] for t in texts]
+        fresh = list(set().union(*split).difference(known))
+        for word, ids in zip(fresh, self._processor.encode(fresh, num_threads=1)):
             known[word] = array("i", ids).tobytes()
         out = [b"".join(map(known.__getitem__, words)) for words in split]
         if len(known) > REMEMBERED:
-            self._known = {" ": known[" "]}
+            self._known = {"": known[""]}
         else:
             for w in fresh:
                 if len(w) > LONGEST_REMEMBERED:
@@ -185,7 +191,7 @@ def aligned(
     def columns(ids, texts):
         rows_a, rows_b = first.encode([" " + t for t in texts], special=False), second.encode(texts)
         whole = [b" " + t.encode() for t in texts]
-        same = _gives_back(rows_a, first.tokens, whole) & _gives_back(rows_b, second.tokens, whole)
+        same = _gives_back(rows_b, second.tokens, whole)  # the first side's bytes are the text's, as a byte-level encoding
         for k, t in enumerate(texts):
             if not t or not same[k]:
                 rows_a[k] = rows_b[k] = b""
