@@ -110,7 +110,7 @@ def probed_cells(block: QueryBlock, centroids: np.ndarray, n_probe: int) -> np.n
     return np.concatenate(parts)
 
 
-def _probe_in_task(shared, k: int):
+def probe_in_task(shared, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_ids, unit_queries, queries_of_cell = shared.value
         kept = NearestRows(len(query_ids), k)
@@ -149,7 +149,7 @@ def search(
         wanted = index
         if len(cells) < len(centroids):
             wanted = index.filter(F.col("cell").isin([int(c) for c in cells]))
-        passes.append(wanted.mapInArrow(_probe_in_task(shared, k), NEIGHBOUR_SCHEMA))
+        passes.append(wanted.mapInArrow(probe_in_task(shared, k), NEIGHBOUR_SCHEMA))
     if not passes:
         return merge_nearest(index.sparkSession.createDataFrame([], NEIGHBOUR_SCHEMA), k)
     return merge_nearest(reduce(DataFrame.union, passes), k)

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def _modules():
-    from paperloom.plans.registered import article_queries, evaluation_queries, vector_queries
+    from paperloom.plans.registered import article_queries, evaluation_queries, stored_queries, vector_queries
 
-    return [vector_queries, evaluation_queries, article_queries]
+    return [vector_queries, evaluation_queries, article_queries, stored_queries]
 
 
 def queries() -> dict:

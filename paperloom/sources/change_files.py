@@ -6,11 +6,14 @@ holds one record at a time. One scan gives both the articles and the deletes.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.functions import xml
 from paperloom.schemas import ARTICLE_COLUMNS
+from paperloom.session import list_names
 
 FILE_GLOB = "*.xml.gz"
 
@@ -142,3 +145,21 @@ def read_changes(
         raise ValueError("on_error is 'fail' or 'quarantine'")
     changes = parse_changes(read_chunks(spark, folder), text_mode, first_delete_only)
     return fail_on_errors(changes) if on_error == "fail" else changes
+
+
+def write_change_files(rows: DataFrame, folder: str) -> None:
+    """``rows(file_name, place, text)`` as one gzip file per name, its texts in the order of their places.
+
+    Files are written beside the folder and appear in it whole, by a rename.
+    """
+    spark = rows.sparkSession
+    staging = f"{folder.rstrip('/')}-staging-{uuid.uuid4().hex}"
+    ordered = rows.repartition("file_name").sortWithinPartitions("file_name", "place")
+    ordered.select("file_name", "text").write.option("compression", "gzip").partitionBy("file_name").text(staging)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(folder))
+    for part in list_names(spark, staging):
+        if part.startswith("file_name="):
+            (written,) = list_names(spark, f"{staging}/{part}")
+            fs.rename(path(f"{staging}/{part}/{written}"), path(f"{folder}/{part.split('=', 1)[1]}"))
