@@ -28,6 +28,8 @@ LENGTH = 200
 GRAM = 32
 ROWS_AT_ONCE = 128
 BLOCK_BYTES = 6_000_000
+# A segment's place is its first byte and, in the lower bits, its number of suffixes.
+LOW_BITS = 32
 _PLACE = np.uint64((1 << 28) - 1)
 _TABLES = [np.random.default_rng(s).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1) for s in (11, 12)]
 
@@ -65,9 +67,9 @@ def segments(text: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.nd
 
 
 def _marks(batches):
-    """Sorted ``bucket, f1, f2, doc, low, n`` rows to whole repeats (``part`` null) and one row per
+    """Sorted ``bucket, f1, f2, doc, tag, place`` rows to whole repeats (``part`` null) and one row per
     different segment of a bucket that has several (``part`` 1, or 0 if it is a whole repeat)."""
-    out = {name: [] for name in ("bucket", "doc", "low", "n", "part")}
+    out = {name: [] for name in ("bucket", "doc", "tag", "place", "part")}
 
     def put(row, part):
         for name, value in zip(out, (row[0], *row[3:], part)):
@@ -102,14 +104,14 @@ def _marks(batches):
                 several = True
                 put(*held)
             first, count = row, 1
-        if len(out["n"]) > 50_000:
+        if len(out["part"]) > 50_000:
             yield pa.RecordBatch.from_pydict(out, _MARKS)
             out = {name: [] for name in out}
     finish()
     yield pa.RecordBatch.from_pydict(out, _MARKS)
 
 
-_MARKS = pa.schema([("bucket", pa.int64()), ("doc", pa.int64()), ("low", pa.int64()), ("n", pa.int64()), ("part", pa.int32())])
+_MARKS = pa.schema([*[(name, pa.int64()) for name in ("bucket", "doc", "tag", "place")], ("part", pa.int32())])
 
 
 def repeated_suffixes(texts: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
@@ -132,73 +134,84 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def repeated_starts(bodies: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``doc, low, n``: the strings from ``low`` to ``low + n - 1`` of a document start somewhere else too."""
+    """``doc, tag, low, n``: the strings from ``low`` to ``low + n - 1`` of a text start somewhere else too.
+
+    ``bodies`` has ``doc_id, tag, body``; the tag, a hash of the text, tells texts of one id apart.
+    """
 
     def cut(batches):
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(start, ROWS_AT_ONCE)
-                found = [segments(t, length) for t in part.column(1).to_pylist()]
-                doc = np.repeat(part.column(0).to_numpy(), [len(f[0]) for f in found])
+                found = [segments(t, length) for t in part.column(2).to_pylist()]
+                doc, tag = (np.repeat(part.column(i).to_numpy(), [len(f[0]) for f in found]) for i in (0, 1))
                 bucket, f1, f2, low, n = (np.concatenate(x) for x in zip(*found))
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (bucket, f1, f2, doc, low, n)], ["bucket", "f1", "f2", "doc", "low", "n"])
+                place = low << LOW_BITS | n
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (bucket, f1, f2, doc, tag, place)], ["bucket", "f1", "f2", "doc", "tag", "place"])
 
-    rows = bodies.mapInArrow(cut, "bucket long, f1 long, f2 long, doc long, low long, n long")
-    ordered = rows.repartition("bucket").sortWithinPartitions("bucket", "f1", "f2", "doc", "low")
-    marks = stored(ordered.mapInArrow(_marks, "bucket long, doc long, low long, n long, part int"), "suffix-marks")
-    asked = marks.filter("part is not null").groupBy("doc").agg(F.collect_list(F.struct("bucket", "low", "n", "part")).alias("asked"))
+    rows = bodies.select("doc_id", "tag", "body").mapInArrow(cut, "bucket long, f1 long, f2 long, doc long, tag long, place long")
+    ordered = rows.repartition("bucket").sortWithinPartitions("bucket", "f1", "f2", "doc", "place")
+    marks = stored(ordered.mapInArrow(_marks, "bucket long, doc long, tag long, place long, part int"), "suffix-marks")
+    asked = marks.filter("part is not null").groupBy("doc", F.col("tag").alias("doc_tag")).agg(F.collect_list(F.struct("bucket", "place", "part")).alias("asked"))
 
     def fetched(batches):
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(start, ROWS_AT_ONCE)
                 rows = [
-                    (x["bucket"], doc, x["low"], x["part"], body[x["low"] : x["low"] + x["n"] + length - 1])
-                    for doc, body, wanted in zip(*(part.column(i).to_pylist() for i in range(3)))
+                    (x["bucket"], doc, tag, x["place"], x["part"], body[(low := x["place"] >> LOW_BITS) : low + (x["place"] & n_mask) + length - 1])
+                    for doc, tag, body, wanted in zip(*(part.column(i).to_pylist() for i in range(4)))
                     for x in wanted
                 ]
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types)], names)
 
-    names = ["bucket", "doc", "low", "part", "bytes"]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-    joined = bodies.join(asked, F.col("doc_id") == F.col("doc")).select("doc", "body", "asked")
-    pieces = joined.mapInArrow(fetched, "bucket long, doc long, low long, part int, bytes binary")
+    n_mask = (1 << LOW_BITS) - 1
+    names = ["bucket", "doc", "tag", "place", "part", "bytes"]
+    types = [*[pa.int64()] * 4, pa.int32(), pa.binary()]
+    same = (F.col("doc_id") == F.col("doc")) & (F.col("tag") == F.col("doc_tag"))
+    joined = bodies.join(asked, same).select("doc", "tag", "body", "asked")
+    pieces = joined.mapInArrow(fetched, "bucket long, doc long, tag long, place long, part int, bytes binary")
 
     def sorted_(batches):
         block, size, last = [], 0, None
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            for row in zip(*(batch.column(i).to_pylist() for i in range(6))):
                 if row[0] != last and size > BLOCK_BYTES:
                     yield from compared(block)
                     block, size = [], 0
                 last = row[0]
                 block.append(row)
-                size += len(row[4])
+                size += len(row[5])
         if block:
             yield from compared(block)
 
     def compared(block):
-        out = {"doc": [], "low": [], "n": []}
-        for row, flags in zip(block, repeated_suffixes([r[4] for r in block], length)):
-            if row[3]:
+        out = {"doc": [], "tag": [], "low": [], "n": []}
+        for _, doc, tag, place, part, _, flags in ((*r, f) for r, f in zip(block, repeated_suffixes([r[5] for r in block], length))):
+            if part:
                 for start, end in zip(*_runs(flags)):
-                    out["doc"].append(row[1]), out["low"].append(row[2] + int(start)), out["n"].append(int(end - start))
+                    for name, value in zip(out, (doc, tag, (place >> LOW_BITS) + int(start), int(end - start))):
+                        out[name].append(value)
         yield pa.RecordBatch.from_pydict(out, pa.schema([(k, pa.int64()) for k in out]))
 
-    parts = pieces.repartition("bucket").sortWithinPartitions("bucket", "doc", "low").mapInArrow(sorted_, "doc long, low long, n long")
-    return marks.filter("part is null").select("doc", "low", "n").union(parts)
+    parts = pieces.repartition("bucket").sortWithinPartitions("bucket", "doc", "tag", "place").mapInArrow(sorted_, "doc long, tag long, low long, n long")
+    place = F.col("place")
+    whole = marks.filter("part is null").select("doc", "tag", F.shiftright(place, LOW_BITS).alias("low"), place.bitwiseAND(F.lit(n_mask)).alias("n"))
+    return whole.union(parts)
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (bytes) for every row of ``docs``.
 
     Each byte that a repeated string covers goes; strings are judged on the input. A null
-    text is empty. A row without an id is left as it is and no match for others. Ids must
-    be unique: rows that repeat an id share what is removed.
+    text is empty, an empty table gives none. A row without an id is left as it is and no
+    match for others. Rows that repeat an id are documents of their own, so repeated rows
+    lose their strings of ``length`` bytes altogether. Other columns do not matter.
     """
     bodies = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("body"))
+    bodies = bodies.select("doc_id", F.xxhash64("body").alias("tag"), "body")
     starts = repeated_starts(bodies.filter("doc_id is not null"), length)
-    gone = starts.groupBy("doc").agg(F.collect_list(F.struct("low", "n")).alias("gone"))
+    gone = starts.groupBy("doc", F.col("tag").alias("doc_tag")).agg(F.collect_list(F.struct("low", "n")).alias("gone"))
     schema = StructType(
         [StructField(n, LongType()) for n in ("doc_id", "n_bytes", "n_removed", "n_spans")] + [StructField("kept", BinaryType())]
     )
@@ -218,5 +231,6 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id
                 types = [*[pa.int64()] * 4, pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types)], schema.names)
 
-    joined = bodies.join(gone, F.col("doc_id") == F.col("doc"), "left").select("doc_id", "body", "gone")
+    same = (F.col("doc_id") == F.col("doc")) & (F.col("tag") == F.col("doc_tag"))
+    joined = bodies.join(gone, same, "left").select("doc_id", "body", "gone")
     return joined.mapInArrow(cut, schema)
