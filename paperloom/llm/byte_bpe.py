@@ -81,7 +81,10 @@ class Codec:
         self._left[made], self._right[made] = left, right
         self._rank = {(a, b): rank for rank, (a, b, _) in enumerate(self.merges)}
         self._lengths = np.array([len(t) for t in self.tokens])
+        self._made = made
         self._byte_ids = {t[0]: i for i, t in enumerate(self.tokens) if len(t) == 1 and i not in self.special.values()}
+        self._byte_table = np.full(256, -1)
+        self._byte_table[list(self._byte_ids)] = list(self._byte_ids.values())
         # A token may be proposed if merging its own bytes gives it.
         sound = np.zeros(size, bool)
         sound[list(self._byte_ids.values())] = True
@@ -125,25 +128,43 @@ class Codec:
             live = live[on]
         return ok
 
-    def _merged(self, raw: bytes) -> list[int]:
-        """Tokens of a word by its merges, lowest rank and leftmost first."""
-        ids = list(map(self._byte_ids.__getitem__, raw))
-        if len(ids) > LONGEST_REMEMBERED:
-            return self._merged_by_heap(ids)
-        find, merges = self._rank.get, self.merges
-        ranks = [find(pair, NEVER) for pair in zip(ids, ids[1:])]
-        while ranks:
-            lowest = min(ranks)
-            if lowest == NEVER:
-                break
-            k = ranks.index(lowest)
-            ids[k : k + 2] = [merges[lowest][2]]
-            del ranks[k]
-            if k < len(ranks):
-                ranks[k] = find((ids[k], ids[k + 1]), NEVER)
-            if k:
-                ranks[k - 1] = find((ids[k - 1], ids[k]), NEVER)
-        return ids
+    def _rank_at(self, ids: np.ndarray, word: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Rank of the merge of the token at each place with the next one of its word; ``NEVER`` if there is none."""
+        after = np.minimum(at + 1, len(ids) - 1)
+        pair = ids[at] * len(self.tokens) + ids[after]
+        place = np.searchsorted(self._keys, pair)
+        return np.where((after > at) & (word[after] == word[at]) & (self._keys[place] == pair), self._ranks[place], NEVER)
+
+    def _merged(self, raw: list[bytes]) -> list[bytes]:
+        """Tokens of each word by its merges, lowest rank and leftmost first; one merge of every short word at a time."""
+        n = np.fromiter((len(r) if len(r) <= LONGEST_REMEMBERED else 0 for r in raw), np.int64, len(raw))
+        word = np.repeat(np.arange(len(raw)), n)
+        ids = self._byte_table[np.frombuffer(b"".join(r for r, size in zip(raw, n) if size), np.uint8)]
+        rank, done = self._rank_at(ids, word, np.arange(len(ids))), [(ids[:0], word[:0])]
+        while len(ids):
+            starts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            n, lowest = np.diff(np.append(starts, len(ids))), np.minimum.reduceat(rank, starts)
+            on = lowest < NEVER
+            of_on = np.repeat(on, n)
+            done.append((ids[~of_on], word[~of_on]))
+            ids, word, rank, n, lowest = ids[of_on], word[of_on], rank[of_on], n[on], lowest[on]
+            hits = np.flatnonzero(rank == np.repeat(lowest, n))
+            own = word[hits]
+            merging = hits[np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])[: len(hits)])]
+            ids[merging] = self._made[lowest]
+            kept = np.ones(len(ids), bool)
+            kept[merging + 1] = False
+            ids, word, rank = ids[kept], word[kept], rank[kept]
+            merged = merging - np.arange(len(merging))
+            changed = np.concatenate([merged, merged[merged > 0] - 1])
+            rank[changed] = self._rank_at(ids, word, changed)
+        ids, word = (np.concatenate(x) for x in zip(*done))
+        order = np.argsort(word, kind="stable")
+        whole, ends = ids[order].astype(np.int32).tobytes(), (4 * np.cumsum(np.bincount(word, minlength=len(raw)))).tolist()
+        return [
+            whole[start:end] if len(r) <= LONGEST_REMEMBERED else array("i", self._merged_by_heap(list(map(self._byte_ids.__getitem__, r)))).tobytes()
+            for r, start, end in zip(raw, [0, *ends], ends)
+        ]
 
     def _merged_by_heap(self, ids: list[int]) -> list[int]:
         """The same in n log n steps, for words of any length."""
@@ -186,9 +207,9 @@ class Codec:
         failing[word[inside[~good[place]]]] = True
         failing[covered != np.fromiter(map(len, raw), np.int64, len(words))] = True
         ids, ends = flat.astype(np.int32).tobytes(), (4 * np.cumsum(n)).tolist()
-        known = self._known
-        for w, r, fails, start, end in zip(words, raw, failing.tolist(), [0, *ends], ends):
-            known[w] = array("i", self._merged(r)).tobytes() if fails else ids[start:end]
+        self._known.update((w, ids[start:end]) for w, start, end in zip(words, [0, *ends], ends))
+        wrong = np.flatnonzero(failing).tolist()
+        self._known.update(zip((words[k] for k in wrong), self._merged([raw[k] for k in wrong])))
 
     def _words(self, text: str) -> list[str]:
         fresh = set(text) - self._tested

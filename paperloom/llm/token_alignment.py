@@ -99,26 +99,23 @@ def groups_between_cuts(ends_a: np.ndarray, ends_b: np.ndarray, lo_a, hi_a, lo_b
     """
     sought = np.searchsorted(ends_b, ends_a)
     found_in_b = ends_b[np.minimum(sought, len(ends_b) - 1)] == ends_a if len(ends_b) else np.zeros(len(ends_a), bool)
+    # Places of the shared ends, and how many of them lie before each place.
+    shared = np.append(np.flatnonzero(found_in_b), [len(ends_a)] * 2)
+    before = np.concatenate([[0], np.cumsum(found_in_b)])
     stretches, groups = np.array([lo_a, hi_a, lo_b, hi_b], np.int64).T, [np.zeros((0, 4), np.int64)]
     while len(stretches):
         inner = stretches[:, 1] - stretches[:, 0] - 1  # ends of one side that may be a cut
         divisible = (inner > 0) & (stretches[:, 3] - stretches[:, 2] > 1)
         groups.append(stretches[~divisible])
-        stretches, inner = stretches[divisible], inner[divisible]
+        stretches = stretches[divisible]
         first, last = stretches[:, 0], stretches[:, 1] - 2
         middle = (first + last) // 2
-        at_a, at_b = np.full(len(stretches), -1), np.zeros(len(stretches), np.int64)
-        seeking, step = np.arange(len(stretches)), 0
-        while len(seeking):  # outwards from the middle
-            for place in sorted({step, -step}):
-                tried = middle[seeking] + place
-                within = (tried >= first[seeking]) & (tried <= last[seeking])
-                those, tried = seeking[within], tried[within]
-                shared = found_in_b[tried]
-                at_a[those[shared]], at_b[those[shared]] = tried[shared] + 1, sought[tried[shared]] + 1
-                seeking = seeking[at_a[seeking] < 0]
-            step += 1
-            seeking = seeking[step <= (inner[seeking] + 1) // 2]
+        # The shared end nearest to the middle is the next one from there or the one before.
+        above, below = shared[before[middle]], shared[before[middle] - 1]
+        below = np.where((before[middle] > 0) & (below >= first), below, -1)
+        nearest = np.where((above <= last) & ((below < 0) | (above - middle < middle - below)), above, below)
+        at_a = np.where(nearest < 0, -1, nearest + 1)
+        at_b = sought[nearest] + 1
         cut = at_a >= 0
         groups.append(stretches[~cut])
         lower, upper = stretches[cut], stretches[cut]
