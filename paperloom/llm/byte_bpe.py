@@ -135,7 +135,11 @@ class Codec:
         place = np.searchsorted(self._keys, pair)
         return np.where((after > at) & (word[after] == word[at]) & (self._keys[place] == pair), self._ranks[place], NEVER)
 
-    def _merged(self, raw: list[bytes]) -> list[bytes]:
+    def _merged(self, raw: bytes) -> list[int]:
+        """Tokens of one word by its merges."""
+        return np.frombuffer(self._merged_words([raw])[0], np.int32).tolist()
+
+    def _merged_words(self, raw: list[bytes]) -> list[bytes]:
         """Tokens of each word by its merges, lowest rank and leftmost first; one merge of every short word at a time."""
         n = np.fromiter((len(r) if len(r) <= LONGEST_REMEMBERED else 0 for r in raw), np.int64, len(raw))
         word = np.repeat(np.arange(len(raw)), n)
@@ -209,7 +213,7 @@ class Codec:
         ids, ends = flat.astype(np.int32).tobytes(), (4 * np.cumsum(n)).tolist()
         self._known.update((w, ids[start:end]) for w, start, end in zip(words, [0, *ends], ends))
         wrong = np.flatnonzero(failing).tolist()
-        self._known.update(zip((words[k] for k in wrong), self._merged([raw[k] for k in wrong])))
+        self._known.update(zip((words[k] for k in wrong), self._merged_words([raw[k] for k in wrong])))
 
     def _words(self, text: str) -> list[str]:
         fresh = set(text) - self._tested

@@ -62,6 +62,9 @@ def test_speculation_is_verified(library):
     merged = [codec._merged(codec.tokens[x] + codec.tokens[y]) for x, y in zip(a, b)]
     assert passed.tolist() == [m == [x, y] for m, x, y in zip(merged, a, b)]
     assert 0 < passed.sum() < 4000
+    words = [codec.tokens[x] + codec.tokens[y] for x, y in zip(a, b)] + [b"", b"a", b"ab" * 31, b"ab" * 33]
+    together = [np.frombuffer(own, np.int32).tolist() for own in codec._merged_words(words)]
+    assert together == [codec._merged_by_heap([codec._byte_ids[x] for x in w]) for w in words]
     long = list(codec.tokens[some[5]] + codec.tokens[some[9]]) * 30
     assert codec._merged_by_heap([codec._byte_ids[x] for x in long]) == codec._merged(bytes(long))
 
