@@ -110,10 +110,10 @@ def probed_cells(block: QueryBlock, centroids: np.ndarray, n_probe: int) -> np.n
     return np.concatenate(parts)
 
 
-def probe_in_task(shared, k: int):
+def probe_in_task(shared, k: int, bounds: np.ndarray | None = None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_ids, unit_queries, queries_of_cell = shared.value
-        kept = NearestRows(len(query_ids), k)
+        kept = NearestRows(len(query_ids), k, bounds)
         for batch in batches:
             cells = np.asarray(batch.column("cell"))
             pmids = np.asarray(batch.column("pmid"))
@@ -131,25 +131,28 @@ def probe_in_task(shared, k: int):
     return run
 
 
+def probed_candidates(
+    index: DataFrame, block: QueryBlock, owner: np.ndarray, cell: np.ndarray, n_cells: int, k: int, bounds: np.ndarray | None = None
+) -> DataFrame:
+    """Neighbours that tasks find when query ``owner`` of the block looks into ``cell``; other cells are not read."""
+    order = np.argsort(cell, kind="stable")
+    cells, starts = np.unique(cell[order], return_index=True)
+    queries_of_cell = dict(zip(cells.tolist(), np.split(owner[order], starts[1:])))
+    shared = index.sparkSession.sparkContext.broadcast((block.ids, block.unit, queries_of_cell))
+    wanted = index if len(cells) == n_cells else index.filter(F.col("cell").isin([int(c) for c in cells]))
+    return wanted.mapInArrow(probe_in_task(shared, k, bounds), NEIGHBOUR_SCHEMA)
+
+
 def search(
     index: DataFrame, centroids: np.ndarray, queries: DataFrame, k: int = 1000, n_probe: int = 8
 ) -> DataFrame:
     """k nearest vectors among the ``n_probe`` cells nearest to each query."""
     n_probe = min(n_probe, len(centroids))
-    context = index.sparkSession.sparkContext
     passes = []
     for block in query_blocks(queries, k):
-        probes = probed_cells(block, centroids, n_probe)
-        flat = probes.ravel()
         owner = np.repeat(np.arange(len(block)), n_probe)
-        order = np.argsort(flat, kind="stable")
-        cells, starts = np.unique(flat[order], return_index=True)
-        queries_of_cell = dict(zip(cells.tolist(), np.split(owner[order], starts[1:])))
-        shared = context.broadcast((block.ids, block.unit, queries_of_cell))
-        wanted = index
-        if len(cells) < len(centroids):
-            wanted = index.filter(F.col("cell").isin([int(c) for c in cells]))
-        passes.append(wanted.mapInArrow(probe_in_task(shared, k), NEIGHBOUR_SCHEMA))
+        probes = probed_cells(block, centroids, n_probe).ravel()
+        passes.append(probed_candidates(index, block, owner, probes, len(centroids), k))
     if not passes:
         return merge_nearest(index.sparkSession.createDataFrame([], NEIGHBOUR_SCHEMA), k)
     return merge_nearest(reduce(DataFrame.union, passes), k)

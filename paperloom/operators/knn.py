@@ -129,12 +129,12 @@ class QueryBlock:
         return len(self.ids)
 
 
-def query_blocks(queries: DataFrame, k: int) -> Iterator[QueryBlock]:
-    """The query set in blocks within the size bounds, one at a time."""
+def query_blocks(queries: DataFrame, k: int, most: int = MAX_KEPT_ROWS) -> Iterator[QueryBlock]:
+    """The query set in blocks within the size bounds and of about ``most`` queries, one at a time."""
     rows = queries.select(F.col("query_id").cast("bigint").alias("query_id"), "embedding")
     size = rows.agg(F.count("*"), F.max(F.size("embedding"))).first()
     dim = max(1, size[1] or 0)
-    per_block = max(1, min(MAX_QUERY_BYTES // (8 * dim), MAX_KEPT_ROWS // max(1, k)))
+    per_block = max(1, min(MAX_QUERY_BYTES // (8 * dim), MAX_KEPT_ROWS // max(1, k), most))
     blocks = -(-size[0] // per_block)
     for b in range(blocks):
         table = rows.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b).toArrow()

@@ -7,10 +7,10 @@ import uuid
 from pyspark.sql import functions as F
 
 from paperloom import embedding
-from paperloom.operators import changelog, hyperplanes
+from paperloom.operators import cell_bounds, changelog, hyperplanes, ivf
 from paperloom.operators.changelog import ArticleStore
 from paperloom.plans.registered import inputs as I
-from paperloom.plans.registered.vector_queries import ARTICLE_TEXTS, HASHED_ARTICLES
+from paperloom.plans.registered.vector_queries import ARTICLE_TEXTS, HASHED_ARTICLES, NEIGHBOURS, embed_text_queries
 from paperloom.session import shared_dir
 from paperloom.sources import change_files, runs, tables, vector_tables
 from paperloom.streaming.article_stream import apply_change_stream
@@ -199,6 +199,35 @@ def stored_runs(spark, folder):
     return runs.read_run(spark, path, "second").union(runs.read_run(spark, path, "other"))
 
 
+CHUNKS = 16
+
+
+@register(
+    f"""SELECT chunk, n_rows, CAST(sum(n_rows) OVER (ORDER BY chunk) AS BIGINT) AS running_total FROM (
+  SELECT CAST(doc_id // width AS BIGINT) AS chunk, count(*) AS n_rows
+  FROM documents, (SELECT (max(doc_id) - min(doc_id)) // {CHUNKS} + 1 AS width FROM documents) GROUP BY ALL)"""
+)
+def copy_in_chunks(spark, folder):
+    """Documents copied chunk by chunk, twice: the second copy finds every chunk done."""
+    documents, path = I.table(spark, folder, "documents"), _new_path(spark, "documents-copy")
+    width = documents.agg(F.expr(f"coalesce((max(doc_id) - min(doc_id)) div {CHUNKS}, 0) + 1")).first()[0]
+    tables.copy_in_chunks(documents, path, "doc_id", width)
+    return tables.copy_in_chunks(documents, path, "doc_id", width)
+
+
+# --- exact search that skips cells ---------------------------------------
+
+
+@register(NEIGHBOURS)
+def knn_exact_cells(spark, folder):
+    """From cells on disk around the mean vector of each label; cells that cannot hold a neighbour are not read."""
+    labelled = I.table(spark, folder, "embeddings").select(F.col("vec_id").alias("pmid"), "embedding", "label")
+    path = _new_path(spark, "cells")
+    cell_bounds.write_index(labelled, ivf.group_centroids(labelled, "label", I.DIM), path)
+    found = cell_bounds.search(spark, path, embed_text_queries(I.text_queries(spark, folder)), 10)
+    return found.withColumn("distance", F.round("distance", 6))
+
+
 # --- hash tables ---------------------------------------------------------
 
 HASH_TABLES = 12

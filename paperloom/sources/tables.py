@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.functions.text import embedding_text
+from paperloom.session import exists, publish_file, read_file
 
 FETCH_ROWS = 100_000
 
@@ -29,6 +30,39 @@ def copy_database(spark: SparkSession, source: str, target: str) -> list[str]:
     return names
 
 
+def copy_in_chunks(source: DataFrame, folder: str, key: str, width: int) -> DataFrame:
+    """Copy ``source`` by ranges of ``width`` keys; gives ``chunk, n_rows, running_total``, chunks without rows left out.
+
+    A chunk is all rows with one ``floor(key / width)``, the rows without a key are the
+    last one. Its rows are counted as they are written, and a file that holds the count
+    marks it as done: a copy that was stopped goes on with the chunks that are not.
+    ``width`` must stay the same. The number of chunks is the number of jobs.
+    """
+    spark, chunk = source.sparkSession, F.floor(F.col(key) / F.lit(width))
+    ends = source.agg(F.min(chunk).alias("first"), F.max(chunk).alias("last"), F.count_if(F.col(key).isNull()).alias("none")).first()
+    chunks = list(range(ends.first, ends.last + 1)) if ends.first is not None else []
+    totals, so_far = [], 0
+    for number in [*chunks, *([None] if ends.none else [])]:
+        name = "none" if number is None else str(number)
+        done = f"{folder}/done/{name}"
+        if not exists(spark, done):
+            inside = F.col(key).isNull() if number is None else (F.col(key) >= number * width) & (F.col(key) < (number + 1) * width)
+            counted = Observation()
+            rows = source.filter(inside).observe(counted, F.count(F.lit(1)).alias("n_rows"))
+            rows.write.mode("overwrite").parquet(f"{folder}/rows/chunk-{name}")
+            publish_file(spark, done, str(counted.get["n_rows"]))
+        n_rows = int(read_file(spark, done))
+        so_far += n_rows
+        if n_rows:
+            totals.append((number, n_rows, so_far))
+    return spark.createDataFrame(totals, "chunk bigint, n_rows bigint, running_total bigint")
+
+
+def read_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows of a copy made in chunks."""
+    return spark.read.parquet(f"{folder}/rows/chunk-*")
+
+
 def jdbc_read_options(url: str, table: str, key: str, lower: int, upper: int, partitions: int) -> dict[str, str]:
     """Options for ``spark.read.format('jdbc')`` that split a table by its key."""
     return {

@@ -199,3 +199,17 @@ def test_embedding_stream(spark, tmp_path):
     run()
     got = {r.pmid: (r.embedding[0], r.batch) for r in stored_vectors(spark, out).collect()}
     assert got == {1: (1.0, 0), 2: (7.0, 1), 3: (3.0, 1)}
+
+
+def test_copy_in_chunks_goes_on_where_it_stopped(spark, tmp_path):
+    rows = [(i, f"t{i}") for i in [-3, 0, 1, 9, 10, 25, 25, None]]
+    source, folder = spark.createDataFrame(rows, "pmid bigint, title string"), str(tmp_path / "copy")
+    want = [(-1, 1, 1), (0, 3, 4), (1, 1, 5), (2, 2, 7), (None, 1, 8)]
+    assert [tuple(r) for r in tables.copy_in_chunks(source, folder, "pmid", 10).collect()] == want
+    assert sorted(map(str, tables.read_chunks(spark, folder).collect())) == sorted(map(str, source.collect()))
+    # One chunk's job was lost before its count was written, another chunk is done and stays as it is.
+    (tmp_path / "copy" / "done" / "1").unlink()
+    changed = source.selectExpr("pmid", "'new' AS title")
+    assert [tuple(r) for r in tables.copy_in_chunks(changed, folder, "pmid", 10).collect()] == want
+    assert [r.pmid for r in tables.read_chunks(spark, folder).filter("title = 'new'").collect()] == [10]
+    assert tables.copy_in_chunks(source.limit(0), str(tmp_path / "none"), "pmid", 10).count() == 0
