@@ -93,37 +93,40 @@ class PieceEncoder:
 
 
 def groups_between_cuts(ends_a: np.ndarray, ends_b: np.ndarray, lo_a, hi_a, lo_b, hi_b) -> np.ndarray:
-    """Rows ``lo_a, hi_a, lo_b, hi_b`` of the groups in order, from stretches whose ends are shared.
+    """Rows ``lo_a, hi_a, lo_b, hi_b`` of the groups in order, from stretches of tokens whose ends are shared.
 
-    ``ends_a`` and ``ends_b`` ascend over all stretches, so that ends are sought among all of the other side's.
+    Stretches are not empty and ascend, as ``ends_a`` and ``ends_b`` do over all of them, so that
+    ends are sought among all of the other side's. A stretch of the first side has one of the
+    other by its ends, so only the first side's are divided.
     """
     sought = np.searchsorted(ends_b, ends_a)
     found_in_b = ends_b[np.minimum(sought, len(ends_b) - 1)] == ends_a if len(ends_b) else np.zeros(len(ends_a), bool)
     # Places of the shared ends, and how many of them lie before each place.
-    shared = np.append(np.flatnonzero(found_in_b), [len(ends_a)] * 2)
-    before = np.concatenate([[0], np.cumsum(found_in_b)])
-    stretches, groups = np.array([lo_a, hi_a, lo_b, hi_b], np.int64).T, [np.zeros((0, 4), np.int64)]
-    while len(stretches):
-        inner = stretches[:, 1] - stretches[:, 0] - 1  # ends of one side that may be a cut
-        divisible = (inner > 0) & (stretches[:, 3] - stretches[:, 2] > 1)
-        groups.append(stretches[~divisible])
-        stretches = stretches[divisible]
-        first, last = stretches[:, 0], stretches[:, 1] - 2
-        middle = (first + last) // 2
+    shared = np.append(np.flatnonzero(found_in_b), [len(ends_a)] * 2).astype(np.int32)
+    before = np.concatenate([[0], np.cumsum(found_in_b)]).astype(np.int32)
+    starts_group = np.zeros(len(ends_a) + 1, bool)
+    starts_group[lo_a] = True
+    first, end = np.asarray(lo_a, np.int32), np.asarray(hi_a, np.int32)
+    while len(first):
+        divisible = end - first > 1
+        first, end = first[divisible], end[divisible]
+        last, middle = end - 2, first + (end - first - 2) // 2
         # The shared end nearest to the middle is the next one from there or the one before.
-        above, below = shared[before[middle]], shared[before[middle] - 1]
-        below = np.where((before[middle] > 0) & (below >= first), below, -1)
-        nearest = np.where((above <= last) & ((below < 0) | (above - middle < middle - below)), above, below)
-        at_a = np.where(nearest < 0, -1, nearest + 1)
-        at_b = sought[nearest] + 1
-        cut = at_a >= 0
-        groups.append(stretches[~cut])
-        lower, upper = stretches[cut], stretches[cut]
-        lower[:, 1], lower[:, 3] = at_a[cut], at_b[cut]
-        upper[:, 0], upper[:, 2] = at_a[cut], at_b[cut]
-        stretches = np.concatenate([lower, upper])
-    found = np.concatenate(groups)
-    return found[np.argsort(found[:, 0], kind="stable")]
+        n_before = before[middle]
+        above, below = shared[n_before], shared[n_before - 1]
+        under = (n_before > 0) & (below >= first)
+        over = (above <= last) & (~under | (above - middle < middle - below))
+        cut = over | under
+        at = np.where(over, above, below)[cut] + np.int32(1)
+        starts_group[at] = True
+        first, end = np.concatenate([first[cut], at]), np.concatenate([at, end[cut]])
+    starts = np.flatnonzero(starts_group)
+    stretch = np.searchsorted(lo_a, starts, side="right") - 1
+    from_b = np.where(starts == np.asarray(lo_a)[stretch], np.asarray(lo_b)[stretch], sought[starts - 1] + 1)
+    to_a, to_b = np.asarray(hi_a)[stretch], np.asarray(hi_b)[stretch]
+    goes_on = np.flatnonzero(stretch[1:] == stretch[:-1])
+    to_a[goes_on], to_b[goes_on] = starts[goes_on + 1], from_b[goes_on + 1]
+    return np.array([starts, to_a, from_b, to_b], np.int64).T
 
 
 def _gives_back(rows: list[bytes], tokens: list[bytes], texts: list[bytes]) -> np.ndarray:
@@ -213,12 +216,11 @@ def aligned(
         code_b[to_b[some + 1] - 1] += n_b
         out[np.arange(len(a)) + groups[g_a, 2]] = code_a
         out[np.arange(len(b)) + groups[g_b, 1]] = code_b
-        names, ends = _names(n_a, n_b), to_a + to_b
-        spelled = ["".join(map(names.__getitem__, out[s:e].tolist())) for s, e in zip(ends[:-1], ends[1:])]
+        spelled = _joined(_names(n_a, n_b).take(pa.array(out)), to_a + to_b)
         holder, pair, times = _links(a, b, groups, doc, n_b, n_a * n_b)
         lists = lambda x: pa.ListArray.from_arrays(pa.array(np.searchsorted(holder, np.arange(len(texts) + 1)), pa.int32()), pa.array(x, pa.int64()))
         numbers = [np.diff(to_a), np.diff(to_b), n_groups, so_far[to_group[1:]] - so_far[to_group[:-1]]]
-        return [ids, *[pa.array(x, pa.int64()) for x in numbers], pa.array(spelled, pa.string()), lists(pair), lists(times)]
+        return [ids, *[pa.array(x, pa.int64()) for x in numbers], spelled, lists(pair), lists(times)]
 
     def run(batches):
         first.encode([]), second.encode([])  # builds their tables
@@ -232,14 +234,23 @@ def aligned(
     return rows.mapInArrow(run, ALIGNED)
 
 
-_name_lists: dict[tuple[int, int], list[str]] = {}
+def _joined(strings: pa.LargeStringArray, ends: np.ndarray) -> pa.StringArray:
+    """One string for the strings between each two of ``ends``, which are what they are in memory already."""
+    _, offsets, data = strings.buffers()
+    offsets = np.frombuffer(offsets, np.int64, len(strings) + 1) if len(strings) else np.zeros(1, np.int64)
+    whole = pa.LargeStringArray.from_buffers(len(ends) - 1, pa.py_buffer(offsets[ends].tobytes()), data or pa.py_buffer(b""))
+    return whole.cast(pa.string())
 
 
-def _names(n_a: int, n_b: int) -> list[str]:
+_name_lists: dict[tuple[int, int], pa.LargeStringArray] = {}
+
+
+def _names(n_a: int, n_b: int) -> pa.LargeStringArray:
     """Decimal ids of either side with each mark that can follow them."""
     if (n_a, n_b) not in _name_lists:
         ids_a, ids_b = list(map(str, range(n_a))), list(map(str, range(n_b)))
-        _name_lists[n_a, n_b] = [i + mark for ids, marks in ((ids_a, ",|"), (ids_b, (",", ";", ""))) for mark in marks for i in ids]
+        every = [i + mark for ids, marks in ((ids_a, ",|"), (ids_b, (",", ";", ""))) for mark in marks for i in ids]
+        _name_lists[n_a, n_b] = pa.array(every, pa.large_string())
     return _name_lists[n_a, n_b]
 
 
