@@ -45,6 +45,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
+def if_any(xml: Column, name: str) -> Column:
+    """``xml``, or nothing when no such element can be in it: a plain search spares the pattern's walk."""
+    return F.when(~xml.contains(f"<{name}"), F.lit("")).otherwise(xml)
+
+
 def clean_record(raw: Column) -> Column:
     """Line ends, comments and CDATA sections as a parser would deliver them."""
 
@@ -65,7 +70,8 @@ def clean_record(raw: Column) -> Column:
     def cleaned(text: Column) -> Column:
         return F.when(text.contains("<!"), without_sections(text)).otherwise(text)
 
-    return let(F.regexp_replace(raw, r"\r\n?", "\n"), cleaned)
+    lines = F.when(raw.contains("\r"), F.regexp_replace(raw, r"\r\n?", "\n")).otherwise(raw)
+    return let(lines, cleaned)
 
 
 def decode(text: Column) -> Column:
@@ -80,12 +86,12 @@ def decode(text: Column) -> Column:
 
 def leading_text(xml: Column, name: str) -> Column:
     """Text before the first child of the first such element; NULL when none."""
-    return decode(F.regexp_extract(xml, _leading(name), 1))
+    return decode(F.regexp_extract(if_any(xml, name), _leading(name), 1))
 
 
 def full_text(xml: Column, name: str) -> Column:
     """All text of the first such element, markup removed."""
-    inner = F.regexp_replace(F.regexp_extract(xml, _block(name), 1), r"<[^>]*>", "")
+    inner = F.regexp_replace(F.regexp_extract(if_any(xml, name), _block(name), 1), r"<[^>]*>", "")
     return decode(inner)
 
 
@@ -94,12 +100,13 @@ def element_text(xml: Column, name: str, text_mode: str) -> Column:
 
 
 def has_element(xml: Column, name: str) -> Column:
-    return xml.rlike(_tag(name) + ">")
+    return if_any(xml, name).rlike(_tag(name) + ">")
 
 
 def elements(xml: Column, name: str) -> Column:
     """Every such element with its tags, in document order."""
-    return F.regexp_extract_all(xml, F.lit(rf"(?s)({_tag(name)}(?:(?<=/)>|(?<!/)>.*?</{name}\s*>))"), F.lit(1))
+    whole = rf"(?s){_tag(name)}(?:(?<=/)>|(?<!/)>.*?</{name}\s*>)"
+    return F.regexp_extract_all(if_any(xml, name), F.lit(whole), F.lit(0))
 
 
 def attribute(element: Column, name: str) -> Column:
@@ -151,9 +158,9 @@ def with_article_columns(df: DataFrame, text_mode: str = "leading") -> DataFrame
     cut = df.select(
         *others,
         "record",
-        F.regexp_extract(xml, rf"({_leading('PMID')})", 1).alias("pmid_tag"),
-        F.regexp_extract(xml, _block("Journal"), 1).alias("journal"),
-        F.regexp_extract(xml, _block("PubDate"), 1).alias("pub_date"),
+        F.regexp_extract(if_any(xml, "PMID"), _leading("PMID"), 0).alias("pmid_tag"),
+        F.regexp_extract(if_any(xml, "Journal"), _block("Journal"), 1).alias("journal"),
+        F.regexp_extract(if_any(xml, "PubDate"), _block("PubDate"), 1).alias("pub_date"),
         F.transform(elements(xml, "Author"), author_name).alias("author_names"),
     )
     pub_date, journal = F.col("pub_date"), F.col("journal")

@@ -66,11 +66,15 @@ def _file_name(number):
     return F.concat(F.lit("med24n"), F.lpad(digits, F.greatest(F.length(digits), F.lit(4)), "0"), F.lit(".xml.gz"))
 
 
-def _published(spark, folder):
+def _published(spark, folder, only=None):
     """``file_name, place, text``: all documents in their files, second versions of the Spanish ones
-    with them; in the update files new German volumes, unreadable Spanish records and deletes of the French ones."""
+    with them; in the update files new German volumes, unreadable Spanish records and deletes of the French ones.
+
+    ``only`` names one file; just its documents are made records."""
     documents = I.table(spark, folder, "documents").select("doc_id", "lang", "source", "text", "n_chars")
     base = F.expr(f"2 * (doc_id div {PER_FILE}) + 1")
+    if only is not None:
+        documents = documents.filter(F.lit(only).isin(_file_name(base), _file_name(base + 1)))
     title, volume, lang = _escaped(I.title_of(F.col("text"))), F.col("n_chars").cast("string"), F.col("lang")
     rows = F.array(
         F.struct(base.alias("number"), _record(1, title, volume).alias("text")),
@@ -88,9 +92,13 @@ def _published(spark, folder):
     deletes = blocks.select("number", F.lit(2**62).alias("place"), block.alias("text"))
     ends = [(-1, "<?xml version='1.0'?>\n<PubmedArticleSet>\n"), (2**62 + 1, "</PubmedArticleSet>\n")]
     end = F.explode(F.array(*[F.struct(F.lit(p).cast("bigint").alias("place"), F.lit(t).alias("text")) for p, t in ends]))
-    frame = records.select("number").union(deletes.select("number")).distinct().select("number", end.alias("e")).select("number", "e.*")
+    # Every document is in its file; the update file has rows of these languages only. No text is made for this.
+    files = F.when(lang.isin("de", "es", "fr"), F.array(base, base + 1)).otherwise(F.array(base))
+    numbers = documents.select(F.explode(files).alias("number")).distinct()
+    frame = numbers.select("number", end.alias("e")).select("number", "e.*")
     whole = records.unionByName(deletes).unionByName(frame)
-    return whole.select(_file_name(F.col("number")).alias("file_name"), "place", "text")
+    named = whole.select(_file_name(F.col("number")).alias("file_name"), "place", "text")
+    return named if only is None else named.filter(F.col("file_name") == only)
 
 
 BASE = f"(2 * (doc_id // {PER_FILE}) + 1)"
@@ -116,10 +124,10 @@ def ingest_change_files(spark, folder):
 def ingest_change_stream(spark, folder):
     """The same files as a stream that stops twice: the first file comes late, after its own update."""
     path, work = _new_path(spark, "change-landing"), _new_path(spark, "change-stream")
-    published, late = _published(spark, folder), F.col("file_name") == "med24n0001.xml.gz"
-    for arrived in (~late, late, None):
+    late = "med24n0001.xml.gz"
+    for arrived in (_published(spark, folder).filter(F.col("file_name") != late), _published(spark, folder, late), None):
         if arrived is not None:
-            change_files.write_change_files(published.filter(arrived), path)
+            change_files.write_change_files(arrived, path)
         apply_change_stream(spark, path, f"{work}/store", f"{work}/checkpoint", quarantine=f"{work}/unreadable").awaitTermination()
     return ArticleStore(spark, f"{work}/store").articles().select(PUBLISHED_COLUMNS)
 

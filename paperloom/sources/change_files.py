@@ -6,6 +6,7 @@ holds one record at a time. One scan gives both the articles and the deletes.
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,9 +14,10 @@ from pyspark.sql import functions as F
 
 from paperloom.functions import xml
 from paperloom.schemas import ARTICLE_COLUMNS
-from paperloom.session import list_names
 
 FILE_GLOB = "*.xml.gz"
+# Compressed bytes of the files that one micro-batch takes unless a number of files is asked for.
+BATCH_BYTES = 512 << 20
 
 
 def list_change_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -32,13 +34,17 @@ def read_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return number_chunks(reader.text(folder).select("value", "_metadata.file_name"))
 
 
-def read_text_stream(spark: SparkSession, folder: str, files_per_batch: int = 16) -> DataFrame:
-    """``value, file_name`` of new files; ``number_chunks`` runs per micro-batch."""
-    reader = (
-        spark.readStream.option("lineSep", xml.RECORD_END)
-        .option("pathGlobFilter", FILE_GLOB)
-        .option("maxFilesPerTrigger", files_per_batch)
-    )
+def read_text_stream(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
+    """``value, file_name`` of new files; ``number_chunks`` runs per micro-batch.
+
+    A micro-batch has a cost of its own, so by default it takes files by their size:
+    many small ones, or a few large ones.
+    """
+    reader = spark.readStream.option("lineSep", xml.RECORD_END).option("pathGlobFilter", FILE_GLOB)
+    if files_per_batch is None:
+        reader = reader.option("maxBytesPerTrigger", str(BATCH_BYTES))
+    else:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.text(folder).select("value", "_metadata.file_name")
 
 
@@ -155,11 +161,19 @@ def write_change_files(rows: DataFrame, folder: str) -> None:
     spark = rows.sparkSession
     staging = f"{folder.rstrip('/')}-staging-{uuid.uuid4().hex}"
     ordered = rows.repartition("file_name").sortWithinPartitions("file_name", "place")
-    ordered.select("file_name", "text").write.option("compression", "gzip").partitionBy("file_name").text(staging)
+    writer = ordered.select("file_name", "text").write.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+    writer.partitionBy("file_name").text(staging)
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
     fs.mkdirs(path(folder))
-    for part in list_names(spark, staging):
-        if part.startswith("file_name="):
-            (written,) = list_names(spark, f"{staging}/{part}")
-            fs.rename(path(f"{staging}/{part}/{written}"), path(f"{folder}/{part.split('=', 1)[1]}"))
+    # One listing for all files, without the owners and rights that a recursive one would look up file by file.
+    literal = re.sub(r"([\\{}\[\]*?])", r"\\\1", staging)
+    written = {}
+    for status in fs.globStatus(path(f"{literal}/file_name=*/*")):
+        part = status.getPath()
+        name = part.getParent().getName()
+        if name in written:
+            raise ValueError(f"{name} was written in two parts")
+        written[name] = part
+    for name, part in written.items():
+        fs.rename(part, path(f"{folder}/{name.split('=', 1)[1]}"))

@@ -20,7 +20,7 @@ def apply_change_stream(
     folder: str,
     store_folder: str,
     checkpoint: str,
-    files_per_batch: int = 16,
+    files_per_batch: int | None = None,
     text_mode: str = "leading",
     first_delete_only: bool = False,
     quarantine: str | None = None,
@@ -28,7 +28,9 @@ def apply_change_stream(
     """Start a stream that appends new files to the store and then stops.
 
     A retried micro-batch overwrites its own batch. Late files are safe: the
-    store orders changes by file name, not by arrival. Unreadable records go
+    store orders changes by file name, not by arrival. A micro-batch takes
+    ``files_per_batch`` files, or as many as ``read_text_stream`` bounds by their
+    size. Unreadable records go
     to the ``quarantine`` folder, or fail the stream when none is given.
     """
     store = ArticleStore(spark, store_folder)

@@ -179,3 +179,14 @@ def test_stream_equals_batch(spark, folder, tmp_path, write_gz):
     run()
     assert state(store.articles()) == state(live_rows(cf.read_changes(spark, folder)))
     assert len(store.batches()) == 5
+
+
+def test_stream_takes_small_files_together(spark, tmp_path, write_gz):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    for i in range(20):
+        write_gz(f"{landing}/med24n{i + 10:04d}.xml.gz", c.citation_set(c.article(200 + i, title="more")))
+    store = ArticleStore(spark, str(tmp_path / "store"))
+    apply_change_stream(spark, str(landing), store.folder, str(tmp_path / "ckpt")).awaitTermination()
+    assert store.batches() == [1]
+    assert {r.pmid for r in store.articles().collect()} == set(range(200, 220))
