@@ -13,14 +13,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.functions.text import null_to_empty
-from paperloom.operators.keyword import tokens
-from paperloom.session import spread_small
+from paperloom.operators.keyword import tokens, word_slices
+from paperloom.session import release_memory, spread_small
 
 # Fixed value: prompt name used for query texts.
 QUERY_PROMPT = "query"
 MODEL_BATCH = 32
 # Hashes a task remembers before it starts over.
-MAX_KNOWN_WORDS = 1_000_000
+MAX_KNOWN_WORDS = 200_000
 
 
 class Embedder(Protocol):
@@ -93,6 +93,24 @@ def word_bucket(word: str, dim: int) -> int:
     return int.from_bytes(hashlib.md5(word.encode("utf-8")).digest()[:4], "big") % dim
 
 
+def _hashed_units(lists: pa.ListArray, dim: int, known: dict[str, int]) -> np.ndarray:
+    """Unit vector of every list of words; ``known`` remembers words from one call to the next."""
+    encoded = lists.flatten().dictionary_encode()
+    if len(known) > MAX_KNOWN_WORDS:
+        known.clear()
+    buckets = np.empty(len(encoded.dictionary), np.int64)
+    for i, word in enumerate(encoded.dictionary.to_pylist()):
+        bucket = known.get(word)
+        if bucket is None:
+            bucket = known[word] = word_bucket(word, dim)
+        buckets[i] = bucket
+    row = np.repeat(np.arange(len(lists)), np.diff(np.asarray(lists.offsets)))
+    cells = row * dim + buckets[np.asarray(encoded.indices)]
+    counts = np.bincount(cells, minlength=len(lists) * dim).reshape(len(lists), dim)
+    norms = np.sqrt((counts * counts).sum(axis=1))
+    return (counts / np.where(norms == 0, 1, norms)[:, None]).astype(np.float32)
+
+
 def hashed_embedding(
     df: DataFrame, key: str = "pmid", text: str = "text", dim: int = 64, carry: Sequence[str] = ()
 ) -> DataFrame:
@@ -108,23 +126,12 @@ def hashed_embedding(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, int] = {}
         for batch in batches:
-            lists = batch.column("_words")
-            encoded = lists.flatten().dictionary_encode()
-            if len(known) > MAX_KNOWN_WORDS:
-                known.clear()
-            buckets = np.empty(len(encoded.dictionary), np.int64)
-            for i, word in enumerate(encoded.dictionary.to_pylist()):
-                bucket = known.get(word)
-                if bucket is None:
-                    bucket = known[word] = word_bucket(word, dim)
-                buckets[i] = bucket
-            row = np.repeat(np.arange(len(lists)), np.diff(np.asarray(lists.offsets)))
-            cells = row * dim + buckets[np.asarray(encoded.indices)]
-            counts = np.bincount(cells, minlength=len(lists) * dim).reshape(len(lists), dim)
-            norms = np.sqrt((counts * counts).sum(axis=1))
-            unit = (counts / np.where(norms == 0, 1, norms)[:, None]).astype(np.float32)
-            columns = [batch.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays([*columns, vector_array(unit)], names=[*names, "embedding"])
+            for part in word_slices(batch, "_words"):
+                unit = _hashed_units(part.column("_words"), dim, known)
+                columns = [part.column(c) for c in names]
+                yield pa.RecordBatch.from_arrays([*columns, vector_array(unit)], names=[*names, "embedding"])
+            part = columns = batch = None  # a batch is not kept while the next one is read
+            release_memory()
 
     return source.mapInArrow(run, f"{types}, embedding array<float>")
 

@@ -24,7 +24,7 @@ from paperloom.operators.knn import (
     kth_distances,
     merge_nearest,
 )
-from paperloom.session import spread_small
+from paperloom.session import release_memory, spread_small
 
 # BM25 parameters.
 K1 = 1.2
@@ -33,6 +33,8 @@ SCORE_DECIMALS = 12
 BYTES_PER_TERM = 64
 # Scores of one step: bounds what a task adds up at a time.
 ADDED_CELLS = 250_000
+# Words of one step: an Arrow batch holds millions, of which arrays of numbers are made.
+STEP_WORDS = 500_000
 # Stands for the document itself among its words.
 DOCUMENT = ""
 
@@ -85,6 +87,17 @@ def term_blocks(terms: DataFrame, k: int) -> Iterator[TermBlock]:
             yield TermBlock(table)
 
 
+def word_slices(batch: pa.RecordBatch, column: str = "words") -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in order, in parts of at most ``STEP_WORDS`` words; a longer row is a part of its own."""
+    ends = np.asarray(batch.column(column).offsets)
+    start = 0
+    while start < batch.num_rows:
+        stop = int(np.searchsorted(ends, int(ends[start]) + STEP_WORDS, side="right")) - 1
+        stop = min(max(stop, start + 1), batch.num_rows)
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def _asked_pairs(lists: pa.ListArray, number_of: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs of a word that is asked for and a document that holds it, and how often it does."""
     encoded = lists.flatten().dictionary_encode()
@@ -108,10 +121,13 @@ def _frequencies(sized: DataFrame, block: TermBlock) -> tuple[dict[str, int], in
         number_of = {w: i for i, w in enumerate(words)}
         df, n_docs, total = np.zeros(len(words), np.int64), 0, 0
         for batch in batches:
-            word, _, _ = _asked_pairs(batch.column("words"), number_of)
-            df += np.bincount(word, minlength=len(words))
-            n_docs += batch.num_rows
-            total += int(np.asarray(batch.column("length")).sum())
+            for part in word_slices(batch):
+                word, _, _ = _asked_pairs(part.column("words"), number_of)
+                df += np.bincount(word, minlength=len(words))
+                n_docs += part.num_rows
+                total += int(np.asarray(part.column("length")).sum())
+            part = batch = None  # a batch is not kept while the next one is read
+            release_memory()
         found = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays(
             [
@@ -146,8 +162,7 @@ def _score_in_task(shared, k: int, bounds: np.ndarray):
         kept = NearestRows(n_queries, k, bounds)
         step = max(1, ADDED_CELLS // n_queries)
         for whole in batches:
-            for start in range(0, whole.num_rows, step):
-                batch = whole.slice(start, step)
+            for batch in (part.slice(at, step) for part in word_slices(whole) for at in range(0, part.num_rows, step)):
                 n_docs = batch.num_rows
                 word, document, tf = _asked_pairs(batch.column("words"), number_of)
                 relative_length = np.asarray(batch.column("length"))[document] / mean_length
@@ -160,6 +175,8 @@ def _score_in_task(shared, k: int, bounds: np.ndarray):
                     minlength=n_queries * n_docs,
                 ).reshape(n_queries, n_docs)
                 kept.add(everyone, np.asarray(batch.column("pmid")), -np.round(scores, SCORE_DECIMALS))
+            batch = whole = None
+            release_memory()
         yield kept.to_batch(block.query_ids)
 
     return run

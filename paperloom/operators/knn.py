@@ -25,7 +25,7 @@ DISTANCE_DECIMALS = 12
 # Bounds of one query block: its matrix, and the neighbours one task keeps.
 MAX_QUERY_BYTES = 64 << 20
 MAX_KEPT_ROWS = 1_000_000
-SCORE_CELLS = 4_000_000
+SCORE_CELLS = 1_000_000
 # Products of another block shape may fall on the other side of a rounding edge.
 BOUND_SLACK = 2 * 10.0**-DISTANCE_DECIMALS
 

@@ -30,8 +30,10 @@ from paperloom.operators.keyword import (
     build_index,
     query_terms,
     term_blocks,
+    word_slices,
 )
 from paperloom.operators.knn import NEIGHBOUR_SCHEMA, NearestRows, merge_nearest
+from paperloom.session import release_memory
 
 BUCKETS = 64
 # Documents whose scores one task adds up, and whose postings share a file of a bucket.
@@ -49,20 +51,27 @@ def bucket_of(term: Column, buckets: int = BUCKETS) -> Column:
 
 def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        lists = batch.column("words")
-        words = lists.flatten().unique().to_pylist()
-        word, document, tf = _asked_pairs(lists, {w: i for i, w in enumerate(words)})
-        length = np.diff(np.asarray(lists.offsets))
-        pmids = batch.column("pmid")
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.concat_arrays([pa.array(words, pa.string()).take(pa.array(word)), pa.nulls(len(lists), pa.string())]),
-                pa.concat_arrays([pmids.take(pa.array(document)), pmids]),
-                pa.array(np.concatenate([tf, length]), pa.int32()),
-                pa.array(np.concatenate([length[document], length]), pa.int32()),
-            ],
-            names=["term", "pmid", "tf", "length"],
-        )
+        for part in word_slices(batch):
+            yield _entries_of(part)
+        part = batch = None  # a batch is not kept while the next one is read
+        release_memory()
+
+
+def _entries_of(batch: pa.RecordBatch) -> pa.RecordBatch:
+    lists = batch.column("words")
+    words = lists.flatten().unique().to_pylist()
+    word, document, tf = _asked_pairs(lists, {w: i for i, w in enumerate(words)})
+    length = np.diff(np.asarray(lists.offsets))
+    pmids = batch.column("pmid")
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.concat_arrays([pa.array(words, pa.string()).take(pa.array(word)), pa.nulls(len(lists), pa.string())]),
+            pa.concat_arrays([pmids.take(pa.array(document)), pmids]),
+            pa.array(np.concatenate([tf, length]), pa.int32()),
+            pa.array(np.concatenate([length[document], length]), pa.int32()),
+        ],
+        names=["term", "pmid", "tf", "length"],
+    )
 
 
 def write_index(documents: DataFrame, folder: str, buckets: int = BUCKETS) -> None:
@@ -104,6 +113,7 @@ def _score(shared, k: int):
         pmids, document = np.unique(rows.column("pmid").to_numpy(), return_inverse=True)
         tf, length = rows.column("tf").to_numpy(), rows.column("length").to_numpy()
         weight = idf[word] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * (length / mean_length)))
+        del encoded, rows, tf, length
         order = np.lexsort((word, document))
         word, document, weight = word[order], document[order], weight[order]
         first_owner = np.cumsum(block.n_owners) - block.n_owners
@@ -118,6 +128,8 @@ def _score(shared, k: int):
             at = query * n + np.repeat(document[some] - start, owners)
             scores = np.bincount(at, weights=np.repeat(weight[some], owners), minlength=n_queries * n)
             kept.add(np.arange(n_queries), pmids[start : start + n], -np.round(scores.reshape(n_queries, n), SCORE_DECIMALS))
+        del word, document, weight, order
+        release_memory()
         return pa.Table.from_batches([kept.to_batch(block.query_ids)])
 
     return run

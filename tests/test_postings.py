@@ -2,6 +2,7 @@
 
 import glob
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,3 +55,15 @@ def test_only_buckets_of_asked_words_are_read(spark, documents, tmp_path):
 def test_empty_corpus(spark, queries, tmp_path):
     postings.write_index(spark.createDataFrame([], "pmid long, text string"), f"{tmp_path}/index")
     assert postings.search_index(spark, f"{tmp_path}/index", queries, 5).count() == 0
+
+
+def test_entries_come_in_steps_of_words():
+    texts = [["a", "b"] * 200_000, ["a"] * 200_000, [], ["c", "a"]]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4)), pa.array(texts)], names=["pmid", "words"])
+    parts = list(postings._entries(iter([batch])))
+    assert len(parts) == 2
+    found = {(r["term"], r["pmid"], r["tf"], r["length"]) for p in parts for r in p.to_pylist()}
+    assert found == {
+        ("a", 0, 200_000, 400_000), ("b", 0, 200_000, 400_000), ("a", 1, 200_000, 200_000), ("c", 3, 1, 2), ("a", 3, 1, 2),
+        (None, 0, 400_000, 400_000), (None, 1, 200_000, 200_000), (None, 2, 0, 0), (None, 3, 2, 2),
+    }

@@ -226,3 +226,9 @@ def test_cache_split(spark):
     assert [r.query_id for r in misses.collect()] == [3]
     rows = [(r.query_id, r.pmid, r["rank"]) for r in run_from_lists(hits).collect()]
     assert sorted(rows) == [(1, 4, 1), (1, 5, 0)]
+
+
+def test_query_chunks_bound_a_score_matrix():
+    chunks = list(knn.query_chunks(1000, 10_000))
+    assert np.concatenate(chunks).tolist() == list(range(1000))
+    assert max(len(c) for c in chunks) * 10_000 * 8 <= 8_000_000

@@ -1,6 +1,8 @@
 import hashlib
 import sys
 
+import pyarrow as pa
+from paperloom.operators import keyword
 import numpy as np
 import pytest
 from pyspark import cloudpickle
@@ -213,3 +215,13 @@ def test_copy_in_chunks_goes_on_where_it_stopped(spark, tmp_path):
     assert [tuple(r) for r in tables.copy_in_chunks(changed, folder, "pmid", 10).collect()] == want
     assert [r.pmid for r in tables.read_chunks(spark, folder).filter("title = 'new'").collect()] == [10]
     assert tables.copy_in_chunks(source.limit(0), str(tmp_path / "none"), "pmid", 10).count() == 0
+
+
+def test_hashed_embedding_takes_words_in_steps():
+    texts = [["a", "b"] * 150_000, [], ["c"] * 600_000, ["a", "c"], ["b"] * 400_000]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array([["z"], *texts])], names=["pmid", "_words"]).slice(1)
+    parts = list(keyword.word_slices(batch, "_words"))
+    assert [p.column("pmid").to_pylist() for p in parts] == [[1, 2], [3], [4, 5]]
+    whole = E._hashed_units(batch.column("_words"), 16, {})
+    assert np.array_equal(whole, np.concatenate([E._hashed_units(p.column("_words"), 16, {}) for p in parts]))
+    assert list(keyword.word_slices(batch.slice(0, 0), "_words")) == []
