@@ -8,6 +8,7 @@ becomes rows of document and query pairs.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 
@@ -24,7 +25,7 @@ from paperloom.operators.knn import (
     kth_distances,
     merge_nearest,
 )
-from paperloom.session import release_memory, spread_small
+from paperloom.session import release_memory, shared_dir, spread_small
 
 # BM25 parameters.
 K1 = 1.2
@@ -35,8 +36,7 @@ BYTES_PER_TERM = 64
 ADDED_CELLS = 250_000
 # Words of one step: an Arrow batch holds millions, of which arrays of numbers are made.
 STEP_WORDS = 500_000
-# Stands for the document itself among its words.
-DOCUMENT = ""
+ASKED = "pmid bigint, length bigint, words array<int>, tf array<int>"
 
 
 def tokens(text: Column) -> Column:
@@ -109,41 +109,41 @@ def _asked_pairs(lists: pa.ListArray, number_of: dict[str, int]) -> tuple[np.nda
     return pairs // max(1, len(lists)), pairs % max(1, len(lists)), tf
 
 
-def _frequencies(sized: DataFrame, block: TermBlock) -> tuple[dict[str, int], int, float]:
-    """Documents per word of the block, number of documents, their mean length.
+def _asked_rows(sized: DataFrame, block: TermBlock) -> DataFrame:
+    """``pmid, length, words, tf`` of every document: numbers of the block's words in it, and how often it has them.
 
-    Counted where the documents are read; a task sends one row per word that it found.
+    Stored, so that documents are read and cut into words once for the counts and the scores.
     """
-    shared = sized.sparkSession.sparkContext.broadcast(block.words)
+    spark = sized.sparkSession
+    shared = spark.sparkContext.broadcast(block.words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = shared.value
-        number_of = {w: i for i, w in enumerate(words)}
-        df, n_docs, total = np.zeros(len(words), np.int64), 0, 0
+        number_of = {w: i for i, w in enumerate(shared.value)}
         for batch in batches:
             for part in word_slices(batch):
-                word, _, _ = _asked_pairs(part.column("words"), number_of)
-                df += np.bincount(word, minlength=len(words))
-                n_docs += part.num_rows
-                total += int(np.asarray(part.column("length")).sum())
+                word, document, tf = _asked_pairs(part.column("words"), number_of)
+                order = np.argsort(document, kind="stable")
+                ends = np.cumsum(np.bincount(document, minlength=part.num_rows))
+                offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
+                lists = [pa.ListArray.from_arrays(offsets, pa.array(x[order], pa.int32())) for x in (word, tf)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("pmid"), part.column("length"), *lists], names=["pmid", "length", "words", "tf"]
+                )
             part = batch = None  # a batch is not kept while the next one is read
             release_memory()
-        found = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([DOCUMENT, *[words[i] for i in found]]),
-                pa.array([n_docs, *df[found].tolist()]),
-                pa.array([total, *[0] * len(found)]),
-            ],
-            names=["term", "df", "words"],
-        )
-
-    parts = sized.mapInArrow(run, "term string, df bigint, words bigint")
-    counted = parts.groupBy("term").agg(F.sum("df").alias("df"), F.sum("words").alias("words")).toArrow()
-    df = dict(zip(counted["term"].to_pylist(), counted["df"].to_pylist()))
-    total = dict(zip(counted["term"].to_pylist(), counted["words"].to_pylist()))
-    n_docs = df.pop(DOCUMENT, 0)
-    return df, n_docs, (total.get(DOCUMENT, 0) / n_docs if n_docs else 0.0)
+
+    path = f"{shared_dir(spark).rstrip('/')}/keyword-asked-{uuid.uuid4().hex}"
+    sized.mapInArrow(run, ASKED).write.parquet(path)
+    return spark.read.schema(ASKED).parquet(path)
+
+
+def _frequencies(asked: DataFrame, n_words: int) -> tuple[np.ndarray, int, float]:
+    """Documents per word of the block, number of documents, their mean length."""
+    frequency = np.zeros(n_words, np.int64)
+    counted = asked.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("df")).toArrow()
+    frequency[np.asarray(counted["word"])] = np.asarray(counted["df"])
+    n_docs, total = asked.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
+    return frequency, n_docs, (total / n_docs if n_docs else 0.0)
 
 
 def _repeat_ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -157,14 +157,15 @@ def _score_in_task(shared, k: int, bounds: np.ndarray):
         block, idf, mean_length = shared.value
         n_queries = len(block.query_ids)
         everyone = np.arange(n_queries)
-        number_of = {w: i for i, w in enumerate(block.words)}
         first_owner = np.cumsum(block.n_owners) - block.n_owners
         kept = NearestRows(n_queries, k, bounds)
         step = max(1, ADDED_CELLS // n_queries)
         for whole in batches:
-            for batch in (part.slice(at, step) for part in word_slices(whole) for at in range(0, part.num_rows, step)):
+            for start in range(0, whole.num_rows, step):
+                batch = whole.slice(start, step)
                 n_docs = batch.num_rows
-                word, document, tf = _asked_pairs(batch.column("words"), number_of)
+                word, tf = (np.asarray(batch.column(c).flatten()) for c in ("words", "tf"))
+                document = np.repeat(np.arange(n_docs), np.diff(np.asarray(batch.column("words").offsets)))
                 relative_length = np.asarray(batch.column("length"))[document] / mean_length
                 weight = idf[word] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * relative_length))
                 owners = block.n_owners[word]
@@ -194,16 +195,16 @@ def search_index(
     sized = index.select("pmid", F.size("words").cast("bigint").alias("length"), "words")
     passes = []
     for block in term_blocks(query_terms(queries), k):
-        df, n_docs, mean_length = _frequencies(sized, block)
-        frequency = np.array([df.get(w, 0) for w in block.words])
+        asked = _asked_rows(sized, block)
+        frequency, n_docs, mean_length = _frequencies(asked, len(block.words))
         idf = np.log(1 + (n_docs - frequency + 0.5) / (frequency + 0.5))
         shared = context.broadcast((block, idf, mean_length))
         # Only documents with a positive score count as found.
         bounds = np.full(len(block.query_ids), np.nextafter(0.0, -1.0))
         if prune_fraction:
-            sample = sized.sample(prune_fraction, seed=7).mapInArrow(_score_in_task(shared, k, bounds), NEIGHBOUR_SCHEMA)
+            sample = asked.sample(prune_fraction, seed=7).mapInArrow(_score_in_task(shared, k, bounds), NEIGHBOUR_SCHEMA)
             bounds = np.minimum(bounds, kth_distances(sample, block.query_ids, k))
-        passes.append(sized.mapInArrow(_score_in_task(shared, k, bounds), NEIGHBOUR_SCHEMA))
+        passes.append(asked.mapInArrow(_score_in_task(shared, k, bounds), NEIGHBOUR_SCHEMA))
     if not passes:
         passes = [index.sparkSession.createDataFrame([], NEIGHBOUR_SCHEMA)]
     ranked = merge_nearest(reduce(DataFrame.union, passes), k)

@@ -67,3 +67,18 @@ def test_entries_come_in_steps_of_words():
         ("a", 0, 200_000, 400_000), ("b", 0, 200_000, 400_000), ("a", 1, 200_000, 200_000), ("c", 3, 1, 2), ("a", 3, 1, 2),
         (None, 0, 400_000, 400_000), (None, 1, 200_000, 200_000), (None, 2, 0, 0), (None, 3, 2, 2),
     }
+
+
+def test_scan_cuts_documents_into_words_once(spark, tmp_path):
+    """Counts and scores come from one reading of the documents."""
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    documents = spark.createDataFrame([(i, "a " * (i + 1) + "b") for i in range(30)], "pmid long, text string")
+    counted = keyword.build_index(documents).mapInArrow(seen, "pmid bigint, words array<string>")
+    found = keyword.search_index(counted, spark.createDataFrame([(1, "a"), (2, "c b")], "query_id long, query string"), 3).collect()
+    assert len(found) == 6 and read.value == 30
