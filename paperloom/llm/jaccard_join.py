@@ -113,16 +113,23 @@ def sets_with_prefix(bodies: DataFrame, frequent: tuple[np.ndarray, np.ndarray],
 
 
 def _list_pairs(ids, sizes, places, percent: int):
-    """Pairs of one list that size and position leave possible; the list is in order of size, so runs are skipped at once."""
+    """``a, b, need``: pairs of one list that size and position leave possible, and how often they must meet.
+
+    The list is in order of size, so runs are skipped at once. Below the end of the shorter
+    prefix every common shingle is counted, so the intersection is at most the count and
+    what lies behind a prefix.
+    """
     order = np.argsort(sizes, kind="stable")
     ids, sizes, places = ids[order], sizes[order], places[order]
     ends = np.searchsorted(sizes, sizes * 100 // percent, side="right")
     for k in range(len(ids)):
         others = slice(k + 1, ends[k])
         rest = np.minimum(sizes[k] - places[k], sizes[others] - places[others]) + np.minimum(places[k], places[others])
-        ok = rest >= needed(sizes[k], sizes[others], percent)
-        for other in ids[others][ok]:
-            yield (ids[k], other) if ids[k] < other else (other, ids[k])
+        least = needed(sizes[k], sizes[others], percent)
+        ok = rest >= least
+        behind = -(-percent * sizes[others][ok] // 100) - 1
+        for other, need in zip(ids[others][ok], least[ok] - behind):
+            yield (ids[k], other, need) if ids[k] < other else (other, ids[k], need)
 
 
 def candidates(representatives: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -131,15 +138,15 @@ def candidates(representatives: DataFrame, percent: int = PERCENT) -> DataFrame:
     entries = entries.select("shingle", "rep", (F.shiftleft("n", _PLACE) + F.col("place")).alias("at"))
 
     def met(batches):
-        """Runs of equal shingles; a run goes on over batches. ``hot`` rows tie a set of a long list to the first one."""
+        """Runs of equal shingles; a run goes on over batches. A set of a long list is tied to its least one, which needs no count."""
         open_, ids, at, first = None, [], [], None
-        out = {"a": [], "b": [], "hot": []}
+        out = {"a": [], "b": [], "need": []}
 
         def close():
             if len(ids) > 1 and first is None:
                 place = np.array(at)
-                for a, b in _list_pairs(np.array(ids), place >> _PLACE, place & ((1 << _PLACE) - 1), percent):
-                    out["a"].append(a), out["b"].append(b), out["hot"].append(False)
+                for a, b, need in _list_pairs(np.array(ids), place >> _PLACE, place & ((1 << _PLACE) - 1), percent):
+                    out["a"].append(a), out["b"].append(b), out["need"].append(need)
 
         for batch in batches:
             shingles, reps, places = (batch.column(i).to_numpy() for i in range(3))
@@ -156,28 +163,22 @@ def candidates(representatives: DataFrame, percent: int = PERCENT) -> DataFrame:
                     new = [x for x in new if x != first]
                     out["a"] += [min(x, first) for x in new]
                     out["b"] += [max(x, first) for x in new]
-                    out["hot"] += [True] * len(new)
+                    out["need"] += [0] * len(new)
                 else:
                     ids += new
                     at += places[start:end].tolist()
                 if len(out["a"]) > 50_000:
                     yield pa.RecordBatch.from_pydict(out, schema)
-                    out = {"a": [], "b": [], "hot": []}
+                    out = {"a": [], "b": [], "need": []}
         close()
         yield pa.RecordBatch.from_pydict(out, schema)
 
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("hot", pa.bool_())])
-    lists = entries.repartition("shingle").sortWithinPartitions("shingle")
-    rows = lists.mapInArrow(released(met), "a long, b long, hot boolean")
-    met_often = rows.groupBy("a", "b").agg(F.count("*").alias("common"), F.max("hot").alias("hot"))
-    met_often = stored(met_often, "jaccard-met")
-    n_of = representatives.select("rep", "n")
-    sized = met_often.filter("not hot").join(n_of.toDF("a", "n"), "a").join(n_of.toDF("b", "m"), "b")
-    # Below the end of the shorter prefix every common shingle has been counted, so the
-    # intersection is at most the count and what lies behind a prefix.
-    behind = F.greatest(*[F.ceil(F.col(c) * percent / 100) - 1 for c in ("n", "m")])
-    enough = F.col("common") + behind >= F.ceil((F.col("n") + F.col("m")) * percent / (100 + percent) - 1e-9)
-    return met_often.filter("hot").select("a", "b").union(sized.filter(enough).select("a", "b"))
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("need", pa.int32())])
+    # In order of ids, the many lists of one group have the same few least sets.
+    lists = entries.repartition("shingle").sortWithinPartitions("shingle", "rep")
+    rows = lists.mapInArrow(released(met), "a long, b long, need int")
+    met_often = rows.groupBy("a", "b").agg(F.count("*").alias("common"), F.min("need").alias("need"))
+    return met_often.filter("common >= need").select("a", "b")
 
 
 def answers(ids: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT):

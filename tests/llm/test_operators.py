@@ -10,6 +10,7 @@ import pytest
 import sentencepiece
 
 from paperloom.llm import (
+    components,
     embedding_dedup,
     jaccard_join,
     line_dedup,
@@ -21,6 +22,7 @@ from paperloom.llm import (
     toxicity,
     url_filter,
 )
+from paperloom.llm.common import stored
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, size string"
 
@@ -317,3 +319,36 @@ def test_links_count_rows(spark):
     assert Counter((r.doc_id, r.component_id, r.n_links) for r in got) == Counter(
         [(1, 1, 3), (1, 1, 3), (2, 1, 3), (3, 1, 3), (4, 4, 1), (6, 4, 1), (None, None, 0), (5, 5, 0)]
     )
+
+
+def test_components_join_a_link_once(spark, monkeypatch):
+    """Links of a dense group are not carried through every round; a long path, links to itself and lone pairs are right."""
+    written = {}
+
+    def counted(df, name):
+        table = stored(df, name)
+        written.setdefault(name, []).append(table.count())
+        return table
+
+    monkeypatch.setattr(components, "stored", counted)
+    rng = random.Random(3)
+    group, path = rng.sample(range(100, 200), 40), rng.sample(range(200, 300), 60)
+    links = [(a, b) for a in group for b in group if a != b] + [*zip(path, path[1:]), (7, 7), (9, 8), (None, 5)]
+    found = components.components(spark.createDataFrame(links, "a long, b long"), "dense")
+    want = {x: min(own) for own in (group, path, [7], [8, 9]) for x in own}
+    assert {r.id: r.component_id for r in found.collect()} == want and found.count() == len(want)
+    first, *others = written["dense-links"]
+    assert first == 40 * 39 // 2 + 59 + 2 and sum(others) < 60
+
+
+def test_edges_of_a_group_grow_with_its_sets(spark, monkeypatch):
+    """A group whose lists are long is tied by few edges a set, and no pair is joined to find the sizes of its sets."""
+    monkeypatch.setattr(jaccard_join, "LIST_ROWS", 4)
+    rng = random.Random(5)
+    prefixes = [sorted(rng.sample(range(60), 54)) for _ in range(120)]
+    reps = spark.createDataFrame([(i, 250, own) for i, own in enumerate(prefixes)], "rep long, n long, prefix array<long>")
+    edges = jaccard_join.candidates(reps.repartition(5))
+    assert "Join" not in edges._jdf.queryExecution().toString()
+    pairs = [(r.a, r.b) for r in edges.collect()]
+    assert len(set(pairs)) == len(pairs) < 4 * 120
+    assert {x for p in pairs for x in p} == set(range(120))
