@@ -24,13 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import pre_tokenizers
 
-from paperloom.llm.common import int_lists
+from paperloom.llm.common import int_lists, keep_recent
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 # How texts are split into words before any merge. Characters that the vocabulary's own
 # splitter sees differently (rare digits, new letters) are found by trial, and it splits their texts.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"""
-# Words remembered per worker, and the longest of them; a full memory is emptied.
+# Words remembered per worker, and the longest of them; a full memory keeps the last batch's.
 REMEMBERED = 300_000
 LONGEST_REMEMBERED = 64
 ROWS_AT_ONCE = 256
@@ -235,16 +235,32 @@ class Codec:
             parts = self._marks.split(text) if special and self._marks else [text]
             words = [self._words(p) if k % 2 == 0 else p for k, p in enumerate(parts)]
             split.append(words)
-        fresh = list(set().union(*[own for words in split for own in words[::2]]).difference(known))
+        recent = set().union(*[own for words in split for own in words[::2]])
+        fresh = list(recent.difference(known))
         self._learn(fresh)
         mark = {t: np.array([i], np.int32).tobytes() for t, i in self.special.items()}
         out = [b"".join([mark[p] if k % 2 else b"".join(map(known.__getitem__, p)) for k, p in enumerate(words)]) for words in split]
-        if len(known) > REMEMBERED:
-            known.clear()
-        else:
-            for w in fresh:
-                if len(w) > LONGEST_REMEMBERED:
-                    del known[w]
+        for w in fresh:
+            if len(w) > LONGEST_REMEMBERED:
+                del known[w]
+        keep_recent(known, recent, REMEMBERED, LONGEST_REMEMBERED)
+        return out
+
+    def split(self, text: str) -> tuple[list[str], bool]:
+        """Words of a text, and whether they are those of ``PATTERN``; special strings are plain text."""
+        if self._known is None:
+            self._build()
+        return self._words(text), not self._odd or self._odd.isdisjoint(text)
+
+    def encode_words(self, split: list[list[str]], recent: set[str]) -> list[bytes]:
+        """Token ids of each list of words of :meth:`split`; ``recent`` are the different ones of them."""
+        known, fresh = self._known, list(recent.difference(self._known))
+        self._learn(fresh)
+        out = [b"".join(map(known.__getitem__, words)) for words in split]
+        for w in fresh:
+            if len(w) > LONGEST_REMEMBERED:
+                del known[w]
+        keep_recent(known, recent, REMEMBERED, LONGEST_REMEMBERED)
         return out
 
     def decode(self, ids) -> str:

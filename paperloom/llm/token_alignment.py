@@ -15,7 +15,7 @@ other pairs are joined, and none of those pairs can be frequent.
 from __future__ import annotations
 
 import re
-from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,13 +25,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
 from paperloom.llm.byte_bpe import LONGEST_REMEMBERED, Codec
-from paperloom.llm.common import stored
+from paperloom.llm.common import keep_recent, stored
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE_MARK = "▁"
 ROWS_AT_ONCE = 512
-# Words remembered per worker; a full memory is emptied.
+# Words remembered per worker; a full memory keeps the last batch's.
 REMEMBERED = 200_000
+# Runs of one kind of characters, and the endings that the first side's words split off inside a run of letters.
+RUN = re.compile(r" ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+")
+ENDING = re.compile(r"'(?:s|t|re|ve|m|ll|d)(?=[^\W\d_])")
+# Pieces that cross their borders and are looked for in every text; with more of them no text is encoded by such words.
+CROSSING = 50
 # Links of one group up to which they are made one by one; above, each pair of ids once.
 LINKS_ONE_BY_ONE = 4096
 # Entries of the pair counts that travel to every worker: 17 bytes each.
@@ -64,7 +69,14 @@ class PieceEncoder:
         # If a space only ever starts a piece, a text can be encoded from word to word.
         self._by_word = not any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in pieces)
         self._runs = re.compile(" *[^ ]+| +")
-        self._known: dict[str, bytes] = {"": np.array([self._processor.piece_to_id(SPACE_MARK)], np.int32).tobytes()}
+        # No merge crosses the borders of the first side's words in a text without a piece of several kinds of characters.
+        spelled = [p.replace(SPACE_MARK, " ") for i, p in enumerate(pieces) if not self._processor.is_byte(i) and not self._processor.is_control(i) and not self._processor.is_unknown(i)]
+        inside = [c for c in set().union(*spelled) if c.isspace() and c != " "]
+        self._crossing = inside + [p.lstrip(" ") for p in spelled if len(RUN.findall(p)) > 1 and not any(c in p for c in inside)]
+        self._by_run = self._by_word and "\n" not in inside and len(self._processor.encode("\n")) == 2 and len(self._crossing) <= CROSSING
+        self._of_run: dict[str, bytes] = {}
+        self._space = {"": np.array([self._processor.piece_to_id(SPACE_MARK)], np.int32).tobytes()}
+        self._known: dict[str, bytes] = dict(self._space)
 
     def _words(self, text: str) -> list[str]:
         """Parts of a text that are encoded by themselves, without the space before each."""
@@ -74,21 +86,45 @@ class PieceEncoder:
             return [w[1:] for w in self._runs.findall(" " + text)]
         return text.split(" ")
 
+    def by_run(self, text: str) -> bool:
+        """Whether a text can be encoded by the words of ``byte_bpe.PATTERN``, as no piece crosses their borders in it."""
+        if not self._by_run or not text or text[0] == " " or "  " in text or SPACE_MARK in text or any(p in text for p in self._crossing):
+            return False
+        return "'" not in text or not ENDING.search(text)
+
+    def encode_words(self, split: list[list[str]], recent: set[str]) -> list[bytes]:
+        """Ids of each list of such words, of which ``recent`` are the different ones."""
+        known, fresh = self._of_run, list(recent.difference(self._of_run))
+        # The model puts a space before each; a word without one is kept from it by a line feed, which merges with nothing.
+        ids = self._processor.encode([w[1:] if w[0] == " " else "\n" + w for w in fresh], num_threads=1)
+        ends = (4 * np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))).tolist()
+        flat = np.fromiter(chain.from_iterable(ids), np.int32, ends[-1] // 4 if ends else 0).tobytes()
+        known.update((w, flat[start if w[0] == " " else start + 8 : end]) for w, start, end in zip(fresh, [0, *ends], ends))
+        known[" "] = self._space[""]
+        out = [b"".join(map(known.__getitem__, words)) for words in split]
+        for w in fresh:
+            if len(w) > LONGEST_REMEMBERED:
+                del known[w]
+        keep_recent(known, recent, REMEMBERED, LONGEST_REMEMBERED)
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, before which the model puts a space, as the bytes of 32-bit integers."""
         if self._processor is None:
             self._build()
         known, split = self._known, [self._words(t) if t else [] for t in texts]
-        fresh = list(set().union(*split).difference(known))
-        for word, ids in zip(fresh, self._processor.encode(fresh, num_threads=1)):
-            known[word] = array("i", ids).tobytes()
+        recent = set().union(*split)
+        fresh = list(recent.difference(known))
+        ids = self._processor.encode(fresh, num_threads=1)
+        ends = (4 * np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))).tolist()
+        flat = np.fromiter(chain.from_iterable(ids), np.int32, ends[-1] // 4 if ends else 0).tobytes()
+        known.update(zip(fresh, [flat[start:end] for start, end in zip([0, *ends], ends)]))
         out = [b"".join(map(known.__getitem__, words)) for words in split]
-        if len(known) > REMEMBERED:
-            self._known = {"": known[""]}
-        else:
-            for w in fresh:
-                if len(w) > LONGEST_REMEMBERED:
-                    del known[w]
+        for w in fresh:
+            if len(w) > LONGEST_REMEMBERED:
+                del known[w]
+        keep_recent(known, recent, REMEMBERED, LONGEST_REMEMBERED)
+        known.update(self._space)
         return out
 
 
@@ -99,8 +135,11 @@ def groups_between_cuts(ends_a: np.ndarray, ends_b: np.ndarray, lo_a, hi_a, lo_b
     ends are sought among all of the other side's. A stretch of the first side has one of the
     other by its ends, so only the first side's are divided.
     """
-    sought = np.searchsorted(ends_b, ends_a)
-    found_in_b = ends_b[np.minimum(sought, len(ends_b) - 1)] == ends_a if len(ends_b) else np.zeros(len(ends_a), bool)
+    # Places of the other side's ends by offset; they are looked up instead of sought.
+    place_of = np.full(max([0, *ends_a[-1:], *ends_b[-1:]]) + 1, -1, np.int32)
+    place_of[ends_b] = np.arange(len(ends_b), dtype=np.int32)
+    sought = place_of[ends_a]
+    found_in_b = sought >= 0
     # Places of the shared ends, and how many of them lie before each place.
     shared = np.append(np.flatnonzero(found_in_b), [len(ends_a)] * 2).astype(np.int32)
     before = np.concatenate([[0], np.cumsum(found_in_b)]).astype(np.int32)
@@ -129,9 +168,22 @@ def groups_between_cuts(ends_a: np.ndarray, ends_b: np.ndarray, lo_a, hi_a, lo_b
     return np.array([starts, to_a, from_b, to_b], np.int64).T
 
 
-def _gives_back(rows: list[bytes], tokens: list[bytes], texts: list[bytes]) -> np.ndarray:
-    """Whether the tokens of each row are its text, byte by byte."""
-    sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
+def _encoded(first: Codec, second: PieceEncoder, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
+    """Ids of both sides, by the words of the first where those are whole for the second too."""
+    split, alike = zip(*[first.split(" " + t) for t in texts])
+    together = [k for k, t in enumerate(texts) if alike[k] and second.by_run(t)]
+    recent = set().union(*[split[k] for k in together])
+    rows_b = [b""] * len(texts)
+    for k, ids in zip(together, second.encode_words([split[k] for k in together], recent)):
+        rows_b[k] = ids
+    others = sorted(set(range(len(texts))).difference(together))
+    for k, ids in zip(others, second.encode([texts[k] for k in others])):
+        rows_b[k] = ids
+    return first.encode_words(split, recent.union(*[split[k] for k in others])), rows_b
+
+
+def _gives_back(rows: list[bytes], alphabet: np.ndarray, sizes: np.ndarray, texts: list[bytes]) -> np.ndarray:
+    """Whether the tokens of each row are its text, byte by byte; all tokens one after the other are the ``alphabet``."""
     ids = np.frombuffer(b"".join(rows), np.int32)
     to_row = np.cumsum([0] + [len(own) // 4 for own in rows])
     to_byte = np.concatenate([[0], np.cumsum(sizes[ids])])
@@ -139,7 +191,6 @@ def _gives_back(rows: list[bytes], tokens: list[bytes], texts: list[bytes]) -> n
     same = n == want
     some = np.repeat(same, np.diff(to_row))
     ids, sizes, starts = ids[some], sizes[ids[some]], (np.cumsum(sizes) - sizes)[ids[some]]
-    alphabet = np.frombuffer(b"".join(tokens), np.uint8)
     spelled = alphabet[np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())]
     given = np.frombuffer(b"".join(t for t, ok in zip(texts, same) if ok), np.uint8)
     wrong = np.flatnonzero(spelled != given)
@@ -188,22 +239,21 @@ def aligned(
     gives an empty one; other columns are not looked at. Special strings are plain text.
     """
 
-    def columns(ids, texts):
-        rows_a, rows_b = first.encode([" " + t for t in texts], special=False), second.encode(texts)
+    def columns(ids, texts, sizes_a, sizes_b, alphabet):
+        rows_a, rows_b = _encoded(first, second, texts)
         whole = [b" " + t.encode() for t in texts]
-        same = _gives_back(rows_b, second.tokens, whole)  # the first side's bytes are the text's, as a byte-level encoding
+        same = _gives_back(rows_b, alphabet, sizes_b, whole)  # the first side's bytes are the text's, as a byte-level encoding
         for k, t in enumerate(texts):
             if not t or not same[k]:
                 rows_a[k] = rows_b[k] = b""
         a, b = (np.frombuffer(b"".join(rows), np.int32) for rows in (rows_a, rows_b))
         to_a, to_b = (np.cumsum([0] + [len(own) // 4 for own in rows]) for rows in (rows_a, rows_b))
-        sizes_a, sizes_b = (np.array([len(t) for t in x.tokens]) for x in (first, second))
         some = np.flatnonzero(to_a[1:] > to_a[:-1])
         groups = groups_between_cuts(
             np.cumsum(sizes_a[a]), np.cumsum(sizes_b[b]), to_a[some], to_a[some + 1], to_b[some], to_b[some + 1]
         )
-        doc = np.searchsorted(to_a, groups[:, 0], side="right") - 1
-        n_groups = np.bincount(doc, minlength=len(texts))
+        n_groups = np.diff(np.searchsorted(groups[:, 0], to_a))
+        doc = np.repeat(np.arange(len(texts)), n_groups)
         per_group = (groups[:, 1] - groups[:, 0]) * (groups[:, 3] - groups[:, 2])
         so_far, to_group = np.concatenate([[0], np.cumsum(per_group)]), np.concatenate([[0], np.cumsum(n_groups)])
         # Every token as its entry of a list of strings with the mark that follows it.
@@ -224,10 +274,12 @@ def aligned(
 
     def run(batches):
         first.encode([]), second.encode([])  # builds their tables
+        sizes = [np.array([len(t) for t in x.tokens], np.int64) for x in (first, second)]
+        alphabet = np.frombuffer(b"".join(second.tokens), np.uint8)
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(start, ROWS_AT_ONCE)
-                yield pa.RecordBatch.from_arrays(columns(part.column(0), part.column(1).to_pylist()), names)
+                yield pa.RecordBatch.from_arrays(columns(part.column(0), part.column(1).to_pylist(), *sizes, alphabet), names)
 
     names = [c.split()[0] for c in ALIGNED.split(", ")]
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("body"))

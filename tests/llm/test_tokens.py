@@ -138,3 +138,48 @@ def test_empty_tables(spark):
     codec, second = byte_bpe.Codec.load(), token_alignment.PieceEncoder.load()
     assert byte_bpe.encoded(none, codec).count() == 0
     assert token_alignment.scored(token_alignment.aligned(none, codec, second), second.size()).count() == 0
+
+
+def test_full_memory_keeps_the_last_batch(monkeypatch):
+    """Words of the last batch are not learnt again when a memory is full; ids are the same as without a memory."""
+    codec, second = byte_bpe.Codec.load(), token_alignment.PieceEncoder.load()
+    texts = [" ".join(f"word{k}" for k in range(start, start + 12)) for start in range(0, 60, 6)] + ["x" * 70]
+    want = [(codec.encode([t]), second.encode([t])) for t in texts]
+    for module in (byte_bpe, token_alignment):
+        monkeypatch.setattr(module, "REMEMBERED", 40)
+    codec, second = byte_bpe.Codec.load(), token_alignment.PieceEncoder.load()
+    for t, (a, b) in zip(texts, want):
+        assert codec.encode([t]) == a and second.encode([t]) == b
+        assert len(codec._known) <= 40 and len(second._known) <= 41
+        assert set(second._known) >= {"", *(w for w in t.split() if len(w) < 64)}
+    # More words than half the memory: it is emptied.
+    codec.encode([" ".join(f"w{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(100))])
+    assert not codec._known
+
+
+def test_groups_by_looked_up_ends():
+    """Cuts of two sides that end at different offsets, and sides without tokens."""
+    ends_a, ends_b = np.array([2, 3, 5, 9, 11]), np.array([1, 3, 4, 5, 9, 10, 11])
+    got = token_alignment.groups_between_cuts(ends_a, ends_b, np.array([0, 3]), np.array([3, 5]), np.array([0, 4]), np.array([4, 7]))
+    assert got.tolist() == [[0, 2, 0, 2], [2, 3, 2, 4], [3, 4, 4, 5], [4, 5, 5, 7]]
+    none = np.zeros(0, np.int64)
+    assert token_alignment.groups_between_cuts(none, none, none, none, none, none).shape == (0, 4)
+
+
+def test_both_sides_are_encoded_by_the_same_words():
+    """Borders that a piece or a run of spaces crosses are left to whole texts; words beside marks are learnt once."""
+    codec, second = byte_bpe.Codec.load(), token_alignment.PieceEncoder.load()
+    texts = ["house. house, house\nhouse (house)", "don'tfoo it's 'sfoo ..'s", "x²", "².", "a². b", "  two", "two  spaces", "end ", "\n\n\nx \n \ny", ");\r\n }\r x", "a▁b", "", " ", "日本 x9y_z"]
+    rng = random.Random(8)
+    texts += ["".join(rng.choice("ab'st  .²\n\t\r\x85;}(09_é") for _ in range(rng.randint(1, 30))) for _ in range(3000)]
+    pieces = sentencepiece.SentencePieceProcessor(model_file=token_alignment.MODEL)
+    second.encode([])
+    a, b = token_alignment._encoded(codec, second, texts)
+    assert [np.frombuffer(x, np.int32).tolist() for x in b] == pieces.encode(texts)
+    assert a == byte_bpe.Codec.load().encode([" " + t for t in texts], special=False)
+    assert 100 < sum(map(second.by_run, texts)) < 2900 and second.by_run(texts[0])
+    assert not any(map(second.by_run, ["don'tfoo", "x².", "² .\r", "two  spaces", " x", "", "a▁b"]))
+    second = token_alignment.PieceEncoder.load()
+    second.encode([])
+    token_alignment._encoded(codec, second, texts[:1])
+    assert set(second._of_run) == {" ", "house", " house", ".", ",", "\n", " (", ")"} and set(second._known) == {""}
