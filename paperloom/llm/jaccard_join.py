@@ -8,9 +8,13 @@ connected groups of such pairs are small; within one, full sets are compared. Th
 a set linked to one whose answers are known gets its own from them, corrected by the
 lists of the shingles in which the two differ.
 
-A list that is longer than ``LIST_ROWS`` comes from a large group of near copies; its
-sets join one group by one row each instead of by pairs. Groups above ``GROUP_ROWS``
-sets are split in blocks, and each pair of blocks is a group of its own.
+A list that is longer than ``LIST_ROWS`` comes from a large group of near copies or from
+a passage that many texts share; pairs of it are not counted. Each set has a sketch, the
+parities of its shingles by low bits: sets differ in as many shingles at least as their
+sketches in bits. Sets of a long list are tied by one row each to one that the sketches
+allow, and counted pairs must be allowed too, so what texts share by chance joins no
+groups. Groups above ``GROUP_ROWS`` sets are split in blocks, and each pair of blocks is
+a group of its own.
 """
 
 from __future__ import annotations
@@ -36,6 +40,8 @@ SEEN_IN_TASK = 3
 # Bits of the bitmap that says whose texts are needed again.
 MARKS = 1 << 24
 ROWS_AT_ONCE = 256
+# A sketch has a power of two of bits, at least as many as the set has shingles within these bounds.
+SKETCH_BITS = (256, 1 << 16)
 _PLACE = 24  # bits
 
 
@@ -49,6 +55,31 @@ def needed(n, m, percent: int = PERCENT):
     return -(-percent * (n + m) // (100 + percent))
 
 
+def most_apart(n, m, percent: int = PERCENT):
+    """Shingles at most that only one of two linked sets of n and m has; below 0 if no such sets are linked."""
+    common = needed(n, m, percent)
+    return np.where(common <= np.minimum(n, m), n + m - 2 * common, -1)
+
+
+def sketch(shingles: np.ndarray) -> bytes:
+    """Of each number that the low bits can be, whether an odd number of the set's shingles have it; none for an empty set."""
+    if not len(shingles):
+        return b""
+    least, most = SKETCH_BITS
+    bits = min(most, max(least, 1 << (len(shingles) - 1).bit_length()))
+    return np.packbits(np.bincount(shingles & (bits - 1), minlength=bits) & 1).tobytes()
+
+
+def _folded(sketches: list[bytes], size: int) -> np.ndarray:
+    """Sketches of at least ``size`` bytes as rows of that size: either half of a sketch has the same lower bits."""
+    if not size:
+        return np.zeros((len(sketches), 0), np.uint64)
+    rows = np.empty((len(sketches), size), np.uint8)
+    for k, own in enumerate(sketches):
+        rows[k] = np.bitwise_xor.reduce(np.frombuffer(own, np.uint8).reshape(-1, size))
+    return rows.view(np.uint64)
+
+
 def _bodies(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("body"))
 
@@ -86,12 +117,12 @@ def frequent_shingles(bodies: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sets_with_prefix(bodies: DataFrame, frequent: tuple[np.ndarray, np.ndarray], percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, f1, f2, prefix``: size, 128-bit fingerprint and rarest shingles of each document."""
+    """``doc_id, n_shingles, f1, f2, prefix, sketch``: size, 128-bit fingerprint, rarest shingles and sketch of each document."""
     known, counts = frequent
 
     def run(batches):
         for part in _parts(batches):
-            n, f1, f2, prefixes = [], [], [], []
+            n, f1, f2, prefixes, sketches = [], [], [], [], []
             for body in part.column(1).to_pylist():
                 own = shingle_set(body)
                 n.append(len(own))
@@ -103,13 +134,14 @@ def sets_with_prefix(bodies: DataFrame, frequent: tuple[np.ndarray, np.ndarray],
                     at = np.minimum(np.searchsorted(known, own), len(known) - 1)
                     own = own[np.lexsort((own, np.where(known[at] == own, counts[at], 0)))]
                 prefixes.append(own[:first])
+                sketches.append(sketch(own))
             columns = [pa.array(x, pa.int64()) for x in (n, f1, f2)]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), *columns, pa.array(prefixes, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "f1", "f2", "prefix"],
+                [part.column(0), *columns, pa.array(prefixes, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
+                ["doc_id", "n_shingles", "f1", "f2", "prefix", "sketch"],
             )
 
-    return bodies.mapInArrow(released(run), "doc_id long, n_shingles long, f1 long, f2 long, prefix array<long>")
+    return bodies.mapInArrow(released(run), "doc_id long, n_shingles long, f1 long, f2 long, prefix array<long>, sketch binary")
 
 
 def _list_pairs(ids, sizes, places, percent: int):
@@ -132,21 +164,70 @@ def _list_pairs(ids, sizes, places, percent: int):
             yield (ids[k], other, need) if ids[k] < other else (other, ids[k], need)
 
 
+def _tied(ids: np.ndarray, sizes: np.ndarray, sketches: list[bytes], percent: int):
+    """``a, b`` of one long list: ties by which every two sets that their sketches let be linked are joined.
+
+    Sets are visited from the least, each tied once, so a group of near copies is tied to
+    its least set; that is the same one in the many lists of a group.
+    """
+    order = np.lexsort((ids, sizes))
+    ids, sizes, sketches = ids[order], sizes[order], [sketches[k] for k in order]
+    lengths = np.array([len(x) for x in sketches])
+    for length in np.unique(lengths):
+        # With the larger sets that one of this length can be linked to.
+        most = sizes[lengths == length].max() * 100 // percent
+        within = np.nonzero((lengths == length) | ((lengths > length) & (sizes <= most)))[0]
+        own, n = _folded([sketches[k] for k in within], length), sizes[within]
+        left = np.arange(len(within))
+        while len(left) > 1:
+            todo, left = [left[0]], left[1:]
+            while todo and len(left):
+                at = todo.pop()
+                low, high = np.searchsorted(n[left], [-(-percent * n[at] // 100), n[at] * 100 // percent + 1])
+                near = left[low:high]
+                apart = np.bitwise_count(own[near] ^ own[at]).sum(1, dtype=np.int64)
+                met = apart <= most_apart(n[near], n[at], percent)
+                todo.extend(near[met])
+                for other in near[met]:
+                    yield (ids[within[at]], ids[within[other]]) if ids[within[at]] < ids[within[other]] else (ids[within[other]], ids[within[at]])
+                left = np.concatenate([left[:low], near[~met], left[high:]])
+
+
+def _runs(batches, n_columns: int):
+    """First column's value and the rows of the others, as lists, of each run of equal values; a run goes on over batches."""
+    open_, held = None, None
+    for batch in batches:
+        keys = batch.column(0).to_numpy()
+        turns = np.concatenate([[0], np.nonzero(keys[1:] != keys[:-1])[0] + 1, [len(keys)]])
+        for start, end in zip(turns[:-1], turns[1:]):
+            if held is None or keys[start] != open_:
+                if held:
+                    yield open_, held
+                open_, held = keys[start], [[] for _ in range(n_columns)]
+            for k, column in enumerate(held):
+                column += batch.column(k + 1).slice(start, end - start).to_pylist()
+    if held:
+        yield open_, held
+
+
 def candidates(representatives: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``a, b``: edges whose connected groups hold every linked pair of ``rep, n, prefix`` rows."""
+    """``a, b``: edges whose connected groups hold every linked pair of ``rep, n, prefix, sketch`` rows. Without sketches, long lists are tied whole."""
+    if "sketch" not in representatives.columns:
+        representatives = representatives.withColumn("sketch", F.lit(b""))
     entries = representatives.filter("n > 1").select("rep", "n", F.posexplode("prefix").alias("place", "shingle"))
     entries = entries.select("shingle", "rep", (F.shiftleft("n", _PLACE) + F.col("place")).alias("at"))
 
     def met(batches):
-        """Runs of equal shingles; a run goes on over batches. A set of a long list is tied to its least one, which needs no count."""
-        open_, ids, at, first = None, [], [], None
-        out = {"a": [], "b": [], "need": []}
+        """Runs of equal shingles; a run goes on over batches. Of short lists the pairs, of long ones the sets with the shingle."""
+        open_, ids, at, long = None, [], [], False
+        empty = lambda: {"a": [], "b": [], "need": [], "shingle": []}
+        out = empty()
 
         def close():
-            if len(ids) > 1 and first is None:
+            if len(ids) > 1:
                 place = np.array(at)
                 for a, b, need in _list_pairs(np.array(ids), place >> _PLACE, place & ((1 << _PLACE) - 1), percent):
-                    out["a"].append(a), out["b"].append(b), out["need"].append(need)
+                    out["a"].append(a), out["b"].append(b), out["need"].append(need), out["shingle"].append(None)
 
         for batch in batches:
             shingles, reps, places = (batch.column(i).to_numpy() for i in range(3))
@@ -154,31 +235,53 @@ def candidates(representatives: DataFrame, percent: int = PERCENT) -> DataFrame:
             for start, end in zip(turns[:-1], turns[1:]):
                 if open_ is None or shingles[start] != open_:
                     close()
-                    open_, ids, at, first = shingles[start], [], [], None
-                new = reps[start:end].tolist()
-                if first is None and len(ids) + len(new) > LIST_ROWS:
-                    first = (ids or new)[0]
-                    new, ids = ids + new, []
-                if first is not None:
-                    new = [x for x in new if x != first]
-                    out["a"] += [min(x, first) for x in new]
-                    out["b"] += [max(x, first) for x in new]
-                    out["need"] += [0] * len(new)
-                else:
-                    ids += new
-                    at += places[start:end].tolist()
+                    open_, ids, at, long = shingles[start], [], [], False
+                ids += reps[start:end].tolist()
+                at += places[start:end].tolist()
+                if long or len(ids) > LIST_ROWS:
+                    out["a"] += ids
+                    out["b"] += [None] * len(ids)
+                    out["need"] += [None] * len(ids)
+                    out["shingle"] += [open_] * len(ids)
+                    ids, at, long = [], [], True
                 if len(out["a"]) > 50_000:
                     yield pa.RecordBatch.from_pydict(out, schema)
-                    out = {"a": [], "b": [], "need": []}
+                    out = empty()
         close()
         yield pa.RecordBatch.from_pydict(out, schema)
 
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("need", pa.int32())])
-    # In order of ids, the many lists of one group have the same few least sets.
-    lists = entries.repartition("shingle").sortWithinPartitions("shingle", "rep")
-    rows = lists.mapInArrow(released(met), "a long, b long, need int")
-    met_often = rows.groupBy("a", "b").agg(F.count("*").alias("common"), F.min("need").alias("need"))
-    return met_often.filter("common >= need").select("a", "b")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("need", pa.int32()), ("shingle", pa.int64())])
+    lists = entries.repartition("shingle").sortWithinPartitions("shingle")
+    rows = stored(lists.mapInArrow(released(met), "a long, b long, need int, shingle long"), "jaccard-met")
+    met_often = rows.filter("shingle is null").groupBy("a", "b").agg(F.count("*").alias("common"), F.min("need").alias("need"))
+    met_often = met_often.filter("common >= need").select("a", "b")
+
+    @F.arrow_udf("boolean")
+    def can_link(n: pa.Array, own: pa.Array, m: pa.Array, other: pa.Array) -> pa.Array:
+        most = most_apart(n.to_numpy(), m.to_numpy(), percent)
+        apart = []
+        for pair in zip(own.to_pylist(), other.to_pylist()):
+            x, y = _folded(pair, min(map(len, pair)))
+            apart.append(int(np.bitwise_count(x ^ y).sum()))
+        return pa.array(np.array(apart, np.int64) <= most)
+
+    def tied(batches):
+        out = {"a": [], "b": []}
+        for _, (ids, sizes, sketches) in _runs(batches, 3):
+            for a, b in _tied(np.array(ids), np.array(sizes), sketches, percent):
+                out["a"].append(a), out["b"].append(b)
+            if len(out["a"]) > 50_000:
+                yield pa.RecordBatch.from_pydict(out, edge)
+                out = {"a": [], "b": []}
+        yield pa.RecordBatch.from_pydict(out, edge)
+
+    edge = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    known = representatives.select("rep", "n", "sketch")
+    sides = met_often.join(known.toDF("a", "n", "own"), "a").join(known.toDF("b", "m", "other"), "b")
+    short = sides.filter(can_link("n", "own", "m", "other")).select("a", "b")
+    long = rows.filter("shingle is not null").select("shingle", F.col("a").alias("rep")).join(known, "rep").select("shingle", "rep", "n", "sketch")
+    long = long.repartition("shingle").sortWithinPartitions("shingle").mapInArrow(released(tied), "a long, b long")
+    return stored(short.union(long).distinct(), "jaccard-edges")
 
 
 def answers(ids: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT):
@@ -227,11 +330,11 @@ def n_links(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", tex
 
 
 def _representatives(bodies: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The sets of all documents, ``f1, f2, rep, n, prefix`` of the different ones, and ``copied, copies``: the documents of each."""
+    """The sets of all documents, ``f1, f2, rep, n, prefix, sketch`` of the different ones, and ``copied, copies``: the documents of each."""
     sets = stored(sets_with_prefix(bodies, frequent_shingles(bodies), percent), "jaccard-sets")
     full = sets.filter("n_shingles > 0 and doc_id is not null")
-    groups = full.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "n_shingles", "prefix")).alias("first"), F.count("*").alias("copies"))
-    rows = groups.select("f1", "f2", F.col("first.doc_id").alias("rep"), F.col("first.n_shingles").alias("n"), "first.prefix", "copies")
+    groups = full.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "n_shingles", "prefix", "sketch")).alias("first"), F.count("*").alias("copies"))
+    rows = groups.select("f1", "f2", F.col("first.doc_id").alias("rep"), F.col("first.n_shingles").alias("n"), "first.prefix", "first.sketch", "copies")
     rows = stored(rows, "jaccard-representatives")
     return sets, rows.drop("copies"), rows.select(F.col("rep").alias("copied"), "copies")
 

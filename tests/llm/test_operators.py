@@ -352,3 +352,48 @@ def test_edges_of_a_group_grow_with_its_sets(spark, monkeypatch):
     pairs = [(r.a, r.b) for r in edges.collect()]
     assert len(set(pairs)) == len(pairs) < 4 * 120
     assert {x for p in pairs for x in p} == set(range(120))
+
+
+def test_a_line_of_many_texts_joins_no_group(spark, monkeypatch):
+    """Texts that share a line that no task has seen often stay apart; near copies with the line are tied, sketches of two lengths too."""
+    monkeypatch.setattr(jaccard_join, "LIST_ROWS", 4)
+    monkeypatch.setattr(jaccard_join, "frequent_shingles", lambda bodies: (np.zeros(0, np.int64), np.zeros(0, np.int64)))
+    rng = random.Random(8)
+    words = lambda n: [f"w{rng.random()}" for _ in range(n)]
+    line, base = words(40), words(200)
+    rows = [(i, " ".join(words(rng.randrange(60, 200)) + line + words(30))) for i in range(60)]
+    copies = [line + [w if rng.random() > 0.005 else f"x{rng.random()}" for w in base] + words(k % 2 * 40) for k in range(14)]
+    rows += [(100 + k, " ".join(own)) for k, own in enumerate(copies)]
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for i, t in rows}
+    near = {i: {j for j, b in sets.items() if i != j and 100 * len(a & b) >= 80 * len(a | b)} for i, a in sets.items()}
+    assert {len(x) > 256 for i, x in sets.items() if i >= 100} == {True, False} and not any(near[i] for i in range(60))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    _, reps, _ = jaccard_join._representatives(jaccard_join._bodies(docs, "doc_id", "text"), 80)
+    tied = {x for r in jaccard_join.candidates(reps).collect() for x in (r.a, r.b)}
+    first = [i for i, own in sets.items() if own not in [sets[j] for j in sets if j < i]]
+    linked = {i for i in first if any(sets[j] != sets[i] for j in near[i])}
+    assert linked <= tied <= set(range(100, 114)) and len(linked) > 8
+    got = _by_id(jaccard_join.classes(docs))
+    assert {i: r.n_links for i, r in got.items()} == {i: len(x) for i, x in near.items()}
+    label = {i: i for i in sets}
+    for _ in copies:
+        label = {i: min([label[i], *(label[j] for j in near[i])]) for i in sets}
+    assert {i: r.component_id for i, r in got.items()} == label
+
+
+def test_sketches_never_part_linked_sets():
+    rng = np.random.default_rng(1)
+    for n in (5, 40, 230, 256, 257, 500, 900):
+        own = rng.integers(-(2**63), 2**63 - 1, n)
+        for part in (0.8, 0.85, 0.95):
+            other = np.append(own[: -(-n * 4 // 5)], rng.integers(-(2**63), 2**63 - 1, int(n * (1 - part) * 0.2)))
+            common = -(-n * 4 // 5)
+            if 100 * common < 80 * (n + len(other) - common):
+                continue
+            x, y = jaccard_join.sketch(own), jaccard_join.sketch(other)
+            a, b = jaccard_join._folded([x, y], min(len(x), len(y)))
+            assert np.bitwise_count(a ^ b).sum() <= jaccard_join.most_apart(n, len(other))
+            ties = list(jaccard_join._tied(np.array([3, 2]), np.array([n, len(other)]), [x, y], 80))
+            assert ties == [(2, 3)]
+    apart = [jaccard_join.sketch(rng.integers(-(2**63), 2**63 - 1, 300)) for _ in range(50)]
+    assert not list(jaccard_join._tied(np.arange(50), np.full(50, 300), apart, 80))
