@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 
 from paperloom.llm import embedding_dedup, suffix_dedup
+from paperloom.llm.common import stored
 
 LENGTH = 200
 
@@ -58,3 +59,45 @@ def test_vectors_at_the_threshold_and_none(spark):
     assert _vectors(spark, [(1, None, 0), (2, [0.0, 0.0], 0), (3, [], 0)]) == [(i, 0, i, True) for i in (1, 2, 3)]
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert embedding_dedup.deduplicated(empty).count() == 0
+
+
+def _brute(x, labels, threshold=0.93):
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = (unit @ unit.T >= threshold) & (labels[:, None] == labels)
+    np.fill_diagonal(near, False)
+    root = np.arange(len(x))
+    for _ in range(len(x)):
+        after = np.array([min(root[i], root[own].min(initial=len(x))) for i, own in enumerate(near)])
+        if (after == root).all():
+            break
+        root = after
+    return near.sum(1), root
+
+
+def test_links_of_a_dense_group_are_no_rows(spark, monkeypatch):
+    """Every link is counted, over blocks and behind trees, and no table has more rows than vectors need."""
+    written = []
+
+    def counted(df, name):
+        table = stored(df, name)
+        written.append((name, table.count()))
+        return table
+
+    monkeypatch.setattr(embedding_dedup, "stored", counted)
+    rng = np.random.default_rng(7)
+    group = rng.normal(size=24) + 0.15 * rng.normal(size=(260, 24))
+    x = np.concatenate([group, rng.normal(size=(120, 24)), rng.normal(size=24) + 0.27 * rng.normal(size=(60, 24))]).astype(np.float32)
+    x[300:310] = x[5]
+    labels = np.where(np.arange(len(x)) % 40 == 39, 1, 0)
+    n_links, root = _brute(x.astype(float), labels)
+    assert n_links.max() > 200 and len(set(root[380:])) < 60
+    rows = [(i, v.tolist(), int(labels[i])) for i, v in enumerate(x)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    for whole, block, leaf in ((10_000, 10_000, 256), (10_000, 100, 256), (50, 40, 40)):
+        monkeypatch.setattr(embedding_dedup, "WHOLE_ROWS", whole)
+        monkeypatch.setattr(embedding_dedup, "BLOCK_ROWS", block)
+        monkeypatch.setattr(embedding_dedup, "LEAF_ROWS", leaf)
+        written.clear()
+        got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.deduplicated(table).collect()}
+        assert got == {i: (n_links[i], root[i]) for i in range(len(x))}
+        assert max(n for _, n in written) < 20 * len(x) < n_links.sum() / 2
